@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_bt, toxicity_gru
+from . import quality_bt, toxicity_gru, winnowing
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op5_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_gru.query(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_decontaminate_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.query(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
