@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_bt, toxicity_gru, winnowing
+from . import quality_bt, simhash_mih, toxicity_gru, winnowing
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op6_decontaminate_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.query(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_mih.query(spark, table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
