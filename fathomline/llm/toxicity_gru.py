@@ -29,8 +29,8 @@ WINDOW, HOP, PER_CLASS, POOL, PER_DOC = 48, 24, 2000, 200, 10
 #: Rows of the tables of word and n-gram vectors, width of inputs, states of each direction, lengths of n-grams.
 WORDS, GRAMS, WIDTH, STATES, SPANS = 1 << 17, 1 << 17, 16, 8, (3, 4)
 EPOCHS, BATCH, RATE, HARD = 4, 96, 0.015, 2
-#: Words whose inputs a worker keeps, at most; windows that it scores at once.
-CACHE, AT_ONCE = 200_000, 4096
+#: Words whose inputs a worker keeps, at most; windows that it scores, and words that it hashes, at once.
+CACHE, AT_ONCE, SOME = 200_000, 2048, 20_000
 
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -63,6 +63,17 @@ def hashed(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (whole >> np.uint64(35)).astype(np.int64) % WORDS, rows[order], np.concatenate([[0], np.cumsum(counts)])
 
 
+def hashed_all(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same, in small types and a few words at a time."""
+    parts = [hashed(words[i : i + SOME]) for i in range(0, len(words), SOME)]
+    ends = np.cumsum([0] + [len(g) for _, g, _ in parts])
+    return (
+        np.concatenate([w.astype(np.int32) for w, _, _ in parts]),
+        np.concatenate([g.astype(np.int32) for _, g, _ in parts]),
+        np.concatenate([a[:-1] + e for (_, _, a), e in zip(parts, ends)] + [ends[-1:]]),
+    )
+
+
 def windows(n: int) -> np.ndarray:
     """Places of the words of each window over n words, -1 beyond the end; one window without words if n is 0."""
     first = np.arange(0, max(n - WINDOW + HOP, 1), HOP) if n > WINDOW else np.zeros(1, np.int64)
@@ -120,10 +131,11 @@ class Network:
 
     def inputs(self, words: list[str]) -> np.ndarray:
         """The input vectors of distinct words."""
-        if not words:
-            return np.zeros((0, WIDTH), np.float32)
-        whole, grams, at = hashed(words)
-        return self.p["word"][whole] + np.add.reduceat(self.p["gram"][grams], at[:-1]) / (at[1:] - at[:-1])[:, None].astype(np.float32)
+        out = np.empty((len(words), WIDTH), np.float32)
+        for i in range(0, len(words), SOME):
+            whole, grams, at = hashed(words[i : i + SOME])
+            out[i : i + SOME] = self.p["word"][whole] + np.add.reduceat(self.p["gram"][grams], at[:-1]) / (at[1:] - at[:-1])[:, None].astype(np.float32)
+        return out
 
     def run(self, gates: np.ndarray, mask: np.ndarray, keep: bool = False):
         """Logits of windows. gates: T, B, 6h projected inputs, forward half first; mask: T, B, true at words."""
@@ -198,14 +210,14 @@ def fit(texts: list[str], labels: list[int], seed: int = 3) -> Network:
         return net
     draw = np.random.default_rng(seed)
     ids: dict[str, int] = {}
-    docs = [np.array([ids.setdefault(w, len(ids)) for w in words_of(t)], np.int64) for t in texts]
-    whole, grams, at = hashed(list(ids)) if ids else (np.zeros(1, np.int64), np.zeros(1, np.int64), np.array([0, 1]))
+    docs = [np.array([ids.setdefault(w, len(ids)) for w in words_of(t)], np.int32) for t in texts]
+    whole, grams, at = (np.zeros(1, np.int64), np.zeros(1, np.int64), np.array([0, 1])) if not ids else hashed_all(list(ids))
     parts, owner = [], []
     for k, doc in enumerate(docs):
         w = windows(len(doc))
         if len(w) > POOL:
             w = w[np.sort(draw.choice(len(w), POOL, replace=False))]
-        parts.append(np.where(w >= 0, np.append(doc, 0)[w], -1))
+        parts.append(np.where(w >= 0, np.append(doc, np.int32(0))[w], np.int32(-1)))
         owner.append(np.full(len(w), k))
     win, owner = np.concatenate(parts), np.concatenate(owner)
     calibrate = (np.arange(len(docs)) % 5 == 4)[owner] if len(docs) >= 50 else np.zeros(len(owner), bool)
