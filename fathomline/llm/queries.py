@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_bt, simhash_mih, toxicity_gru, winnowing
+from . import bpe, quality_bt, simhash_mih, token_counts, toxicity_gru, winnowing
 from .common import table
 
 
@@ -26,6 +26,14 @@ def op9_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_mih.query(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.query(spark, table(spark, sf_dir, "documents"))
+
+
+def op7_token_count_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.query(spark, table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
