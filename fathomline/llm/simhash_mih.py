@@ -119,20 +119,26 @@ def links(prints: DataFrame, heavy: int = HEAVY, plan=None) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root): the smallest node that each node of an edge reaches. edges: (a, b), written.
+    """(node, root): the smallest node that each node of an edge reaches. edges: (a, b), distinct, written.
 
-    Each round takes the smallest root among a node and its neighbours, then the root's root.
+    Each round every node takes its smallest neighbour, if smaller, as its parent, and edges become edges between
+    parents; those within one parent go. Few are left after a round, however dense a group is.
     """
-    both = cut(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    state = cut(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node"))
-    while True:
-        around = both.join(state, F.col("b") == F.col("node")).groupBy("a").agg(F.min("root").alias("near"))
-        nearer = state.join(around, F.col("node") == F.col("a"), "left").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
-        jump = state.select(F.col("node").alias("at"), F.col("root").alias("further"))
-        moved = cut(nearer.join(jump, F.col("root") == F.col("at"), "left").select("node", "old", F.least("root", "further").alias("root")))
-        state = moved.select("node", "root")
-        if moved.where("old != root").isEmpty():
-            return state
+    labels = None
+    while labels is None or not edges.isEmpty():
+        ends = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        first = ends.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("up")).withColumnRenamed("a", "child")
+        parents = cut(first)
+        above = parents.select(F.col("child").alias("up"), F.col("up").alias("further"))
+        parents = cut(parents.join(above, "up").select("child", F.col("further").alias("up")))
+        if labels is None:
+            labels = parents.select(F.col("child").alias("node"), F.col("up").alias("root"))
+        else:
+            labels = cut(labels.join(parents, F.col("root") == F.col("child"), "left").select("node", F.coalesce("up", "root").alias("root")))
+        left = edges.join(parents, F.col("a") == F.col("child")).select(F.col("up").alias("a"), "b")
+        moved = left.join(parents, F.col("b") == F.col("child")).select(F.least("a", "up").alias("a"), F.greatest("a", "up").alias("b"))
+        edges = cut(moved.where("a < b").distinct())
+    return labels
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", heavy: int = HEAVY) -> DataFrame:
@@ -142,7 +148,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     rows = cut(docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("digest"), fingerprint_column(text).alias("fp")))
     nodes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    reach = components(links(nodes.select("fp"), heavy))
+    reach = components(cut(links(nodes.select("fp"), heavy)))
     rooted = nodes.join(reach, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     found = rooted.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
