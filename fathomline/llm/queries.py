@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, brown_lm, quality_bt, simhash_mih, token_counts, toxicity_gru, winnowing
+from . import bpe, brown_lm, html_ttr, quality_bt, simhash_mih, token_counts, toxicity_gru, winnowing
 from .common import table
 
 
@@ -38,6 +38,10 @@ def op8_brown_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown_lm.query(spark, table(spark, sf_dir, "documents"))
 
 
+def op10_html_text_to_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_ttr.query(spark, table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
