@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, brown_lm, html_ttr, quality_bt, simhash_mih, token_counts, toxicity_gru, winnowing
+from . import bpe, brown_lm, html_ttr, quality_bt, simhash_mih, sql, token_counts, tool_calls, toxicity_gru, winnowing
 from .common import table
 
 
@@ -42,9 +42,13 @@ def op10_html_text_to_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_ttr.query(spark, table(spark, sf_dir, "pages"))
 
 
+def op3_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_calls.query(spark, table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(sql.ORACLE)
