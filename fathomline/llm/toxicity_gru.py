@@ -30,7 +30,7 @@ WINDOW, HOP, PER_CLASS, POOL, PER_DOC = 48, 24, 2000, 200, 10
 WORDS, GRAMS, WIDTH, STATES, SPANS = 1 << 17, 1 << 17, 16, 8, (3, 4)
 EPOCHS, BATCH, RATE, HARD = 4, 96, 0.015, 2
 #: Words whose inputs a worker keeps, at most; windows that it scores, and words that it hashes, at once.
-CACHE, AT_ONCE, SOME = 200_000, 2048, 20_000
+CACHE, AT_ONCE, SOME = 80_000, 2048, 20_000
 
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -299,7 +299,7 @@ class Scorer:
         for text in texts:
             batch.append(words_of(text))
             size += len(batch[-1])
-            if size > 400_000:
+            if size > 100_000:
                 out.append(self._some(batch))
                 batch, size = [], 0
         if batch:
