@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, brown_lm, html_ttr, quality_bt, simhash_mih, sql, token_counts, tool_calls, toxicity_gru, winnowing
+from . import bpe, brown_lm, html_ttr, nn_descent, quality_bt, simhash_mih, sql, token_counts, tool_calls, toxicity_gru, winnowing
 from .common import table
 
 
@@ -46,6 +46,10 @@ def op3_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tool_calls.query(spark, table(spark, sf_dir, "conversations"))
 
 
+def op4_nearest_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.query(spark, table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
