@@ -57,8 +57,8 @@ def interpolate_velocity(facts: DataFrame, uv: DataFrame, by: list[str]) -> Data
     marks = reports.select(*by, "time", known.alias("__known"))
     # as a search for the place of a time does, a report at that very time counts as the one after
     after = ts.next_join(got, marks, ["__known"], by).withColumnRenamed("__known", "__after")
-    before = ts.lag_lead(ts._tagged(after, marks, by, "time", ["__known"]).withColumn("__late", F.lit(1) - F.col("__side")), by, ["time", "__late"])
-    before = ts.carry(before, by, ["time", "__late"], {"__b": (F.col("__right"), "before")})
+    tagged = ts._tagged(after, marks, by, "time", ["__known"]).withColumn("__late", F.lit(1) - F.col("__side"))
+    before = ts.carry(tagged, by, ["time", "__late"], {"__b": (F.col("__right"), "before")})
     out = before.where("__side = 1").select("__left.*", F.col("__b.__known").alias("__before"))
     fine = F.coalesce("__after", F.lit(True)) & F.coalesce("__before", F.lit(True))
     return out.withColumns({"u": F.when(fine, F.col("u")), "v": F.when(fine, F.col("v"))}).drop("__after", "__before", "time")

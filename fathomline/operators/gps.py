@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..durable import cut
 from ..plans.config import Config
 from . import timeseries as ts
 
@@ -26,7 +27,8 @@ def good_fixes(df: DataFrame, by: list[str], gap: float = 600.0, time: str = "ti
     if it has more than two), and so do fixes more than 0.5 m deeper than the median fix; a missing depth counts as 0.
     """
     have = F.col("lon_gps").isNotNull() & F.col("lat_gps").isNotNull()
-    found = ts.sessionize(df.where(have), gap, by, time, start="__group")
+    # fixes are few, a handful for each surfacing
+    found = cut(ts.sessionize(df.where(have), gap, by, time, start="__group", width=None))
     sizes = found.groupBy(*by, "__group").agg(F.count("*").alias("__size"))
     last = sizes.groupBy(*by).agg(F.max("__group").alias("__last"))
     deep = found.groupBy(*by).agg(F.median(F.coalesce("m_depth", F.lit(0.0))).alias("__median"))
@@ -45,14 +47,14 @@ def correct_dead_reckoning(df: DataFrame, by: list[str], gap: float = 600.0, tim
     A gap runs from the last fix of one group up to, but not with, the first of the next, and needs two positions at
     different times. Moved rows get flag 2; fixes that don't hold become null. df: unique times.
     """
-    marked = good_fixes(df, by, gap, time)
-    groups = ts.sessionize(marked.where("fix"), gap, by, time, start="__group").groupBy(*by, "__group").agg(
+    marked = cut(good_fixes(df, by, gap, time))
+    groups = ts.sessionize(marked.where("fix"), gap, by, time, start="__group", width=None).groupBy(*by, "__group").agg(
         *(F.max_by(c, time).alias(f"__end_{c}") for c in (time, "lon_gps", "lat_gps")), *(F.min_by(c, time).alias(f"__begin_{c}") for c in (time, "lon_gps", "lat_gps"))
     )
     # gaps as points at their beginnings, carried forward
-    following = ts.lag_lead(groups.withColumn("__at", F.col(f"__end_{time}")), by, ["__at"], lead={f"__n_{c}": F.col(f"__begin_{c}") for c in (time, "lon_gps", "lat_gps")})
+    following = ts.lag_lead(groups.withColumn("__at", F.col(f"__end_{time}")), by, ["__at"], lead={f"__n_{c}": F.col(f"__begin_{c}") for c in (time, "lon_gps", "lat_gps")}, width=None)
     gaps = following.where(F.col(f"__n_{time}").isNotNull()).select(*by, F.col("__at").alias(time), F.struct(F.col("__at").alias("t0"), F.col("__end_lon_gps").alias("x0"), F.col("__end_lat_gps").alias("y0"), F.col(f"__n_{time}").alias("t1"), F.col("__n_lon_gps").alias("x1"), F.col("__n_lat_gps").alias("y1")).alias("__gap"))
-    placed = ts.locf_join(marked, gaps, ["__gap"], by, time).withColumn("__gap", F.when(F.col(time) < F.col("__gap.t1"), F.col("__gap")))
+    placed = cut(ts.locf_join(marked, cut(gaps), ["__gap"], by, time)).withColumn("__gap", F.when(F.col(time) < F.col("__gap.t1"), F.col("__gap")))
     valid = F.col("lon").isNotNull() & F.col("lat").isNotNull()
     point = F.struct(F.col(time).alias("t"), "lon", "lat")
     ends = placed.where(valid & F.col("__gap").isNotNull()).groupBy(*by, F.col("__gap.t0").alias("__g")).agg(F.min_by(point, time).alias("__a"), F.max_by(point, time).alias("__z"))

@@ -2,7 +2,9 @@
 
 Every operator works on series, told apart by the columns `by`, in the order of the columns `order`. A series can hold
 any share of all rows: rows are split into blocks of the first order column as well, windows run within blocks, and
-what has to pass from block to block is summed up in one row for each block. So no task gets a whole series.
+what has to pass from block to block is summed up in one row for each block. So no task gets a whole series. The sum is
+a second pass over the input, so inputs that are costly are best written first; series that are known to be sparse take
+one window over the whole series with width=None.
 
 NULL is the only missing value; sources turn NaN into it.
 """
@@ -20,16 +22,20 @@ BLOCK = float(1 << 20)
 _BLOCK = "__block"
 
 
-def blocked(df: DataFrame, order: str, width: float = BLOCK) -> DataFrame:
+def blocked(df: DataFrame, order: str, width: float | None = BLOCK) -> DataFrame:
     return df.withColumn(_BLOCK, F.floor(F.col(order) / width))
 
 
-def carry(df: DataFrame, by: list[str], order: list[str], add: dict[str, tuple[Column, str]], width: float = BLOCK) -> DataFrame:
+def carry(df: DataFrame, by: list[str], order: list[str], add: dict[str, tuple[Column, str]], width: float | None = BLOCK) -> DataFrame:
     """Adds columns that hold a value of another row of the series.
 
     add: name -> (value, which). Of the rows whose value isn't null: "last" is that of the last row up to this one,
     "before" of the last before it, "next" of the first from this one on, "after" of the first after it.
     """
+    if width is None:
+        up, down = (Window.partitionBy(*by).orderBy(*(F.col(c) if way else F.desc(c) for c in order)) for way in (True, False))
+        plain = {n: F.last(v, ignorenulls=True).over((up if w in ("last", "before") else down).rowsBetween(Window.unboundedPreceding, 0 if w in ("last", "next") else -1)) for n, (v, w) in add.items()}
+        return df.withColumns(plain)
     df = blocked(df, order[0], width)
     ascending = Window.partitionBy(*by, _BLOCK).orderBy(*order)
     descending = Window.partitionBy(*by, _BLOCK).orderBy(*(F.desc(c) for c in order))
@@ -56,35 +62,40 @@ def _wrapped(value: Column) -> Column:
     return F.struct(value.alias("v"))
 
 
-def lag_lead(df: DataFrame, by: list[str], order: list[str], lag: dict[str, Column] | None = None, lead: dict[str, Column] | None = None, width: float = BLOCK) -> DataFrame:
+def lag_lead(df: DataFrame, by: list[str], order: list[str], lag: dict[str, Column] | None = None, lead: dict[str, Column] | None = None, width: float | None = BLOCK) -> DataFrame:
     """Adds values of the row before and of the row after, nulls included."""
     add = {n: (_wrapped(c), "before") for n, c in (lag or {}).items()} | {n: (_wrapped(c), "after") for n, c in (lead or {}).items()}
     return carry(df, by, order, add, width).withColumns({n: F.col(f"{n}.v") for n in add})
 
 
-def numbered(df: DataFrame, by: list[str], order: list[str], name: str = "n", width: float = BLOCK) -> DataFrame:
+def numbered(df: DataFrame, by: list[str], order: list[str], name: str = "n", width: float | None = BLOCK) -> DataFrame:
     """Adds the number of each row within its series, from 1."""
+    if width is None:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
     df = blocked(df, order[0], width)
     size = df.groupBy(*by, _BLOCK).count()
     before = Window.partitionBy(*by).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     keys = [*by, _BLOCK]
-    offset = size.select(*(F.col(k).alias(f"__key_{k}") for k in keys), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
+    offset = size.select(*(F.col(k).alias(f"__key_{k}") for k in keys), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__offset"))
     same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys))
     within = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__n", within).join(offset, same, "left").select(*(c for c in df.columns if c != _BLOCK), (F.col("__n") + F.col("__before")).alias(name))
+    return df.withColumn("__within", within).join(offset, same, "left").select(*(c for c in df.columns if c != _BLOCK), (F.col("__within") + F.col("__offset")).alias(name))
 
 
-def running_count(df: DataFrame, by: list[str], order: list[str], flag: Column, name: str, width: float = BLOCK) -> DataFrame:
+def running_count(df: DataFrame, by: list[str], order: list[str], flag: Column, name: str, width: float | None = BLOCK) -> DataFrame:
     """Adds how many rows up to this one, itself included, have the flag."""
+    if width is None:
+        all_before = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(name, F.sum(F.when(F.coalesce(flag, F.lit(False)), 1).otherwise(0)).over(all_before))
     df = blocked(df, order[0], width)
     keys = [*by, _BLOCK]
     one = F.when(F.coalesce(flag, F.lit(False)), 1).otherwise(0)
     upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*by).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     total = df.groupBy(*keys).agg(F.sum(one).alias("__c"))
-    offset = total.select(*(F.col(k).alias(f"__key_{k}") for k in keys), F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__before"))
+    offset = total.select(*(F.col(k).alias(f"__key_{k}") for k in keys), F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__offset"))
     same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys))
-    return df.withColumn("__n", F.sum(one).over(upto)).join(offset, same, "left").select(*(c for c in df.columns if c != _BLOCK), (F.col("__n") + F.col("__before")).alias(name))
+    return df.withColumn("__within", F.sum(one).over(upto)).join(offset, same, "left").select(*(c for c in df.columns if c != _BLOCK), (F.col("__within") + F.col("__offset")).alias(name))
 
 
 def _tagged(left: DataFrame, right: DataFrame, by: list[str], time: str, values: list[str]) -> DataFrame:
@@ -94,13 +105,13 @@ def _tagged(left: DataFrame, right: DataFrame, by: list[str], time: str, values:
     return a.unionByName(b)
 
 
-def locf_join(left: DataFrame, right: DataFrame, values: list[str], by: list[str], time: str = "time", width: float = BLOCK) -> DataFrame:
+def locf_join(left: DataFrame, right: DataFrame, values: list[str], by: list[str], time: str = "time", width: float | None = BLOCK) -> DataFrame:
     """left with the values of the last right row at or before its time; null before the first (as-of backward)."""
     both = carry(_tagged(left, right, by, time, values), by, [time, "__side"], {"__r": (F.col("__right"), "last")}, width)
     return both.where("__side = 1").select("__left.*", *(F.col(f"__r.{v}").alias(v) for v in values))
 
 
-def next_join(left: DataFrame, right: DataFrame, values: list[str], by: list[str], time: str = "time", width: float = BLOCK) -> DataFrame:
+def next_join(left: DataFrame, right: DataFrame, values: list[str], by: list[str], time: str = "time", width: float | None = BLOCK) -> DataFrame:
     """left with the values of the first right row at or after its time; null after the last (as-of forward)."""
     both = _tagged(left, right, by, time, values).withColumn("__late", F.lit(1) - F.col("__side"))  # a report at the time comes after
     both = carry(both, by, [time, "__late"], {"__r": (F.col("__right"), "next")}, width)
@@ -112,7 +123,7 @@ def interpolate(t: Column, t0: Column, y0: Column, t1: Column, y1: Column) -> Co
     return F.when(t1 == t0, y0).otherwise(y0 + (y1 - y0) * ((t - t0) / (t1 - t0)))
 
 
-def interp_join(left: DataFrame, right: DataFrame, values: list[str], by: list[str], time: str = "time", skip_nulls: bool = False, width: float = BLOCK) -> DataFrame:
+def interp_join(left: DataFrame, right: DataFrame, values: list[str], by: list[str], time: str = "time", skip_nulls: bool = False, width: float | None = BLOCK) -> DataFrame:
     """left with the right side's values interpolated to its times; nothing outside the right side's times.
 
     A null in a bracketing row gives null, unless skip_nulls: then each value is bracketed by its own non-null rows.
@@ -128,7 +139,7 @@ def interp_join(left: DataFrame, right: DataFrame, values: list[str], by: list[s
     return both.where("__side = 1").select(*kept, *got)
 
 
-def nearest_gap(left: DataFrame, right: DataFrame, by: list[str], name: str, time: str = "time", width: float = BLOCK) -> DataFrame:
+def nearest_gap(left: DataFrame, right: DataFrame, by: list[str], name: str, time: str = "time", width: float | None = BLOCK) -> DataFrame:
     """left with the time to the nearest right row on either side; null without one."""
     both = _tagged(left, right, by, time, []).withColumn("__late", F.lit(1) - F.col("__side"))
     at = F.col(f"__right.{time}")
@@ -138,7 +149,7 @@ def nearest_gap(left: DataFrame, right: DataFrame, by: list[str], name: str, tim
     return both.where("__side = 1").select("__left.*", gap.alias(name))
 
 
-def fill_gaps(df: DataFrame, max_gap: dict[str, float | None], by: list[str], time: str = "time", order: list[str] | None = None, width: float = BLOCK) -> DataFrame:
+def fill_gaps(df: DataFrame, max_gap: dict[str, float | None], by: list[str], time: str = "time", order: list[str] | None = None, width: float | None = BLOCK) -> DataFrame:
     """Missing values interpolated between the valid ones around them, if those are at most max_gap apart (None: any).
 
     <name>_filled tells which were filled. Nothing is filled outside the valid values.
@@ -156,7 +167,7 @@ def fill_gaps(df: DataFrame, max_gap: dict[str, float | None], by: list[str], ti
     return got.select(*(c for c in df.columns if c not in out), *(x.alias(c) for c, x in out.items()))
 
 
-def sessionize(df: DataFrame, gap: float, by: list[str], time: str = "time", order: list[str] | None = None, start: str = "session_start", width: float = BLOCK) -> DataFrame:
+def sessionize(df: DataFrame, gap: float, by: list[str], time: str = "time", order: list[str] | None = None, start: str = "session_start", width: float | None = BLOCK) -> DataFrame:
     """Adds the time at which each row's session began; a difference beyond the gap begins a session."""
     order = order or [time]
     got = lag_lead(df, by, order, lag={"__before": F.col(time)}, width=width)
@@ -164,14 +175,14 @@ def sessionize(df: DataFrame, gap: float, by: list[str], time: str = "time", ord
     return carry(got, by, order, {start: (F.when(begins, F.col(time)), "last")}, width).drop("__before")
 
 
-def last_of_session(df: DataFrame, gap: float, by: list[str], time: str = "time", order: list[str] | None = None, width: float = BLOCK) -> DataFrame:
+def last_of_session(df: DataFrame, gap: float, by: list[str], time: str = "time", order: list[str] | None = None, width: float | None = BLOCK) -> DataFrame:
     """The last row of each session."""
     got = sessionize(df, gap, by, time, order, "__start", width)
     last = got.groupBy(*by, "__start").agg(F.max_by(F.struct(*df.columns), F.struct(*(order or [time]))).alias("r"))
     return last.select("r.*")
 
 
-def islands(df: DataFrame, condition: Column, by: list[str], order: list[str], name: str = "island", width: float = BLOCK) -> DataFrame:
+def islands(df: DataFrame, condition: Column, by: list[str], order: list[str], name: str = "island", width: float | None = BLOCK) -> DataFrame:
     """Adds a number of the run of rows of equal condition that a row is in: from 1, true and false runs in turn."""
     flagged = df.withColumn("__c", F.coalesce(condition, F.lit(False)))
     got = lag_lead(flagged, by, order, lag={"__before": F.col("__c")}, width=width)
@@ -179,13 +190,13 @@ def islands(df: DataFrame, condition: Column, by: list[str], order: list[str], n
     return running_count(got, by, order, turns, name, width).drop("__c", "__before")
 
 
-def island_summary(df: DataFrame, condition: Column, by: list[str], order: list[str], aggs: list[Column], width: float = BLOCK) -> DataFrame:
+def island_summary(df: DataFrame, condition: Column, by: list[str], order: list[str], aggs: list[Column], width: float | None = BLOCK) -> DataFrame:
     """A row for each run of rows with the condition."""
     got = islands(df.withColumn("__keep", F.coalesce(condition, F.lit(False))), F.col("__keep"), by, order, "island", width)
     return got.where("__keep").groupBy(*by, "island").agg(*aggs)
 
 
-def rolling_stats(df: DataFrame, value: str, half: int, by: list[str], order: list[str], width: float = BLOCK, rows: int = 1 << 18) -> DataFrame:
+def rolling_stats(df: DataFrame, value: str, half: int, by: list[str], order: list[str], width: float | None = BLOCK, rows: int = 1 << 18) -> DataFrame:
     """Adds <value>_count, _mean and _std (of the population) over the rows up to `half` before and after.
 
     Rows are numbered and split by number; each part also gets the rows that its ends look at.
@@ -200,7 +211,7 @@ def rolling_stats(df: DataFrame, value: str, half: int, by: list[str], order: li
     return out.where("__to = 0").drop("__i", "__part", "__to", "__at")
 
 
-def gradient(df: DataFrame, y: str, x: str, by: list[str], name: str = "gradient", width: float = BLOCK) -> DataFrame:
+def gradient(df: DataFrame, y: str, x: str, by: list[str], name: str = "gradient", width: float | None = BLOCK) -> DataFrame:
     """Adds dy/dx: second order within, for uneven steps; one-sided at the ends."""
     got = lag_lead(df, by, [x], {"__y0": F.col(y), "__x0": F.col(x)}, {"__y1": F.col(y), "__x1": F.col(x)}, width)
     y0, y1, x0, x1, yy, xx = (F.col(c) for c in ("__y0", "__y1", "__x0", "__x1", y, x))
@@ -210,7 +221,7 @@ def gradient(df: DataFrame, y: str, x: str, by: list[str], name: str = "gradient
     return got.withColumn(name, slope).drop("__y0", "__y1", "__x0", "__x1")
 
 
-def midpoints(df: DataFrame, x: str, by: list[str], order: list[str], name: str = "mid", width: float = BLOCK) -> DataFrame:
+def midpoints(df: DataFrame, x: str, by: list[str], order: list[str], name: str = "mid", width: float | None = BLOCK) -> DataFrame:
     """A row for each pair of neighbours, with their mean."""
     got = lag_lead(df, by, order, lead={"__next": F.col(x)}, width=width)
     return got.where(F.col("__next").isNotNull()).withColumn(name, (F.col(x) + F.col("__next")) / 2).drop("__next")

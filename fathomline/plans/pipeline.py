@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..durable import cut
 from ..functions import seawater
 from ..operators import bins, flight, gps, profiles, quality
 from ..operators import timeseries as ts
@@ -28,7 +29,7 @@ def thermodynamics(df: DataFrame, config: Config) -> DataFrame:
     """
     if not config.include.get("thermo", True) or not {"conductivity", "temperature", "pressure", "lat", "lon"} <= set(df.columns):
         return df
-    df = ts.fill_gaps(df, {"lat": None, "lon": None}, BY).drop("lat_filled", "lon_filled")
+    df = cut(ts.fill_gaps(df, {"lat": None, "lon": None}, BY).drop("lat_filled", "lon_filled"))
     c, p = F.col, F.col("pressure")
     df = df.withColumn("salinity", seawater.practical_salinity(c("conductivity") * 10, c("temperature"), p))
     df = df.withColumn("SA", seawater.absolute_salinity(c("salinity")))
@@ -38,7 +39,7 @@ def thermodynamics(df: DataFrame, config: Config) -> DataFrame:
     # N squared lies between samples; at a sample it is interpolated between the two around it
     df = ts.lag_lead(df, BY, ["time"], lead={"__s": c("SA"), "__t": c("CT"), "__p": p, "__x": c("time")})
     df = df.withColumns({"__n": seawater.buoyancy_frequency(c("SA"), c("CT"), p, c("__s"), c("__t"), c("__p"), c("lat")), "__m": (c("time") + c("__x")) / 2})
-    df = ts.lag_lead(df, BY, ["time"], lag={"__n0": c("__n"), "__m0": c("__m")})
+    df = ts.lag_lead(cut(df), BY, ["time"], lag={"__n0": c("__n"), "__m0": c("__m")})
     df = df.withColumn("N2", ts.interpolate(c("time"), c("__m0"), c("__n0"), c("__m"), c("__n"))).drop("__s", "__t", "__p", "__x", "__n", "__m", "__n0", "__m0")
     derived = ["salinity", "SA", "CT", "density", "rho0", "sound_speed"]
     inherit = lambda of: F.col(f"{of}_qc") if f"{of}_qc" in df.columns else quality.tag(quality.UNCHECKED)
@@ -52,15 +53,15 @@ def l2(raw_flight: DataFrame, raw_science: DataFrame, config: Config, shallowest
 
     Labels look at the raw flight table, fixes at the checked one.
     """
-    flight_, science = l1b(raw_flight, config), l1b(raw_science, config)
+    flight_, science = cut(l1b(raw_flight, config)), cut(l1b(raw_science, config))
     if adjust_dead_reckoning and {"lon", "lat", "lon_gps", "lat_gps", "m_depth"} <= set(flight_.columns):
         flight_ = gps.correct_dead_reckoning(flight_, BY)
-    obs = thermodynamics(quality.merge_streams(flight_, science, config, BY), config)
+    obs = cut(thermodynamics(cut(quality.merge_streams(flight_, science, config, BY)), config))
     obs = profiles.get_profiles(obs, BY, shallowest, surface_time, raw_flight)
     raw_fixes = None
     if "m_gps_lat" in raw_flight.columns:
         raw_fixes = raw_flight.where("m_gps_lat IS NOT NULL AND m_present_time IS NOT NULL").select(*BY, F.col("m_present_time").alias("time"))
-    obs = profiles.assign_surface(obs, BY, raw_fixes)
+    obs = cut(profiles.assign_surface(cut(obs), BY, raw_fixes))
     if {"m_water_vx", "m_water_vy"} <= set(raw_flight.columns):
         reports = profiles.velocity_reports(raw_flight, BY)
     else:
