@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, spare_name
 
 WINDOW, GRAM = 10, 5
 HOLD = WINDOW - GRAM + 1
@@ -261,8 +261,9 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs without a hit word, with the columns they had."""
-    bad = contamination(docs, items).where("n_hit > 0").select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_digest")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_digest")), "left_anti")
+    _doc, _digest = spare_name(docs, "_doc", "_digest")
+    bad = contamination(docs, items).where("n_hit > 0").select(F.col("doc_id").alias(_doc), F.col("digest").alias(_digest)).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col(_doc)) & (F.xxhash64(docs["text"]) == F.col(_digest)), "left_anti")
 
 
 def query(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
