@@ -324,7 +324,8 @@ class Scorer:
         length = (win >= 0).sum(1)
         order = np.argsort(-length, kind="stable")  # short windows together take fewer steps
         np.maximum.at(top, owner[order], _score(self.net, self.rows, win[order]))
-        return _sigmoid(np.clip(top * self.net.slope + self.net.offset, -40, 40))
+        # rounded, as sums in single precision depend on what is scored together
+        return np.round(_sigmoid(np.clip(top * self.net.slope + self.net.offset, -40, 40)), 5)
 
 
 def train(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_out: int = 2, per_class: int = PER_CLASS) -> Network:
