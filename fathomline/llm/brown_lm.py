@@ -153,11 +153,11 @@ def exchange(bigrams: np.ndarray, classes: int, fixed: int, rounds: int = ROUNDS
             n[a] -= o
             n[:, a] -= i
             n[a, a] += own
-            row, col = n.sum(1), n.sum(0)
             ow, iw = o.sum(), i.sum()
             o_, i_ = o.copy(), i.copy()
             o_[a] -= own
             i_[a] -= own
+            row, col = n.sum(1) + i_, n.sum(0) + o_  # with what other units give to it and take from it
             base = f(n)
             gain = (f(n + o_[None]) - base).sum(1) + (f(n + i_[:, None]) - base).sum(0)
             d = np.arange(k)
