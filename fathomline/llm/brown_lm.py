@@ -15,6 +15,7 @@ Null texts are empty: they have the end token only. Training without texts leave
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,8 +29,9 @@ from .common import cut
 CLUSTERED, SHAPES, CLASSES, TABLE, ROUNDS = 1500, 500, 48, 200_000, 4
 #: Added to each count of a word, and to each count of a class bigram.
 ADD, ADD_CLASS = 0.5, 0.1
-#: Entries of a task's counters before they are handed on.
-HELD = 300_000
+#: Entries of a task's counters before they are handed on, and of words whose unit it remembers; bytes of text that it
+#: works on at once.
+HELD, REMEMBERED, AT_ONCE = 200_000, 100_000, 4 << 20
 END, START = "\n", "\t"  # no word contains white space
 
 
@@ -115,7 +117,7 @@ class Memo:
 
     def _of(self, word: bytes) -> int:
         got = self.shapes.get(shape(word), self.other)
-        if len(self.seen) > len(self.vocabulary) + HELD:
+        if len(self.seen) > len(self.vocabulary) + REMEMBERED:
             self.seen = dict(self.vocabulary)
         self.seen[word] = got
         return got
@@ -204,9 +206,11 @@ def train(docs: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, c
     """The model and the table (word, c) of all counts, in the shared folder."""
     counts = cut(word_counts(docs))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(common).collect()
-    table = {r.word.encode(): r.c for r in top}
-    words = [r.word for r in top if r.word != END][:clustered]
+    top = counts.orderBy(F.desc("c"), "word").limit(common).toArrow()
+    table = {w.encode(): c for w, c in zip(top["word"].to_pylist(), top["c"].to_pylist())}
+    words = [w for w in top["word"].slice(0, clustered + 1).to_pylist() if w != END][:clustered]
+    least = top["c"][-1].as_py() if len(top) else 0
+    del top
     vocabulary = {w.encode(): i + 2 for i, w in enumerate(words)}
 
     # shapes of the words that are not clustered: how many there are and how often they occur
@@ -250,10 +254,41 @@ def train(docs: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, c
     for r, i in zip(kinds, range(first, size)):
         inside[i] = np.log10(r.n + ADD * (r.d + 1))
     inside[size] = np.log10(sum(r.n for r in rest) + ADD * (sum(r.d for r in rest) + 1))
-    model = BrownModel(vocabulary, {**{i: i for i in range(first)}, **names}, of, move, emit, inside, table, top[-1].c if top else 0, int(total), int(distinct))
+    model = BrownModel(vocabulary, {**{i: i for i in range(first)}, **names}, of, move, emit, inside, table, least, int(total), int(distinct))
     return model, counts
 
 
+def _some(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of some AT_ONCE bytes of text, which is its last column, by rows."""
+    rows = max(1, int(batch.num_rows * AT_ONCE / max(batch.column(batch.num_columns - 1).nbytes, 1)))
+    for a in range(0, batch.num_rows, rows):
+        yield batch.slice(a, rows)
+
+
+def _scored(batch: pa.RecordBatch, m: BrownModel, memo: Memo, logs: dict[bytes, float], emit: np.ndarray, end: bytes, names: list[str], rare_type: pa.DataType) -> pa.RecordBatch:
+    n, known, base, own = [], [], [], []
+    far_words, far_times, far_ends = [], [], [0]
+    for t in batch.column(batch.num_columns - 1).to_pylist():
+        words = tokens(t)
+        u = memo.units(words)
+        c = m.of[u]
+        got = [logs.get(w) for w in words]
+        far = Counter([w for w, g in zip(words, got) if g is None])
+        near = [g for g in got if g is not None]
+        # in shapes, a known word adds the logarithm of its own count
+        mine = float(sum(g for w, g in zip(words, got) if g is not None and w not in m.vocabulary))
+        n.append(len(words) + 1)
+        known.append(len(near) + (end in logs))
+        base.append(float(sum(near)) + logs.get(end, float(np.log10(ADD))))
+        own.append(float(m.move[c[:-1], c[1:]].sum() + emit[u[1:]].sum()) + mine)
+        far_words += [w.decode("utf-8", "surrogatepass").encode("utf-8", "replace").decode() for w in far]
+        far_times += far.values()
+        far_ends.append(len(far_words))
+    rare = pa.ListArray.from_arrays(pa.array(far_ends, pa.int32()), pa.StructArray.from_arrays([pa.array(far_words, pa.string()), pa.array(far_times, pa.int32())], fields=list(rare_type.value_type))).cast(rare_type)
+    front = [batch.column(i) for i in range(batch.num_columns - 1)]
+    return pa.RecordBatch.from_arrays([*front, pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(own, pa.float64()), rare], names=[*names, "n_tokens", "n_known", "base", "own", "rare"])
+
+
 def score(docs: DataFrame, model: BrownModel, counts: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """A row for each row of docs: doc_id, columns to keep, n_tokens, n_known, base_score, score.
 
@@ -269,28 +304,12 @@ def score(docs: DataFrame, model: BrownModel, counts: DataFrame, doc_id: str = "
     def of(batches):
         m = shared.value
         memo = Memo(m.vocabulary, m.shapes)
-        table, vocabulary = m.common, m.vocabulary
         emit = m.emit - m.inside  # a shape's words are divided by the shape's own total
-        logs = {w: float(np.log10(c + ADD)) for w, c in table.items()}
+        logs = {w: float(np.log10(c + ADD)) for w, c in m.common.items()}
         end = END.encode()
-        for batch in batches:
-            n, known, base, own, rare = [], [], [], [], []
-            for t in batch.column(batch.num_columns - 1).to_pylist():
-                words = tokens(t)
-                u = memo.units(words)
-                c = m.of[u]
-                got = [logs.get(w) for w in words]
-                far = Counter([w for w, g in zip(words, got) if g is None])
-                near = [g for g in got if g is not None]
-                # in shapes, a known word adds the logarithm of its own count
-                mine = float(sum(g for w, g in zip(words, got) if g is not None and w not in vocabulary))
-                n.append(len(words) + 1)
-                known.append(len(near) + (end in table))
-                base.append(float(sum(near)) + logs.get(end, float(np.log10(ADD))))
-                own.append(float(m.move[c[:-1], c[1:]].sum() + emit[u[1:]].sum()) + mine)
-                rare.append([{"word": w.decode("utf-8", "surrogatepass").encode("utf-8", "replace").decode(), "times": k} for w, k in far.items()])
-            front = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*front, pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(own, pa.float64()), pa.array(rare, rare_type)], names=[*names, "n_tokens", "n_known", "base", "own", "rare"])
+        for whole in batches:
+            for batch in _some(whole):
+                yield _scored(batch, m, memo, logs, emit, end, names, rare_type)
 
     names = ["doc_id", *keep, "digest"]
     # equal rows are told apart by nothing, and need not be: they have equal words, and each row is joined with their sums
