@@ -115,15 +115,16 @@ class Memo:
     def __init__(self, vocabulary: dict[bytes, int], units: dict[str, int]):
         self.vocabulary, self.shapes, self.seen, self.other = vocabulary, units, dict(vocabulary), len(units)
 
-    def _of(self, word: bytes) -> int:
-        got = self.shapes.get(shape(word), self.other)
-        if len(self.seen) > len(self.vocabulary) + REMEMBERED:
-            self.seen = dict(self.vocabulary)
-        self.seen[word] = got
+    def shape_of(self, word: bytes) -> int:
+        """The unit of a word outside the vocabulary."""
+        if (got := self.seen.get(word)) is None:
+            if len(self.seen) > len(self.vocabulary) + REMEMBERED:
+                self.seen = dict(self.vocabulary)
+            got = self.seen[word] = self.shapes.get(shape(word), self.other)
         return got
 
     def units(self, words: list[bytes]) -> np.ndarray:
-        seen, new = self.seen, self._of
+        seen, new = self.seen, self.shape_of
         return np.array([0, *[u if (u := seen.get(w)) is not None else new(w) for w in words], 1], np.int64)
 
 
@@ -196,7 +197,8 @@ class BrownModel:
     move: np.ndarray
     emit: np.ndarray
     inside: np.ndarray  # of each shape unit, log10 of what its words' smoothed counts are divided by
-    common: dict[bytes, int]
+    common: list[bytes]  # the most frequent words, with their counts
+    often: np.ndarray
     least: int  # words of the corpus that are not in common occur this often at most
     total: int
     distinct: int
@@ -207,7 +209,7 @@ def train(docs: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, c
     counts = cut(word_counts(docs))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = counts.orderBy(F.desc("c"), "word").limit(common).toArrow()
-    table = {w.encode(): c for w, c in zip(top["word"].to_pylist(), top["c"].to_pylist())}
+    table, often_words = [w.encode() for w in top["word"].to_pylist()], top["c"].to_numpy()
     words = [w for w in top["word"].slice(0, clustered + 1).to_pylist() if w != END][:clustered]
     least = top["c"][-1].as_py() if len(top) else 0
     del top
@@ -254,7 +256,7 @@ def train(docs: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, c
     for r, i in zip(kinds, range(first, size)):
         inside[i] = np.log10(r.n + ADD * (r.d + 1))
     inside[size] = np.log10(sum(r.n for r in rest) + ADD * (sum(r.d for r in rest) + 1))
-    model = BrownModel(vocabulary, {**{i: i for i in range(first)}, **names}, of, move, emit, inside, table, least, int(total), int(distinct))
+    model = BrownModel(vocabulary, {**{i: i for i in range(first)}, **names}, of, move, emit, inside, table, often_words, least, int(total), int(distinct))
     return model, counts
 
 
@@ -265,28 +267,51 @@ def _some(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(a, rows)
 
 
-def _scored(batch: pa.RecordBatch, m: BrownModel, memo: Memo, logs: dict[bytes, float], emit: np.ndarray, end: bytes, names: list[str], rare_type: pa.DataType) -> pa.RecordBatch:
-    n, known, base, own = [], [], [], []
+class Known:
+    """The table of frequent words in arrays: place of a word, and by place its unit, log count, and that in its shape."""
+
+    def __init__(self, m: BrownModel):
+        self.place = {w: i for i, w in enumerate(m.common)}
+        shapes = Memo({}, m.shapes)
+        self.unit = np.array([m.vocabulary.get(w) or shapes.shape_of(w) for w in m.common], np.int64)
+        self.log = np.log10(m.often + ADD)
+        clustered = np.fromiter((w in m.vocabulary for w in m.common), bool, len(m.common))
+        self.inside = np.where(clustered, 0.0, self.log)  # in shapes, a known word adds the logarithm of its own count
+        self.emit = m.emit - m.inside  # a shape's words are divided by the shape's own total
+        end = self.place.get(END.encode())
+        self.end = (0, float(np.log10(ADD))) if end is None else (1, float(self.log[end]))
+
+
+def _scored(batch: pa.RecordBatch, m: BrownModel, memo: Memo, known: Known, names: list[str], rare_type: pa.DataType) -> pa.RecordBatch:
+    n, n_known, base, own = [], [], [], []
     far_words, far_times, far_ends = [], [], [0]
+    place = known.place.get
     for t in batch.column(batch.num_columns - 1).to_pylist():
         words = tokens(t)
-        u = memo.units(words)
-        c = m.of[u]
-        got = [logs.get(w) for w in words]
-        far = Counter([w for w, g in zip(words, got) if g is None])
-        near = [g for g in got if g is not None]
-        # in shapes, a known word adds the logarithm of its own count
-        mine = float(sum(g for w, g in zip(words, got) if g is not None and w not in m.vocabulary))
-        n.append(len(words) + 1)
-        known.append(len(near) + (end in logs))
-        base.append(float(sum(near)) + logs.get(end, float(np.log10(ADD))))
-        own.append(float(m.move[c[:-1], c[1:]].sum() + emit[u[1:]].sum()) + mine)
-        far_words += [w.decode("utf-8", "surrogatepass").encode("utf-8", "replace").decode() for w in far]
-        far_times += far.values()
+        at = np.array([place(w, -1) for w in words], np.int64)
+        missing = np.flatnonzero(at < 0)
+        units = np.empty(len(words) + 2, np.int64)
+        units[0], units[-1] = 0, 1
+        if len(missing):
+            far = [words[i] for i in missing.tolist()]
+            near = at[at >= 0]
+            units[1:-1][at >= 0] = known.unit[near]
+            units[1:-1][missing] = [memo.shape_of(w) for w in far]
+            counted = Counter(far)
+            far_words += [w.decode("utf-8", "surrogatepass").encode("utf-8", "replace").decode() for w in counted]
+            far_times += counted.values()
+        else:
+            near = at
+            units[1:-1] = known.unit[at]
         far_ends.append(len(far_words))
+        c = m.of[units]
+        n.append(len(words) + 1)
+        n_known.append(len(near) + known.end[0])
+        base.append(float(known.log[near].sum()) + known.end[1])
+        own.append(float(m.move[c[:-1], c[1:]].sum() + known.emit[units[1:]].sum() + known.inside[near].sum()))
     rare = pa.ListArray.from_arrays(pa.array(far_ends, pa.int32()), pa.StructArray.from_arrays([pa.array(far_words, pa.string()), pa.array(far_times, pa.int32())], fields=list(rare_type.value_type))).cast(rare_type)
     front = [batch.column(i) for i in range(batch.num_columns - 1)]
-    return pa.RecordBatch.from_arrays([*front, pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(own, pa.float64()), rare], names=[*names, "n_tokens", "n_known", "base", "own", "rare"])
+    return pa.RecordBatch.from_arrays([*front, pa.array(n, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(own, pa.float64()), rare], names=[*names, "n_tokens", "n_known", "base", "own", "rare"])
 
 
 def score(docs: DataFrame, model: BrownModel, counts: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -303,13 +328,10 @@ def score(docs: DataFrame, model: BrownModel, counts: DataFrame, doc_id: str = "
 
     def of(batches):
         m = shared.value
-        memo = Memo(m.vocabulary, m.shapes)
-        emit = m.emit - m.inside  # a shape's words are divided by the shape's own total
-        logs = {w: float(np.log10(c + ADD)) for w, c in m.common.items()}
-        end = END.encode()
+        memo, known = Memo({}, m.shapes), Known(m)
         for whole in batches:
             for batch in _some(whole):
-                yield _scored(batch, m, memo, logs, emit, end, names, rare_type)
+                yield _scored(batch, m, memo, known, names, rare_type)
 
     names = ["doc_id", *keep, "digest"]
     # equal rows are told apart by nothing, and need not be: they have equal words, and each row is joined with their sums
