@@ -120,7 +120,7 @@ def next_join(left: DataFrame, right: DataFrame, values: list[str], by: list[str
 
 def interpolate(t: Column, t0: Column, y0: Column, t1: Column, y1: Column) -> Column:
     """Linear between two points, the first where both are at one time; null where one is missing."""
-    return F.when(t1 == t0, y0).otherwise(y0 + (y1 - y0) * ((t - t0) / (t1 - t0)))
+    return F.when(t1 == t0, y0).otherwise(y0 + (y1 - y0) * ((t - t0) / F.nullif(t1 - t0, F.lit(0.0))))
 
 
 def interp_join(left: DataFrame, right: DataFrame, values: list[str], by: list[str], time: str = "time", skip_nulls: bool = False, width: float | None = BLOCK) -> DataFrame:
@@ -212,10 +212,10 @@ def rolling_stats(df: DataFrame, value: str, half: int, by: list[str], order: li
 
 
 def gradient(df: DataFrame, y: str, x: str, by: list[str], name: str = "gradient", width: float | None = BLOCK) -> DataFrame:
-    """Adds dy/dx: second order within, for uneven steps; one-sided at the ends."""
+    """Adds dy/dx: second order within, for uneven steps; one-sided at the ends; null next to a repeated x."""
     got = lag_lead(df, by, [x], {"__y0": F.col(y), "__x0": F.col(x)}, {"__y1": F.col(y), "__x1": F.col(x)}, width)
     y0, y1, x0, x1, yy, xx = (F.col(c) for c in ("__y0", "__y1", "__x0", "__x1", y, x))
-    a, b = xx - x0, x1 - xx
+    a, b = F.nullif(xx - x0, F.lit(0.0)), F.nullif(x1 - xx, F.lit(0.0))
     inner = (a * a * y1 + (b * b - a * a) * yy - b * b * y0) / (a * b * (a + b))
     slope = F.when(x0.isNull(), (y1 - yy) / b).when(x1.isNull(), (yy - y0) / a).otherwise(inner)
     return got.withColumn(name, slope).drop("__y0", "__y1", "__x0", "__x1")
