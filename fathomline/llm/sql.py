@@ -17,10 +17,24 @@ WITH msg AS (
          coalesce(r.n_results, 0) AS n_results, r.result_turn, c.arguments, r.result
   FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
 )
-SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, seq, call_id, name, arguments) AS place, turn, CAST(seq AS INTEGER) AS seq, call_id, name, valid,
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, seq, call_id, name, arguments) AS place, 0 AS level, turn, CAST(seq AS INTEGER) AS seq, call_id, name, valid,
        coalesce(result_turn >= turn, true) AS ordered, n_results, result_turn,
        '{' || concat_ws(',', '"arguments":' || to_json(CAST(arguments AS VARCHAR)), '"id":' || to_json(call_id), '"name":' || to_json(name), '"result":' || to_json(result), '"valid":' || CASE WHEN valid THEN 'true' ELSE 'false' END) || '}' AS line
 FROM linked
 """
 
-ORACLE = {"op3_tool_call_linking": TOOL_CALLS}
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: op6: every window of an item, looked up in every window of as many words of a document.
+CONTAMINATION = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents), b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+ iw AS (SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS s FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+ dw AS (SELECT r, n, i, array_to_string(w[i : i + n - 1], ' ') AS s FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)),
+ h AS (SELECT dw.r, dw.i, dw.n, iw.item FROM dw JOIN iw ON iw.n = dw.n AND iw.s = dw.s),
+ p AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS x FROM h) GROUP BY r),
+ t AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM h GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN p USING (r) LEFT JOIN t USING (r)
+"""
+
+ORACLE = {"op3_tool_call_linking": TOOL_CALLS, "op6_decontaminate_winnowing": CONTAMINATION}

@@ -7,10 +7,10 @@ A message can be JSON: an object with tool_calls, an array of {id, name, argumen
 content. Any other message is prose and counts as an exchange: what a user or the system says calls the tool "respond"
 under the identifier turn:<turn>, and what the assistant says is the result of the call of the turn before.
 
-Order: a call may use results through {"$ref": id} in its arguments; it has to come after them. Calls and results have a
-key (turn, calls after results, place in the message), and every dependency has to have a smaller key: then the order of
-keys is a topological one. A call with a dependency that is missing, or not smaller, is unordered; it keeps the place
-of its key and says so, as nothing could run it.
+Order: a call may use results through {"$ref": id} in its arguments; it has to come after the calls of those. Calls
+without references are of level 0; each round gives the next level to the calls whose references all have one, as Kahn's
+method does, so the order by level, then turn, then place in the message, is topological. A call that refers to a missing
+call, or to itself around a cycle, gets no level; it comes last and is not ordered. Nor is one whose result is older.
 
 Nulls: a message without conversation, turn or role is left out; a null text is an empty one. Of several results of a
 call the first by key counts, and n_results tells how many there are; of several calls with one identifier each is kept
@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import cut
+
 #: Schemas of tools: required and optional properties with their JSON types; a prompt has at least one character.
 SCHEMAS: dict[str, dict[str, tuple[str, bool]]] = {"respond": {"prompt": ("string", True), "speaker": ("string", True)}}
 #: Turns in a block, within which places are counted before blocks are added up.
@@ -84,7 +86,7 @@ def canonical(arguments: Column) -> Column:
 
 
 def link(conversations: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]]] | None = None) -> DataFrame:
-    """(conv_id, place, turn, seq, call_id, name, valid, ordered, n_results, result_turn, line): a row for each link.
+    """(conv_id, place, level, turn, seq, call_id, name, valid, ordered, n_results, result_turn, line): a row for each link.
 
     place counts the links of a conversation from 1, in topological order.
     """
@@ -96,18 +98,13 @@ def link(conversations: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]
         .select("conv_id", "call_id", F.col("r.turn").alias("result_turn"), F.col("r.content").alias("result"), "n_results")
     )
     linked = calls.join(first, ["conv_id", "call_id"], "full_outer").withColumns({"turn": F.coalesce("turn", "result_turn"), "seq": F.coalesce("seq", F.lit(-1)), "n_results": F.coalesce("n_results", F.lit(0))})
-    # a dependency is met if it has a result before the call's turn
-    needs = calls.select("conv_id", "turn", "seq", F.explode(F.array_distinct(F.regexp_extract_all("arguments", F.lit(_REF), 1))).alias("ref"))
-    met = first.select(F.col("conv_id").alias("c"), F.col("call_id").alias("ref"), F.col("result_turn").alias("at"))
-    unmet = (
-        needs.join(met, (F.col("conv_id") == F.col("c")) & (needs["ref"] == met["ref"]), "left")
-        .where(~F.coalesce(F.col("at") < F.col("turn"), F.lit(False)))
-        .select("conv_id", "turn", "seq")
-        .distinct()
-        .withColumn("unmet", F.lit(True))
-    )
+    mark = F.coalesce("call_id", F.lit("")).alias("mark")  # messages of one turn can each have a call of one place
+    needs = calls.select("conv_id", "turn", "seq", mark, "call_id", F.explode(F.array_distinct(F.regexp_extract_all("arguments", F.lit(_REF), 1))).alias("ref"))
+    level = levels(needs, calls)
     late = F.coalesce(F.col("result_turn") >= F.col("turn"), F.lit(True))
-    got = linked.join(unmet, ["conv_id", "turn", "seq"], "left").withColumn("ordered", F.col("unmet").isNull() & late)
+    # -1: it has references and no level
+    got = linked.withColumn("mark", mark).join(level, ["conv_id", "turn", "seq", "mark"], "left").withColumn("level", F.coalesce("level", F.lit(0)))
+    got = got.withColumn("ordered", (F.col("level") >= 0) & late)
     got = got.withColumn("valid", valid_arguments(F.col("name"), F.col("arguments"), schemas or SCHEMAS))
     # keys are in the order of the alphabet; a field that is null is left out
     line = F.to_json(
@@ -119,7 +116,28 @@ def link(conversations: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]
             "valid",
         )
     )
-    return _placed(got.withColumn("line", line)).select("conv_id", "place", "turn", "seq", "call_id", "name", "valid", "ordered", "n_results", "result_turn", "line")
+    return _placed(got.withColumn("line", line)).select("conv_id", "place", "level", "turn", "seq", "call_id", "name", "valid", "ordered", "n_results", "result_turn", "line")
+
+
+def levels(needs: DataFrame, calls: DataFrame) -> DataFrame:
+    """(conv_id, turn, seq, mark, level) of the calls with references (..., call_id, ref); -1 without a level."""
+    key = ["conv_id", "turn", "seq", "mark"]
+    waiting = cut(needs)
+    done = waiting.select(*key, F.lit(0).alias("level")).limit(0)
+    if waiting.isEmpty():
+        return done
+    known = calls.where("call_id IS NOT NULL").select("conv_id", F.col("call_id").alias("ref")).distinct()
+    missing = cut(waiting.join(known, ["conv_id", "ref"], "left_anti").select(*key).distinct())
+    number = 0
+    while True:
+        number += 1
+        open_ = waiting.where("call_id IS NOT NULL").select("conv_id", F.col("call_id").alias("ref")).distinct()
+        blocked = waiting.join(open_, ["conv_id", "ref"], "left_semi").select(*key).unionByName(missing).distinct()
+        ready = cut(waiting.select(*key).distinct().join(blocked, key, "left_anti"))
+        if ready.isEmpty():
+            return done.unionByName(waiting.select(*key).distinct().withColumn("level", F.lit(-1)))
+        done = done.unionByName(ready.withColumn("level", F.lit(number)))
+        waiting = cut(waiting.join(ready, key, "left_anti"))
 
 
 def _placed(rows: DataFrame) -> DataFrame:
@@ -129,7 +147,7 @@ def _placed(rows: DataFrame) -> DataFrame:
     """
     from pyspark.sql import Window
 
-    rows = rows.withColumn("block", F.floor(F.col("turn") / BLOCK))
+    rows = rows.withColumn("block", F.struct(F.col("level") < 0, "level", F.floor(F.col("turn") / BLOCK).alias("turns")))
     blocks = rows.groupBy("conv_id", "block").count()
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offset = blocks.select("conv_id", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))

@@ -31,6 +31,7 @@ def test_tool_calls_in_json(spark):
         (1, 3, "tool", result("c1", "4")),
         (1, 4, "assistant", call(("c4", "say", {"text": {"$ref": "c1"}}), ("c5", "unknown", {}), ("c6", "say", {"text": "x", "after": {"$ref": "c7"}}))),
         (1, 5, "assistant", call(("c7", "say", {"text": "later", "after": {"$ref": "c4"}}))),
+        (1, 5, "assistant", call(("x1", "say", {"text": "1", "after": {"$ref": "x2"}}), ("x2", "say", {"text": "2", "after": {"$ref": "x1"}}), ("x3", "say", {"text": "3", "after": {"$ref": "nowhere"}}))),
         (1, 6, "tool", result("none", "lost")),
         (1, 7, "tool", "{not json"),
         (2, 0, "user", None),
@@ -46,7 +47,10 @@ def test_tool_calls_in_json(spark):
     assert json.loads(json.loads(c2.line)["arguments"]) == {"text": 'é"x'}
     assert not got[1, "c3"].valid and got[1, "c3"].n_results == 0
     assert got[1, "c4"].ordered and not got[1, "c4"].valid  # the reference is an object, not a string
-    assert not got[1, "c5"].valid and not got[1, "c6"].ordered and not got[1, "c7"].ordered  # c4 has no result
+    assert not got[1, "c5"].valid
+    assert [got[1, c].level for c in ("c1", "c4", "c7", "c6", "x1", "x2", "x3")] == [0, 1, 2, 3, -1, -1, -1]
+    assert got[1, "c6"].ordered and got[1, "c4"].place < got[1, "c7"].place < got[1, "c6"].place < min(got[1, x].place for x in ("x1", "x2", "x3"))
+    assert not any(got[1, x].ordered for x in ("x1", "x2", "x3"))
     assert got[1, "none"].name is None and json.loads(got[1, "none"].line)["result"] == "lost"
     assert json.loads(got[2, "turn:0"].line)["result"] == "hello"
     assert {k[0] for k in got} == {1, 2}
@@ -161,6 +165,7 @@ def test_descent_improves_a_poor_graph(spark):
         ("<article><p>a<b>b</b><i> c</i><script>x='<p>'</script><style>p{}</style><!-- no --></p></article>", "ab c"),
         ("<article><p>&lt;tag&gt; &#233; &nbsp;x</p><div class='ad'>buy</div><ul><li>1<li>2</ul></article>", "<tag> é x\n1\n2"),
         ("<p>never closed <b>bold", "never closed bold"),
+        ("<div class='post tag-news side-by-side'><p>kept text</p><p style='display: none'>no</p><div class=tags>x</div><ol class=commentlist><li>c</ol></div>", "kept text"),
         ("<div class=cookie-notice>we use cookies</div><div><p>text</p></div>", "text"),
     ],
 )
