@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -32,7 +32,12 @@ ADD, ADD_CLASS = 0.5, 0.1
 #: Entries of a task's counters before they are handed on, and of words whose unit it remembers; bytes of text that it
 #: works on at once.
 HELD, REMEMBERED, AT_ONCE = 200_000, 100_000, 4 << 20
-END, START = "\n", "\t"  # no word contains white space
+END = "\n"  # no word contains white space
+
+
+def magnitude(c) -> Column:
+    """Sixteen steps for each doubling of a count."""
+    return F.floor(F.log2(c) * 16).cast("int")
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -199,7 +204,7 @@ class BrownModel:
     inside: np.ndarray  # of each shape unit, log10 of what its words' smoothed counts are divided by
     common: list[bytes]  # the most frequent words, with their counts
     often: np.ndarray
-    least: int  # words of the corpus that are not in common occur this often at most
+    least: int  # the least magnitude of counts that common has in full
     total: int
     distinct: int
 
@@ -208,10 +213,16 @@ def train(docs: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, c
     """The model and the table (word, c) of all counts, in the shared folder."""
     counts = cut(word_counts(docs))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(common).toArrow()
+    # words of the highest magnitudes of counts, as many magnitudes as fit the table; there are some hundreds of them
+    sizes = {r.m: r.n for r in counts.groupBy(magnitude(F.col("c")).alias("m")).agg(F.count("*").alias("n")).collect()}
+    least, room = 1 << 30, common
+    for m in sorted(sizes, reverse=True):
+        if (room := room - sizes[m]) < 0:
+            break
+        least = m
+    top = counts.where((magnitude(F.col("c")) >= least) | (F.col("word") == END)).toArrow().sort_by([("c", "descending"), ("word", "ascending")])
     table, often_words = [w.encode() for w in top["word"].to_pylist()], top["c"].to_numpy()
     words = [w for w in top["word"].slice(0, clustered + 1).to_pylist() if w != END][:clustered]
-    least = top["c"][-1].as_py() if len(top) else 0
     del top
     vocabulary = {w.encode(): i + 2 for i, w in enumerate(words)}
 
@@ -323,7 +334,7 @@ def score(docs: DataFrame, model: BrownModel, counts: DataFrame, doc_id: str = "
     shared = sc.broadcast(model)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     lead = f"doc_id {kinds[doc_id]}" + "".join(f", {c} {kinds[c]}" for c in keep)
-    rest = "digest bigint, n_tokens bigint, n_known bigint, base double, own double, rare array<struct<word:string,times:int>>"
+    rest = "n_tokens bigint, n_known bigint, base double, own double, rare array<struct<word:string,times:int>>"
     rare_type = pa.list_(pa.struct([("word", pa.string()), ("times", pa.int32())]))
 
     def of(batches):
@@ -333,16 +344,16 @@ def score(docs: DataFrame, model: BrownModel, counts: DataFrame, doc_id: str = "
             for batch in _some(whole):
                 yield _scored(batch, m, memo, known, names, rare_type)
 
-    names = ["doc_id", *keep, "digest"]
-    # equal rows are told apart by nothing, and need not be: they have equal words, and each row is joined with their sums
-    rows = cut(docs.select(F.col(doc_id).alias("doc_id"), *keep, F.xxhash64(text).alias("digest"), F.col(text).alias("_text")).mapInArrow(of, f"{lead}, {rest}"))
-    words = rows.select("doc_id", "digest", "rare").dropDuplicates(["doc_id", "digest"]).select("doc_id", "digest", F.explode("rare").alias("r")).select("doc_id", "digest", "r.word", "r.times")
+    names = ["doc_id", *keep]
+    # written rows keep their partitions, so these numbers hold
+    rows = cut(docs.select(F.col(doc_id).alias("doc_id"), *keep, F.col(text).alias("_text")).mapInArrow(of, f"{lead}, {rest}")).withColumn("row", F.monotonically_increasing_id())
+    words = rows.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times")
     # counts of the table are known; the rest is joined by word
-    others = counts.where(F.col("c") <= model.least)
-    joined = words.join(others, "word", "left").select("doc_id", "digest", "times", F.coalesce("c", F.lit(0)).alias("c"))
+    others = counts.where(magnitude(F.col("c")) < model.least)
+    joined = words.join(others, "word", "left").select("row", "times", F.coalesce("c", F.lit(0)).alias("c"))
     log = F.log10(F.col("c") + ADD) * F.col("times")
-    sums = joined.groupBy(F.col("doc_id").alias("_doc"), F.col("digest").alias("_digest")).agg(F.sum(log).alias("far"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("far_known"))
-    whole = rows.drop("rare").join(sums, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("digest") == F.col("_digest")), "left")
+    sums = joined.groupBy("row").agg(F.sum(log).alias("far"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("far_known"))
+    whole = rows.drop("rare").join(sums, "row", "left")
     far = F.coalesce("far", F.lit(0.0))
     below = float(np.log10(max(model.total + ADD * (model.distinct + 1), ADD)))
     return whole.select(
