@@ -75,6 +75,17 @@ def remainder(doc_id, modulus: int):
     return F.crc32(F.col(doc_id).cast("string")) % modulus
 
 
+def first_by_hash(df: DataFrame, limit: int, total: int, *keys: str) -> DataFrame:
+    """limit rows in the order of a hash of the keys, of some total rows; ties by the keys.
+
+    Each task hands its first rows on to one task, so a large table is thinned first, by another hash, to some twice the
+    limit (a table of up to four times the limit is not).
+    """
+    if total > 4 * limit:
+        df = df.where(F.pmod(F.xxhash64(F.lit(1), *keys), F.lit(1 << 30)) < int((1 << 30) * min(1.0, (2 * limit + 100) / total)))
+    return df.orderBy(F.xxhash64(*keys), *keys).limit(limit)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, per_class: int) -> DataFrame:
     """At most per_class training documents of each class: (doc_id, text, label).
 
@@ -87,9 +98,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
         .groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("label"))
     )
+    sizes = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
     picked = None
     for value in (0, 1):
-        part = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        part = first_by_hash(known.where(F.col("label") == value), per_class, sizes.get(value, 0), "doc_id")
         picked = part if picked is None else picked.unionByName(part)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))

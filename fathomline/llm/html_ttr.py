@@ -38,11 +38,14 @@ CLOSES_P = BLOCKS - frozenset("br body head html title td th tr tbody thead tfoo
 SIBLINGS = {"li": ("li", ("ul", "ol", "menu", "dir")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
 #: Containers that can hold an article.
 HOLDERS = frozenset("article main section div body html td center".split())
-#: Names (class, id, role) of what surrounds an article, as whole words of the name.
+#: Names (class, id, role) of what surrounds an article, as words of a name; and those that only count as whole names,
+#: since they are parts of harmless ones.
 NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adsense|banners?|sponsor(?:ed|s)?|promos?|promotions?|menus?|nav|navbar|navigation|breadcrumbs?|sidebars?|side|aside|footers?|masthead|topbar|toolbar|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlays?|newsletters?|subscri(?:be|ption)|signup|login|search|forms?|comments?|replies|respond|disqus|discussion|related|recommend(?:ed|ations?)?|share|sharing|social|widgets?|pagination|pager|copyright|legal|disclaimer|complementary|contentinfo|dialog|toc|skip|tags?|teasers?|trending|paywall)(?:$|[\s_-])",
+    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adsense|banners?|sponsor(?:ed|s)?|promos?|promotions?|menus?|navbar|navigation|breadcrumbs?|sidebars?|footers?|masthead|topbar|toolbar|cookies?|consent|gdpr|notices?|popups?|modals?|overlays?|newsletters?|subscri(?:be|ption)|signup|comments?|commentlist|replies|disqus|related|recommend(?:ed|ations?)|pagination|copyright|complementary|contentinfo)(?:$|[\s_-])",
     re.I,
 )
+WHOLE_NAMES = frozenset("nav side aside alert alerts login search form forms respond discussion share sharing social widget widgets pager legal disclaimer dialog toc skip skip-link tags tag-list teaser teasers trending paywall".split())
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: A header with this name or outside an article is page furniture; within one it may hold the headline.
 HEADER_NAMES = re.compile(r"(?:^|[\s_-])(?:site|page|global|top|main)?-?header(?:$|[\s_-])", re.I)
 
@@ -108,8 +111,9 @@ class Lines(HTMLParser):
         if not furniture and tag not in ("html", "body", "article", "main"):
             given = dict(attrs)
             name = " ".join(v for a in ("class", "id", "role") if (v := given.get(a)))
-            named = name and (NAMES.search(name) or not inside and HEADER_NAMES.search(name))
-            furniture = tag in ASIDE or bool(named) or tag == "header" and not inside or "hidden" in given or given.get("aria-hidden") == "true"
+            named = name and (NAMES.search(name) or not WHOLE_NAMES.isdisjoint(name.lower().split()) or not inside and HEADER_NAMES.search(name))
+            hidden = "hidden" in given or given.get("aria-hidden") == "true" or _HIDDEN.search(given.get("style") or "")
+            furniture = tag in ASIDE or bool(named) or tag == "header" and not inside or bool(hidden)
         if tag in HOLDERS:
             self.parent.append(holder)
             self.kind.append(tag)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, first_by_hash
 
 #: Neighbours of a node, and nodes that it is a neighbour of, that a round brings together; rounds.
 NEIGHBOURS, REVERSE, ROUNDS = 24, 8, 2
@@ -115,7 +115,7 @@ def first_graph(vectors: DataFrame, total: int, k: int, trees: int, leaf: int, s
 
     Leaves that grow beyond the bound, where the sample was thin, are split by a hash into parts that don't.
     """
-    sample = vectors.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vector").toArrow()
+    sample = first_by_hash(vectors.select("node", "vector"), SAMPLE, total, "node").select("vector").toArrow()
     planted = plant(_matrix(sample["vector"]), trees, total, leaf, seed)
     shared = vectors.sparkSession.sparkContext.broadcast(planted)
 
