@@ -32,11 +32,18 @@ def limits(lengths: DataFrame, block: int = BLOCK) -> DataFrame:
     """
     rows = lengths.withColumn("block", F.floor(F.col("length") / block)).withColumn("tokens", F.col("length") * F.col("docs"))
     blocks = rows.groupBy("block").agg(F.sum("docs").alias("d"), F.sum("tokens").alias("t"))
-    # blocks are few: as many as the longest document has tokens, by the block
-    before = blocks.alias("a").join(blocks.alias("b"), F.col("b.block") < F.col("a.block"), "left").groupBy("a.block").agg(F.coalesce(F.sum("b.d"), F.lit(0)).alias("d0"), F.coalesce(F.sum("b.t"), F.lit(0)).alias("t0"))
-    every = blocks.agg(F.sum("d").alias("all_docs"), F.sum("t").alias("all_tokens"))
+    # blocks are few, as many as the longest document has tokens by the block: one task sums them
+    order = Window.partitionBy(F.lit(0)).orderBy("block")
+    earlier, every = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = blocks.select(
+        "block",
+        F.coalesce(F.sum("d").over(earlier), F.lit(0)).alias("d0"),
+        F.coalesce(F.sum("t").over(earlier), F.lit(0)).alias("t0"),
+        F.sum("d").over(every).alias("all_docs"),
+        F.sum("t").over(every).alias("all_tokens"),
+    )
     upto = Window.partitionBy("block").orderBy("length").rowsBetween(Window.unboundedPreceding, 0)
-    summed = rows.join(before, "block").crossJoin(F.broadcast(every))  # one row
+    summed = rows.join(before, "block")
     fit, fit_tokens = F.col("d0") + F.sum("docs").over(upto), F.col("t0") + F.sum("tokens").over(upto)
     got = summed.select("length", "docs", "all_docs", "all_tokens", fit.alias("docs_fit"), fit_tokens.alias("tokens_fit"))
     over = F.col("all_docs") - F.col("docs_fit")
