@@ -38,10 +38,10 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 class Scratch:
-    """Parquet tables in the shared folder, for results that an iteration replaces; close() removes them."""
+    """Parquet tables in the shared folder, one after another; drop() removes one that is no longer read."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}", 0
+        self.spark, self.root, self.n, self.last = spark, f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}", 0, ""
 
     def put(self, df: DataFrame) -> DataFrame:
         self.n += 1
@@ -55,9 +55,6 @@ class Scratch:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
-    def close(self) -> None:
-        self.drop(self.root)
-
 
 def spare_name(df: DataFrame, *wanted: str) -> list[str]:
     """Column names close to the wanted ones that clash with none of the frame's."""
