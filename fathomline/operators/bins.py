@@ -24,8 +24,8 @@ def bin_mean(df: DataFrame, keys: list[str], depth: str, size: float, values: li
     middle = ((F.col("bin") - 0.5) * size).alias(depth)
     if not grid:
         return (means if deepest is None else means.where(F.col("bin") <= F.ceil(F.lit(deepest / size)))).select(*keys, "bin", middle, *(v for v in values if v != depth))
-    count = df.agg(F.ceil((F.lit(float(deepest)) if deepest is not None else F.max(depth)) / size).cast("int").alias("__bins"))
-    cells = df.select(*keys).distinct().crossJoin(F.broadcast(count)).where("__bins > 0").select(*keys, F.explode(F.sequence(F.lit(1), F.col("__bins"))).alias("bin"))  # one row is broadcast
+    last = F.ceil(F.lit(float(deepest)) / size).cast("int") if deepest is not None else df.agg(F.ceil(F.max(depth) / size).cast("int")).scalar()
+    cells = df.select(*keys).distinct().withColumn("__bins", last).where("__bins > 0").select(*keys, F.explode(F.sequence(F.lit(1), F.col("__bins"))).alias("bin"))
     return cells.join(means, [*keys, "bin"], "left").select(*keys, "bin", middle, *(v for v in values if v != depth))
 
 
