@@ -77,7 +77,7 @@ def hashed_all(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def windows(n: int) -> np.ndarray:
     """Places of the words of each window over n words, -1 beyond the end; one window without words if n is 0."""
     first = np.arange(0, max(n - WINDOW + HOP, 1), HOP) if n > WINDOW else np.zeros(1, np.int64)
-    at = first[:, None] + np.arange(WINDOW)
+    at = first.astype(np.int32)[:, None] + np.arange(WINDOW, dtype=np.int32)
     return np.where(at < n, at, -1)
 
 
@@ -310,7 +310,7 @@ class Scorer:
         if len(self.ids) > CACHE:
             self.ids = {}
         ids, had = self.ids, len(self.ids)
-        codes = [np.fromiter((ids.setdefault(w, len(ids)) for w in d), np.int64, len(d)) for d in docs]
+        codes = [np.fromiter((ids.setdefault(w, len(ids)) for w in d), np.int32, len(d)) for d in docs]
         if len(ids) > len(self.rows):
             grown = np.zeros((max(len(ids), 2 * len(self.rows)), 6 * STATES), np.float32)
             grown[:had] = self.rows[:had]
@@ -318,7 +318,7 @@ class Scorer:
         if len(ids) > had:
             self.rows[had : len(ids)] = self.net.inputs(list(itertools.islice(ids, had, None))) @ self.net.p["wx"] + self.net.p["b"]
         top = np.full(len(docs), -np.inf)
-        parts = [np.where((w := windows(len(c))) >= 0, np.append(c, 0)[w], -1) for c in codes]
+        parts = [np.where((w := windows(len(c))) >= 0, np.append(c, np.int32(0))[w], np.int32(-1)) for c in codes]
         owner = np.repeat(np.arange(len(docs)), [len(w) for w in parts])
         win = np.concatenate(parts)
         length = (win >= 0).sum(1)
