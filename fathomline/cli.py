@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from . import __version__
+from .operators import timeseries as ts
 from .plans import config as cfg
 from .plans import pipeline
 from .sources import level1, matfile, netcdf, sinks
@@ -44,7 +45,12 @@ def l2(a, spark):
         names = sinks.emit_profiles(done.obs, done.uv, pipeline.BY, a.profiles, config.trajectory.rsplit("_", 1)[-1], config.sections.get("instruments"), a.force)
         _log.info("%d profiles written", len(names))
     if a.pings:
-        pings = sinks.ping_table(raw[1].withColumn("time", F.col("sci_m_present_time")), pipeline.BY)
+        rows = raw[1].withColumn("time", F.col("sci_m_present_time")).where("time IS NOT NULL")
+        if a.ping_positions:
+            track = level1.read_level(spark, a.out).obs
+            have = [c for c in ("depth", "lat", "lon") if c in track.columns]
+            rows = ts.interp_join(rows.drop(*have), track.select(*pipeline.BY, "time", *(F.col(c).cast("double").alias(c) for c in have)), have, pipeline.BY, skip_nulls=True)
+        pings = sinks.ping_table(rows, pipeline.BY, a.ping_positions)
         if pings is not None:
             sinks.write_csv(pings, a.pings)
 
@@ -132,7 +138,7 @@ def parser() -> argparse.ArgumentParser:
     out, file, config = (("-o", "--out"), {"required": True}), (("file",), {}), (("-c", "--config"), {})
     on = {"action": "store_true"}
     add("l1b", l1b, file, out, config)
-    add("l2", l2, (("flight",), {}), (("science",), {}), out, config, (("--shallowest",), {"type": float, "default": 5.0}), (("--surface-time",), {"type": float, "default": 180.0}), (("--skip-unpaired",), on), (("--profiles",), {}), (("--force",), on), (("--pings",), {}))
+    add("l2", l2, (("flight",), {}), (("science",), {}), out, config, (("--shallowest",), {"type": float, "default": 5.0}), (("--surface-time",), {"type": float, "default": 180.0}), (("--skip-unpaired",), on), (("--profiles",), {}), (("--force",), on), (("--pings",), {}), (("--ping-positions",), on))
     add("l3", l3, file, out, config, (("-b", "--bin"), {"type": float, "default": 10.0}), (("-d", "--depth"), {"type": float}), (("-q", "--turbulence"), {}))
     add("merge", merge, file, (("turbulence",), {}), (("kind",), {"choices": ["q", "p"]}), out)
     add("hot", hot, file, out)

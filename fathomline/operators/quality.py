@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.units import CONVERSIONS
@@ -118,6 +118,12 @@ def apply_qc(df: DataFrame, config: Config, by: list[str], order: list[str]) ->
     return interpolate_missing(df, {v.name: v.max_gap for v in have if v.interpolate_missing}, by)
 
 
+def observed(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """df, and an observation that counts rows with each condition when df is first computed; no pass of its own."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.count(F.when(c, 1)).alias(n) for n, c in counts.items())), seen
+
+
 def any_nonzero(names: Iterable[str]) -> Column:
     """Whether any of the columns is neither null nor zero."""
     return reduce(lambda a, b: a | b, (F.coalesce(F.col(c), F.lit(0)) != 0 for c in names))

@@ -225,3 +225,21 @@ def midpoints(df: DataFrame, x: str, by: list[str], order: list[str], name: str
     """A row for each pair of neighbours, with their mean."""
     got = lag_lead(df, by, order, lead={"__next": F.col(x)}, width=width)
     return got.where(F.col("__next").isNotNull()).withColumn(name, (F.col(x) + F.col("__next")) / 2).drop("__next")
+
+
+def edges(df: DataFrame, x: str, by: list[str], name: str = "edge", width: float | None = BLOCK) -> DataFrame:
+    """(by, edge): the edges of cells around centres: the midpoints, and half a step beyond the first and the last.
+
+    A lone centre has no step and gives no edge.
+    """
+    got = lag_lead(df.select(*by, x), by, [x], {"__x0": F.col(x)}, {"__x1": F.col(x)}, width)
+    c, x0, x1 = F.col(x), F.col("__x0"), F.col("__x1")
+    below = F.when(x0.isNull(), c - (x1 - c) / 2)
+    above = F.when(x1.isNull(), c + (c - x0) / 2).otherwise((c + x1) / 2)
+    return got.select(*by, F.explode(F.array_compact(F.array(below, above))).alias(name))
+
+
+def interpolate_angle(t: Column, t0: Column, y0: Column, t1: Column, y1: Column) -> Column:
+    """Linear along the shorter way round, in degrees from 0 to 360: an option for headings."""
+    turn = F.pmod(y1 - y0 + 180, F.lit(360.0)) - 180
+    return F.pmod(interpolate(t, t0, y0, t1, y0 + turn), F.lit(360.0))

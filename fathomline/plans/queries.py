@@ -312,6 +312,12 @@ def midpoints(spark, d):
     return rounded(ts.midpoints(_unique(spark, d), "value", BY, ["time"]).select(*BY, "event_id", "mid"), mid=6)
 
 
+@query("WITH c AS (SELECT DISTINCT l_suppkey % 20 AS s, l_quantity AS x FROM lineitem), n AS (SELECT *, lag(x) OVER w AS x0, lead(x) OVER w AS x1 FROM c WINDOW w AS (PARTITION BY s ORDER BY x)) SELECT s, x - (x1 - x) / 2 AS edge FROM n WHERE x0 IS NULL AND x1 IS NOT NULL UNION ALL SELECT s, CASE WHEN x1 IS NULL THEN x + (x - x0) / 2 ELSE (x + x1) / 2 END FROM n WHERE x1 IS NOT NULL OR x0 IS NOT NULL")
+def cell_edges(spark, d):
+    centres = table(spark, d, "lineitem").select((F.col("l_suppkey") % 20).alias("s"), F.col("l_quantity").alias("x")).distinct()
+    return ts.edges(centres, "x", ["s"], "edge")
+
+
 @query(f"WITH {TEL}, {UNIQUE}, m AS (SELECT trajectory, time - lag(time) OVER (PARTITION BY trajectory ORDER BY time) AS dt FROM uniq) SELECT trajectory, round(median(dt), 6) AS dt FROM m GROUP BY trajectory")
 def median_interval(spark, d):
     got = ts.lag_lead(_unique(spark, d), BY, ["time"], lag={"t0": F.col("time")})

@@ -12,7 +12,7 @@ from fathomline.functions import seawater
 from fathomline.operators import flight
 from fathomline.plans import config as cfg
 from fathomline.plans import queries
-from fathomline.sources import level1, matfile, netcdf
+from fathomline.sources import level1, matfile, netcdf, sinks
 from fathomline.streaming import live
 
 BY = ["trajectory"]
@@ -168,6 +168,15 @@ def test_command_line(spark, tmp_path, monkeypatch):
             assert f"{name}_qc" in level.obs.columns
     assert {r.state for r in level.obs.select("state").distinct().collect()} >= {0, 1, 2}
     assert spark.read.parquet(f"{tmp_path}/profiles").select("profile_key").distinct().count() >= 8
+    pinged = tmp_path / "pinged"
+    pinged.mkdir()
+    for k in (0, 1):
+        (pinged / f"m{k}.sbd.csv").write_text((tmp_path / f"m{k}.sbd.csv").read_text())
+        lines = (tmp_path / f"m{k}.tbd.csv").read_text().splitlines()
+        (pinged / f"m{k}.tbd.csv").write_text("\n".join([lines[0] + "," + ",".join(sinks.PING_SENSORS), *(x + "," + ",".join(["19000", "5", "7"] + ["1"] * 8 if i % 50 == 0 else [""] * 11) for i, x in enumerate(lines[1:]))]) + "\n")
+    run("l2", f"{pinged}/*.sbd.csv", f"{pinged}/*.tbd.csv", "-o", tmp_path / "l2p", "--pings", tmp_path / "pings", "--ping-positions")
+    sent = spark.read.option("header", True).csv(f"{tmp_path}/pings")
+    assert sent.count() == 40 and sent.columns[-3:] == ["depth", "lat", "lon"] and sent.where("lat IS NOT NULL").count() > 30
     run("l3", tmp_path / "l2", "-o", tmp_path / "l3", "-b", 10)
     bins_ = spark.read.parquet(f"{tmp_path}/l3/obs")
     assert bins_.where("temperature IS NOT NULL AND abs(temperature - (18 - pressure / 20)) > 0.01").count() == 0

@@ -110,3 +110,17 @@ def test_bins_are_closed_below_and_empty_ones_stay(spark):
 def test_empty_series(spark):
     none = frame(spark, [])
     assert ts.fill_gaps(none, {"y": 1.0}, BY).count() == ts.interp_join(none, none, ["y"], BY).count() == ts.islands(none, F.col("y") > 0, BY, ["time"]).count() == 0
+
+
+def test_edges_and_angles(spark):
+    df = frame(spark, [("a", x, x) for x in (0.0, 1.0, 3.0)] + [("b", 1.0, 1.0)])
+    assert sorted(r.edge for r in ts.edges(df, "y", BY).collect()) == [-0.5, 0.5, 2.0, 4.0]
+    got = spark.range(1).select(*(ts.interpolate_angle(F.lit(0.5), F.lit(0.0), F.lit(a), F.lit(1.0), F.lit(b)) for a, b in ((350.0, 10.0), (10.0, 350.0), (90.0, 180.0)))).first()
+    assert [round(x, 9) % 360 for x in got] == [0.0, 0.0, 135.0]
+
+
+def test_counts_come_with_the_rows(spark):
+    from fathomline.operators.quality import observed
+
+    df, seen = observed(frame(spark, [("a", 1.0, None), ("a", 2.0, 3.0)]), known=F.col("y").isNotNull())
+    assert df.count() == 2 and seen.get == {"rows": 2, "known": 1}
