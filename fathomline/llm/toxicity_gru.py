@@ -28,7 +28,8 @@ from .common import labelled_sample
 WINDOW, HOP, PER_CLASS, POOL, PER_DOC = 48, 24, 2000, 200, 10
 #: Rows of the tables of word and n-gram vectors, width of inputs, states of each direction, lengths of n-grams.
 WORDS, GRAMS, WIDTH, STATES, SPANS = 1 << 17, 1 << 17, 16, 8, (3, 4)
-EPOCHS, BATCH, RATE, HARD = 4, 96, 0.015, 2
+#: Epochs at least and at most, between which few documents get more of them, for some STEPS in all.
+EPOCHS, MOST_EPOCHS, STEPS, BATCH, RATE, HARD = 4, 8, 1100, 96, 0.015, 2
 #: Words whose inputs a worker keeps, at most; windows that it scores, and words that it hashes, at once.
 CACHE, AT_ONCE, SOME = 80_000, 2048, 20_000
 
@@ -231,7 +232,9 @@ def fit(texts: list[str], labels: list[int], seed: int = 3) -> Network:
         v[rows] = 0.99 * v[rows] + 0.01 * grad**2
         net.p[name][rows] -= rate * (m[rows] / (1 - 0.9**step)) / (np.sqrt(v[rows] / (1 - 0.99**step)) + 1e-6)
 
-    for epoch in range(EPOCHS):
+    drawn = sum(min(PER_DOC, k) for k in np.bincount(owner[~calibrate])) // BATCH + 1
+    epochs = min(MOST_EPOCHS, max(EPOCHS, -(-STEPS // drawn)))
+    for epoch in range(epochs):
         rank = draw.random(len(win))
         if epoch >= 2:
             logit = score_windows(net, list(ids), win)
@@ -255,7 +258,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 3) -> Network:
             vec = net.p["word"][whole[used]] + np.add.reduceat(net.p["gram"][grams[flat]], edge) / size[:, None].astype(np.float32)
             x = vec[place.reshape(w.shape)] * mask[:, :, None]
             g, dx = net.learn(x, mask, toxic[pick].astype(np.float32), np.where(toxic[pick], balance, 1).astype(np.float32))
-            rate = RATE * (1.02 - (epoch + i / len(order)) / EPOCHS)
+            rate = RATE * (1.02 - (epoch + i / len(order)) / epochs)
             for name, grad in g.items():
                 adam(name, slice(None), np.clip(grad, -1, 1), rate)
             _, dv = summed(place.reshape(-1), (dx * mask[:, :, None]).reshape(-1, WIDTH))
