@@ -47,18 +47,18 @@ def profile_facts(df: DataFrame, by: list[str], key: str = "l2_profile_id") -> D
 def interpolate_velocity(facts: DataFrame, uv: DataFrame, by: list[str]) -> DataFrame:
     """facts with u and v at profile_time: between known reports only, null next to an unknown one.
 
-    Unknown is a report without u or without v.
+    Unknown is a report without u or without v. Profiles and reports are sparse: a series of them takes one window.
     """
     reports = uv.where("time_uv IS NOT NULL").select(*by, F.col("time_uv").alias("time"), "u", "v")
     known = F.col("u").isNotNull() & F.col("v").isNotNull()
     whole = reports.where(known).select(*by, "time", "u", "v")
     left = facts.withColumn("time", F.col("profile_time"))
-    got = ts.interp_join(left, whole, ["u", "v"], by)
+    got = ts.interp_join(left, whole, ["u", "v"], by, width=None)
     marks = reports.select(*by, "time", known.alias("__known"))
     # as a search for the place of a time does, a report at that very time counts as the one after
-    after = ts.next_join(got, marks, ["__known"], by).withColumnRenamed("__known", "__after")
+    after = ts.next_join(got, marks, ["__known"], by, width=None).withColumnRenamed("__known", "__after")
     tagged = ts._tagged(after, marks, by, "time", ["__known"]).withColumn("__late", F.lit(1) - F.col("__side"))
-    before = ts.carry(tagged, by, ["time", "__late"], {"__b": (F.col("__right"), "before")})
+    before = ts.carry(tagged, by, ["time", "__late"], {"__b": (F.col("__right"), "before")}, width=None)
     out = before.where("__side = 1").select("__left.*", F.col("__b.__known").alias("__before"))
     fine = F.coalesce("__after", F.lit(True)) & F.coalesce("__before", F.lit(True))
     return out.withColumns({"u": F.when(fine, F.col("u")), "v": F.when(fine, F.col("v"))}).drop("__after", "__before", "time")
