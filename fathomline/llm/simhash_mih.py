@@ -147,8 +147,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     component_id is the smallest doc_id that is reached, null ids left out; digest is a hash of the text.
     """
     rows = cut(docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("digest"), fingerprint_column(text).alias("fp")))
+    return component_ids(rows, cut(links(cut(rows.select("fp").distinct()), heavy)))
+
+
+def component_ids(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """(doc_id, digest, fp, component_id) of rows (doc_id, digest, fp) by edges (a, b) between fps, both written."""
     nodes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    reach = components(cut(links(nodes.select("fp"), heavy)))
+    reach = components(edges)
     rooted = nodes.join(reach, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     found = rooted.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
@@ -160,7 +165,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Rows equal in id and text are one; a row without an id stays only where no row of the component has one.
     """
-    marks = near_duplicates(docs)
+    return kept(docs, near_duplicates(docs))
+
+
+def kept(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The rows that keep_one() keeps. marks: (doc_id, digest, fp, component_id)."""
     _id, _digest, _many = spare_name(docs, "_id", "_digest", "_many")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
     # components without any id are told apart by a fingerprint
@@ -173,9 +182,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
         .groupBy(_id, _digest)
         .agg(F.max(_many).alias(_many))
     )
-    kept = docs.join(picked, docs["doc_id"].eqNullSafe(F.col(_id)) & (F.xxhash64(docs["text"]) == F.col(_digest)))
-    single = kept.where(F.col(_many) == 1).select(docs["*"])
-    repeated = kept.where(F.col(_many) > 1).dropDuplicates([_id, _digest]).select(docs["*"])
+    found = docs.join(picked, docs["doc_id"].eqNullSafe(F.col(_id)) & (F.xxhash64(docs["text"]) == F.col(_digest)))
+    single = found.where(F.col(_many) == 1).select(docs["*"])
+    repeated = found.where(F.col(_many) > 1).dropDuplicates([_id, _digest]).select(docs["*"])
     return single.unionByName(repeated)
 
 
