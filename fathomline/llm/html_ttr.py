@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 
 #: Deviation of the smoothing, in lines; share of the deviation of ratios above which a line counts as content.
 SIGMA, SHARE = 1.0, 0.5
-#: Share of the clustered text that a container holds at least.
-HELD = 0.6
 
 # Elements of the HTML standard by their role.
 BLOCKS = frozenset(
@@ -188,9 +186,9 @@ def extract(page: str | None) -> str:
     around = [n]
     while n:
         around.append(n := parent[n])
-    # an article that holds the longest line, or a main part, or the smallest element with most of the clustered text
+    # an article that holds the longest line, or a main part, or the smallest element with all of the clustered text
     named = [n for k in ("article", "main") for n in around[::-1] if kind[n] == k]
-    holder = named[0] if named else next(n for n in around if mass[n] >= HELD * mass[0])
+    holder = named[0] if named else next(n for n in around if mass[n] == mass[0])
     within = [False] * len(kind)
     for n in range(len(kind)):
         within[n] = n == holder or n > holder and within[parent[n]]
