@@ -478,23 +478,36 @@ def surface_state(spark, d):
     return profiles.assign_surface(_unknown(spark, d), BY, fixes).select(*BY, "event_id", "state")
 
 
+#: The stretches that profiles.stretches() cuts, of a table x (trajectory, time, pressure, ...), as a table named first.
+_STRETCHES = """{0}_n AS (SELECT *, last_value(CASE WHEN pressure >= 2 THEN time END IGNORE NULLS) OVER (PARTITION BY trajectory ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS da,
+ first_value(CASE WHEN pressure >= 2 THEN time END IGNORE NULLS) OVER (PARTITION BY trajectory ORDER BY time ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS db,
+ last_value(CASE WHEN pressure < 2 THEN time END IGNORE NULLS) OVER (PARTITION BY trajectory ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS su FROM {1}),
+ {0} AS (SELECT *, count(CASE WHEN pressure < 2 AND db - da >= 300 AND time >= (da + db) / 2 AND (su IS NULL OR su < (da + db) / 2) THEN 1 END) OVER (PARTITION BY trajectory ORDER BY time ROWS UNBOUNDED PRECEDING) AS st FROM {0}_n)"""
+
+
 @query(
-    _UNKNOWN_RUNS.format("", "un")
-    + """, h AS (SELECT *, first_value(time) OVER (PARTITION BY trajectory, run ORDER BY pressure DESC NULLS LAST, time) AS deep, first_value(time) OVER (PARTITION BY trajectory, run ORDER BY pressure ASC NULLS LAST, time) AS top FROM g)
- SELECT trajectory, event_id, CAST(CASE WHEN state = -1 AND n <= 4 AND lo >= 2 AND pv IN (1, 2) AND nx IN (1, 2) AND pv <> nx THEN CASE WHEN time <= CASE WHEN pv = 1 THEN deep ELSE top END THEN pv ELSE nx END ELSE state END AS TINYINT) AS state FROM h"""
+    f"WITH {DIVES}, {_UNKNOWN}, {_STRETCHES.format('s', 'un')}, "
+    + """rr AS (SELECT *, CASE WHEN (state = -1) IS DISTINCT FROM lag(state = -1) OVER w THEN 1 ELSE 0 END AS turn, lag(state) OVER w AS l, lead(state) OVER w AS r FROM s WINDOW w AS (PARTITION BY trajectory, st ORDER BY time)),
+ nn AS (SELECT *, sum(turn) OVER (PARTITION BY trajectory, st ORDER BY time ROWS UNBOUNDED PRECEDING) AS run FROM rr),
+ g AS (SELECT *, count(*) OVER o AS n, min(pressure) OVER o AS lo, first_value(l) OVER t AS pv, last_value(r) OVER t AS nx, first_value(time) OVER (PARTITION BY trajectory, st, run ORDER BY pressure DESC NULLS LAST, time) AS deep,
+ first_value(time) OVER (PARTITION BY trajectory, st, run ORDER BY pressure ASC NULLS LAST, time) AS top FROM nn WINDOW o AS (PARTITION BY trajectory, st, run), t AS (PARTITION BY trajectory, st, run ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+ SELECT trajectory, time, CAST(CASE WHEN state = -1 AND n <= 4 AND lo >= 2 AND pv IN (1, 2) AND nx IN (1, 2) AND pv <> nx THEN CASE WHEN time <= CASE WHEN pv = 1 THEN deep ELSE top END THEN pv ELSE nx END ELSE state END AS TINYINT) AS state FROM g"""
 )
 def apex_split(spark, d):
-    return profiles.split_apexes(_unknown(spark, d), BY, 4).select(*BY, "event_id", "state")
+    return profiles.split_apexes(_unknown(spark, d), BY, 4)
 
 
-@query(f"""WITH {DIVES}, w AS (SELECT *, count(pressure) OVER r AS n, stddev_pop(pressure) OVER r AS s FROM dives WINDOW r AS (PARTITION BY trajectory ORDER BY time ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)), c AS (SELECT *, coalesce(pressure > 2 AND n >= 3 AND s < 8, false) AS k FROM w),
- t AS (SELECT *, CASE WHEN k IS DISTINCT FROM lag(k) OVER (PARTITION BY trajectory ORDER BY time) THEN 1 ELSE 0 END AS turn FROM c), i AS (SELECT *, sum(turn) OVER (PARTITION BY trajectory ORDER BY time ROWS UNBOUNDED PRECEDING) AS run FROM t)
- SELECT trajectory, min(time) AS start, max(time) AS stop, count(*) AS n, round(avg(pressure), 6) AS mean FROM i WHERE k GROUP BY trajectory, run HAVING count(*) >= 2""")
+@query(
+    f"WITH {DIVES}, {_STRETCHES.format('s', 'dives')}, "
+    + """w AS (SELECT *, count(pressure) OVER r AS n, stddev_pop(pressure) OVER r AS dev FROM s WINDOW r AS (PARTITION BY trajectory, st ORDER BY time ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)), c AS (SELECT *, coalesce(pressure > 2 AND n >= 3 AND dev < 8, false) AS k FROM w),
+ t AS (SELECT *, CASE WHEN k IS DISTINCT FROM lag(k) OVER (PARTITION BY trajectory, st ORDER BY time) THEN 1 ELSE 0 END AS turn FROM c), i AS (SELECT *, sum(turn) OVER (PARTITION BY trajectory, st ORDER BY time ROWS UNBOUNDED PRECEDING) AS run FROM t),
+ u AS (SELECT trajectory, st, run, min(time) AS a, max(time) AS b, avg(pressure) AS m FROM i WHERE k GROUP BY ALL HAVING count(*) >= 2),
+ off AS (SELECT u.trajectory, u.st, u.run, any_value(a) AS a, any_value(b) AS b, max(i.time) FILTER (i.time < a) AS lo, min(i.time) FILTER (i.time > b) AS hi FROM u LEFT JOIN i ON i.trajectory = u.trajectory AND i.st = u.st AND NOT coalesce(abs(i.pressure - u.m) < 16, false) GROUP BY ALL),
+ wide AS (SELECT DISTINCT i.trajectory, i.time FROM i JOIN off ON off.trajectory = i.trajectory AND off.st = i.st AND (lo IS NULL OR i.time > lo OR i.time >= a) AND (hi IS NULL OR i.time < hi OR i.time <= b))
+ SELECT i.trajectory, i.time, wide.time IS NOT NULL AS drift FROM i LEFT JOIN wide ON wide.trajectory = i.trajectory AND wide.time = i.time"""
+)
 def drift_runs(spark, d):
-    w = ts.rolling_stats(dives(spark, d), "pressure", 2, BY, ["time"])
-    low = (F.col("pressure") > 2) & (F.col("pressure_count") >= 3) & (F.col("pressure_std") < 8)
-    got = ts.island_summary(w, low, BY, ["time"], [F.min("time").alias("start"), F.max("time").alias("stop"), F.count("*").alias("n"), F.avg("pressure").alias("mean")])
-    return rounded(got.where("n >= 2").drop("island"), mean=6)
+    return profiles.drifting(dives(spark, d), BY, 2, 2, 8.0)
 
 
 @query()

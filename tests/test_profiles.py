@@ -55,27 +55,102 @@ def test_nothing_to_find():
         assert (profiles.label(np.arange(len(p), dtype=float), p, None, 5.0)["state"] == -1).all()
 
 
+def labels(state):
+    state = np.array(state, np.int8)
+    return profiles.Labels(state, np.where(state == 1, 1, -1), np.where(state == 2, 1, -1), np.where(state == 1, 1, np.where(state == 2, 2, -1)))
+
+
 def test_turns_part_at_the_extreme():
-    state = np.array([1, 1, -1, -1, -1, 2, -1, -1, 1], np.int8)
-    dive, climb, profile = np.array([1, 1, -1, -1, -1, -1, -1, -1, 2]), np.array([-1, -1, -1, -1, -1, 1, -1, -1, -1]), np.array([1, 1, -1, -1, -1, 2, -1, -1, 3])
-    profiles.split_turns(state, dive, climb, profile, np.array([80.0, 90, 95, 99, 97, 90, 20, 25, 30]), 5)
-    assert state.tolist() == [1, 1, 1, 1, 2, 2, 2, 1, 1] and profile.tolist() == [1, 1, 1, 1, 2, 2, 2, 3, 3]
-    state = np.array([1, -1, 2], np.int8)
-    profiles.split_turns(state, np.array([1, -1, -1]), np.array([-1, -1, 1]), np.array([1, -1, 2]), np.array([5.0, 1.0, 5.0]), 5)
-    assert state.tolist() == [1, -1, 2]  # shallow
+    got = profiles.Labels([1, 1, -1, -1, -1, 2, -1, -1, 1], [1, 1, -1, -1, -1, -1, -1, -1, 2], [-1, -1, -1, -1, -1, 1, -1, -1, -1], [1, 1, -1, -1, -1, 2, -1, -1, 3])
+    profiles.split_turns(got, np.array([80.0, 90, 95, 99, 97, 90, 20, 25, 30]), 5)
+    state, dive, climb, profile = (c.tolist() for c in got.columns)
+    assert state == [1, 1, 1, 1, 2, 2, 2, 1, 1] and profile == [1, 1, 1, 1, 2, 2, 2, 3, 3]
+    assert dive == [1, 1, 1, 1, -1, -1, -1, 2, 2] and climb == [-1, -1, -1, -1, 1, 1, 1, -1, -1]
+    for p in ([5.0, 1.0, 5.0], [5.0, np.nan, 5.0]):  # shallow, unknown
+        got = labels([1, -1, 2])
+        profiles.split_turns(got, np.array(p), 5)
+        assert got.state.tolist() == [1, -1, 2]
 
 
 def test_transients_around_a_drift():
-    def run(state, drift, window):
-        state = np.array(state, np.int8)
-        ids = np.where(state == 1, 1, -1), np.where(state == 2, 1, -1), np.where(state == 1, 1, np.where(state == 2, 2, -1))
-        profiles.absorb_around_drift(state, *ids, np.array(drift, bool), window)
-        return state.tolist()
-
-    assert run([1, 1, 2, -1, 3, 3, 2], [0, 0, 0, 0, 1, 1, 0], 3) == [1, 1, 3, 3, 3, 3, 2]
-    assert run([1, 2, 2, 2, 3, 3], [0, 0, 0, 0, 1, 1], 3) == [1, 2, 2, 2, 3, 3]
-    assert run([3, 3, 1, -1, 2, 2], [1, 1, 0, 0, 0, 0], 3) == [3, 3, 2, 2, 2, 2]
-    assert run([3, 3, 1, 1, 1, 2], [1, 1, 0, 0, 0, 0], 3) == [3, 3, 1, 1, 1, 2]
+    def run(state, window):
+        got = labels(state)
+        profiles.settle_drifts(got, window)
+        return got.state.tolist()
+
+    assert run([1, 1, 2, -1, 3, 3, 2], 3) == [1, 1, 3, 3, 3, 3, 2]
+    assert run([1, 2, 2, 2, 3, 3], 3) == [1, 2, 2, 2, 3, 3]
+    assert run([3, 3, 1, -1, 2, 2], 3) == [3, 3, 2, 2, 2, 2]
+    assert run([3, 3, 1, 1, 1, 2], 3) == [3, 3, 1, 1, 1, 2]
+    assert run([3, 3, 2], 3) == [3, 3, 2] and run([3], 3) == [3] and run([], 3) == []
+
+
+def naive_peaks(x, prominence, distance, width, height):
+    """The definitions of peaks, one by one."""
+    n, tops, i = len(x), [], 1
+    while i < n - 1:
+        j = i
+        while j < n - 1 and x[j + 1] == x[i]:
+            j += 1
+        if x[i - 1] < x[i] and j < n - 1 and x[j + 1] < x[i]:
+            tops.append((i + j) // 2)
+        i = j + 1
+    tops = [i for i in tops if height is None or x[i] >= height]
+    stays = []
+    for i in sorted(tops, key=lambda i: (-x[i], -i)):
+        if all(abs(i - j) >= distance for j in stays):
+            stays.append(i)
+    out = []
+    for i in sorted(stays):
+        a = max((j for j in range(i) if x[j] > x[i]), default=-1)
+        b = min((j for j in range(i + 1, n) if x[j] > x[i]), default=n)
+        rise = x[i] - max(min(x[a + 1 : i + 1]), min(x[i:b]))
+        if rise < prominence:
+            continue
+        bar, a, b = x[i] - rise / 2, i, i
+        while x[a] > bar:
+            a -= 1
+        while x[b] > bar:
+            b += 1
+        lo = a + (bar - x[a]) / (x[a + 1] - x[a]) if x[a] < bar else a
+        hi = b - (bar - x[b]) / (x[b - 1] - x[b]) if x[b] < bar else b
+        if hi - lo >= width:
+            out.append(i)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_peaks_against_their_definition(seed):
+    draw = np.random.default_rng(seed)
+    x = np.round(np.cumsum(draw.normal(0, 2, 400)) if seed % 2 else 30 * np.sin(np.arange(400) / draw.uniform(5, 40)) + draw.normal(0, 4, 400))
+    for height in (None, 3.0):
+        given = (float(draw.integers(1, 12)), int(draw.integers(1, 30)), float(draw.integers(0, 10)), height)
+        assert profiles.find_peaks(x, *given).tolist() == naive_peaks(x.tolist(), *given)
+
+
+def test_time_of_labels_is_in_proportion():
+    import time
+
+    def seconds(n):
+        draw = np.random.default_rng(1)
+        t = np.arange(n, dtype=float)
+        p = np.maximum(0, 300 * (1 - np.abs(2 * (t / 7000 % 1) - 1)) - 20) + draw.normal(0, 0.5, n)
+        began = time.process_time()
+        profiles.label(t, p, None, 5.0)
+        return time.process_time() - began
+
+    seconds(20_000)
+    assert seconds(800_000) < 12 * seconds(100_000) + 0.5
+
+
+def test_stretches_are_cut_at_the_surface(spark):
+    t, p = dive(10, rest=1000.0, count=4)
+    rows = [(s, float(x), float(y) if i % 13 else None) for s in ("a", "b", None) for i, (x, y) in enumerate(zip(t, p))]
+    obs = spark.createDataFrame(rows, "trajectory string, time double, pressure double")
+    cut = profiles.stretches(obs, BY).toPandas()
+    assert cut.groupby("trajectory", dropna=False)["__stretch"].nunique(dropna=False).tolist() == [4, 4, 4]
+    got = profiles.get_profiles(obs.where("trajectory IS NOT NULL"), BY).where("profile_id > 0").groupBy(*BY, "profile_id", "dive_id", "climb_id", "state").agg(F.min("time").alias("t")).orderBy("trajectory", "t").collect()
+    assert [(r.profile_id, r.dive_id, r.climb_id, r.state) for r in got] == [x for k in range(1, 5) for x in ((2 * k - 1, k, -1, 1), (2 * k, -1, k, 2))] * 2
 
 
 @pytest.fixture(scope="module")
