@@ -72,8 +72,81 @@ def test_ranking_is_learnt_from_pairs():
 
 def test_windows_cover_every_word():
     for n in (0, 1, 47, 48, 49, 72, 73, 500):
-        w = toxicity_gru.windows(n)
-        assert set(w[w >= 0].tolist()) == set(range(n)) and (len(w) == 1 or (w[1:, 0] - w[:-1, 0] == toxicity_gru.HOP).all())
+        first = toxicity_gru.windows(n)
+        assert set().union(*(range(a, min(a + toxicity_gru.WINDOW, n)) for a in first)) == set(range(n)) and (np.diff(first) == toxicity_gru.HOP).all()
+
+
+def test_blocks_have_the_windows_of_the_text(monkeypatch):
+    monkeypatch.setattr(toxicity_gru, "BLOCK", 96)
+    scorer = toxicity_gru.Scorer(toxicity_gru.Network.start())
+    for n in (0, 1, 48, 49, 95, 96, 97, 143, 144, 145, 168, 169, 240, 241, 500):
+        words = [f"w{i}" for i in range(n)]
+        whole = [tuple(words[a : a + toxicity_gru.WINDOW]) for a in toxicity_gru.windows(n)]
+        parts = [tuple(b[a : a + toxicity_gru.WINDOW]) for b in scorer._blocks(" ".join(words)) for a in toxicity_gru.windows(len(b))]
+        assert parts == whole
+
+
+def _inputs_one_by_one(net, word):
+    """The input of a word by the definition of its hashes."""
+    raw, mask = b"\x02" + word.encode() + b"\x03", (1 << 64) - 1
+    mix = int(toxicity_gru._MIX)
+    total = 0
+    for i, c in enumerate(raw):
+        x = (c + 1) * (i + 1) ** 3 * mix & mask
+        total = (total + (x ^ x >> 29)) & mask
+    rows = []
+    for n in toxicity_gru.SPANS:
+        for i in range(len(raw) - n + 1):
+            x = 0
+            for c in raw[i : i + n]:
+                x = (x * 257 + c) & mask
+            rows.append(((x * mix & mask) >> 40) % toxicity_gru.GRAMS)
+    return net.p["word"][((total * mix & mask) >> 35) % toxicity_gru.WORDS] + net.p["gram"][rows].mean(0)
+
+
+def _score_one_by_one(net, text):
+    """The score of a text by the definition of the network, one window and one word at a time."""
+    words, h, best = list(toxicity_gru.words_of(text)), toxicity_gru.STATES, -np.inf
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    starts = [0] if len(words) <= 48 else [a for a in range(0, len(words), 24) if a == 0 or a + 24 < len(words)]
+    for a in starts:
+        x = [_inputs_one_by_one(net, w) for w in words[a : a + 48]]
+        states = [[None, None] for _ in x]
+        for d, order in ((0, range(len(x))), (1, range(len(x) - 1, -1, -1))):
+            s = np.zeros(h)
+            for i in order:
+                g = (x[i] @ net.p["wx"] + net.p["b"])[3 * h * d : 3 * h * (d + 1)]
+                r = s @ net.p["u"][d]
+                z, reset = sigmoid(g[:h] + r[:h]), sigmoid(g[h : 2 * h] + r[h : 2 * h])
+                s = (1 - z) * s + z * np.tanh(g[2 * h :] + reset * r[2 * h :])
+                states[i][d] = s
+        s = np.array([np.concatenate(p) for p in states]).reshape(-1, 2 * h)
+        weight = np.exp(np.tanh(s @ net.p["a"]) @ net.p["v"])
+        pooled = (weight[:, None] * s).sum(0) / weight.sum() if len(s) else np.zeros(2 * h)
+        best = max(best, float(pooled @ net.p["o"] + net.p["c"][0]))
+    return sigmoid(best * net.slope + net.offset)
+
+
+def test_scores_against_the_definition(monkeypatch):
+    net = toxicity_gru.fit(["you utter fool " + "day " * k for k in range(40)] + ["good day " * k for k in range(40)], [1] * 40 + [0] * 40)
+    texts = ["", None, "fool", "good " * 47 + "fool " * 30, " ".join(f"w{i}" for i in range(200)), "Ünïcode 漢字 " * 9, "x" * 300 + " good " + "fool" * 90]
+    want = [_score_one_by_one(net, t) for t in texts]
+    assert np.allclose(toxicity_gru.Scorer(net)(texts), want, atol=2e-4)
+    monkeypatch.setattr(toxicity_gru, "SOME", 64)  # words in several parts
+    monkeypatch.setattr(toxicity_gru, "BLOCK", 48)
+    assert np.allclose(toxicity_gru.Scorer(net)(texts), want, atol=2e-4)
+
+
+def test_the_scorer_stays_in_the_process():
+    from pyspark import cloudpickle
+
+    net = toxicity_gru.Network.start()
+
+    def of(texts):
+        return toxicity_gru.scorer(net)
+
+    kept = toxicity_gru.scorer(net)
+    assert cloudpickle.loads(cloudpickle.dumps(of)).__globals__["toxicity_gru"] is toxicity_gru and toxicity_gru.scorer(net) is kept
 
 
 def test_gradients_agree_with_differences():
@@ -87,7 +160,7 @@ def test_gradients_agree_with_differences():
         z = net.run(x @ net.p["wx"] + net.p["b"], mask).astype(float)
         return float(np.mean(np.log1p(np.exp(-np.where(want == 1, z, -z)))))
 
-    grads, _ = net.learn(x, mask, want, weight)
+    grads, _, _ = net.learn(x, mask, want, weight)
     for name, g in grads.items():
         at = tuple(draw.integers(0, s) for s in net.p[name].shape)
         old = net.p[name][at]
