@@ -155,7 +155,8 @@ def component_ids(rows: DataFrame, edges: DataFrame) -> DataFrame:
     nodes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
     reach = components(edges)
     rooted = nodes.join(reach, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # written, so that a root of very many nodes is a plain side of the join, which the planner can split
+    least = cut(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
     found = rooted.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
     return rows.join(found, F.col("fp") == F.col("_fp")).select("doc_id", "digest", "fp", "component_id")
 
@@ -163,7 +164,8 @@ def component_ids(rows: DataFrame, edges: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component, with the columns it had: that of the smallest doc_id, then of the smallest text hash.
 
-    Rows equal in id and text are one; a row without an id stays only where no row of the component has one.
+    Rows equal in id and text are one, the first in the order of their JSON; a row without an id stays only where no row
+    of the component has one.
     """
     return kept(docs, near_duplicates(docs))
 
@@ -184,7 +186,9 @@ def kept(docs: DataFrame, marks: DataFrame) -> DataFrame:
     )
     found = docs.join(picked, docs["doc_id"].eqNullSafe(F.col(_id)) & (F.xxhash64(docs["text"]) == F.col(_digest)))
     single = found.where(F.col(_many) == 1).select(docs["*"])
-    repeated = found.where(F.col(_many) > 1).dropDuplicates([_id, _digest]).select(docs["*"])
+    # of rows equal in id and text but not in other columns, the first in the order of their JSON
+    row = F.struct(*(docs[c] for c in docs.columns))
+    repeated = found.where(F.col(_many) > 1).groupBy(_id, _digest).agg(F.min_by(row, F.to_json(row)).alias("_row")).select("_row.*")
     return single.unionByName(repeated)
 
 
