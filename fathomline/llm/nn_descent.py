@@ -3,13 +3,19 @@
 Equal vectors are one node, which holds the smallest ids of its rows. Random hyperplanes, fitted on a bounded sample,
 cut the nodes into leaves of bounded size several times over; the nearest within a leaf give the first graph. Then each
 round joins neighbours of neighbours: every node brings its neighbours, and a bounded sample of the nodes it is a
-neighbour of, together; those of them that are nearer to each other than their farthest neighbour so far are proposed,
-and each node keeps the nearest. A search starts at a node's own neighbours and again and again expands the nearest
-nodes not expanded yet, until none of a query's nearest is left; the distances of what it found are then computed in
-double precision on the original vectors.
-
-Null vectors, zero vectors, and vectors with null or non-finite components take no part, nor do vectors of another
-length than most have. Of rows with one id the smallest vector counts; rows without an id take no part.
+neighbour of, together; pairs of them of which one is a new neighbour, and that are nearer than the farthest neighbour so
+far, are proposed, and each node keeps the nearest. Rounds end when few neighbours are new.
+
+A search starts at a node's own neighbours and again and again expands the nearest nodes not expanded yet, until none of
+a query's beam is left. Recall is then measured against brute force on a sample of the queries, and the beam doubled
+until it is reached: so it holds on tables of any size, at a price that grows with them. A beam of all nodes that still
+misses it (a graph in pieces) gives way to brute force in blocks. The distances of what was found are computed in double
+precision on the original vectors.
+
+Null vectors, zero vectors, and vectors with null or non-finite components take no part. Vectors are near only to those
+of their own length: the lengths of at most LEAF nodes are compared whole, each other length has an index of its own.
+Of rows with one id the smallest vector counts; rows without an id take no part. Any number of rows may share a vector;
+columns beside the two that are named are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,12 +27,17 @@ from pyspark.sql import functions as F
 
 from .common import cut, first_by_hash
 
-#: Neighbours of a node, and nodes that it is a neighbour of, that a round brings together; rounds.
-NEIGHBOURS, REVERSE, ROUNDS = 24, 8, 2
+#: Neighbours of a node, and nodes that it is a neighbour of, that a round brings together; share of new neighbours
+#: below which rounds end, and rounds at most.
+NEIGHBOURS, REVERSE, DELTA, ROUNDS = 24, 8, 0.05, 6
 #: Trees of hyperplanes; nodes of a leaf at most; sampled vectors that a tree is fitted on.
 TREES, LEAF, SAMPLE = 8, 2048, 16_384
-#: Nodes of a query that a search keeps, those it expands at once, and its rounds at most.
-BEAM, EXPAND, SEARCH_ROUNDS = 256, 64, 8
+#: Nodes of a query that a search has to expand at first; parts of a beam that it expands at once.
+BEAM, STEPS = 256, 4
+#: Share of the nearest that a search has to find for ASKED sampled queries, by brute force.
+RECALL, ASKED = 0.95, 64
+#: Nodes and queries of a block of brute force.
+NODES, QUERIES = 1 << 15, 1 << 11
 #: Parts into which the ids of one vector are split before the smallest are taken.
 SPLIT = 256
 
@@ -37,14 +48,21 @@ def usable(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def nodes(rows: DataFrame, vec_id: str, vector: str, keep: int) -> DataFrame:
-    """(node, vector, ids): distinct vectors, the smallest ids of each (keep at most), of which node is the first."""
-    good = rows.select(F.col(vec_id).alias("id"), F.transform(vector, lambda x: x.cast("double") + F.lit(0.0)).alias("vector")).where(F.col("id").isNotNull() & usable(F.col("vector")))
-    length = good.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    good = good.where(F.size("vector") == (length.n if length else 0)).groupBy("id").agg(F.min("vector").alias("vector"))
-    least = lambda c: F.slice(F.array_sort(c), 1, keep)
-    some = good.groupBy("vector", F.pmod(F.xxhash64("id"), F.lit(SPLIT)).alias("part")).agg(least(F.collect_list("id")).alias("ids"))
-    return some.groupBy("vector").agg(least(F.flatten(F.collect_list("ids"))).alias("ids")).select(F.col("ids")[0].alias("node"), "vector", "ids")
+def taking_part(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
+    """(id, vector): the smallest usable vector of each id, in double precision."""
+    good = rows.select(F.col(vec_id).alias("id"), F.transform(vector, lambda x: x.cast("double") + F.lit(0.0)).alias("vector"))
+    return good.where(F.col("id").isNotNull() & usable(F.col("vector"))).groupBy("id").agg(F.min("vector").alias("vector"))
+
+
+def nodes(good: DataFrame, keep: int) -> DataFrame:
+    """(node, vector, ids): distinct vectors, the smallest ids of each (keep at most), of which node is the first.
+
+    Each task, and each part of a vector's ids, hands on no more than it keeps, so a very common vector is no burden.
+    """
+    for keys in (["vector", F.pmod(F.xxhash64("id"), F.lit(SPLIT))], ["vector"]):
+        least = Window.partitionBy(*keys).orderBy("id")
+        good = good.withColumn("n", F.row_number().over(least)).where(F.col("n") <= keep).drop("n")
+    return good.groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(F.col("ids")[0].alias("node"), "vector", "ids")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -140,27 +158,30 @@ def first_graph(vectors: DataFrame, total: int, k: int, trees: int, leaf: int, s
 
 
 def keep_nearest(edges: DataFrame, k: int) -> DataFrame:
-    """Of each node the k nearest of the proposed neighbours, ties to the smaller."""
+    """Of each node the k nearest of the proposed neighbours (a, b, d, new), ties to the smaller; known ones aren't new."""
     order = Window.partitionBy("a").orderBy("d", "b")
-    return edges.groupBy("a", "b").agg(F.min("d").alias("d")).withColumn("n", F.row_number().over(order)).where(F.col("n") <= k).drop("n")
+    return edges.groupBy("a", "b").agg(F.min("d").alias("d"), F.min("new").alias("new")).withColumn("n", F.row_number().over(order)).where(F.col("n") <= k).drop("n")
 
 
 def descend(graph: DataFrame, vectors: DataFrame, k: int, reverse: int) -> DataFrame:
-    """One round: the graph after joining neighbours of neighbours."""
-    back = graph.select(F.col("b").alias("pivot"), F.col("a").alias("x"))
-    back = back.withColumn("n", F.row_number().over(Window.partitionBy("pivot").orderBy(F.xxhash64("pivot", "x"), "x"))).where(F.col("n") <= reverse).drop("n")
-    around = graph.select(F.col("a").alias("pivot"), F.col("b").alias("x")).unionByName(back).distinct()
+    """One round: the graph (a, b, d, new) after joining neighbours of neighbours, of which one at least is new."""
+    back = graph.select(F.col("b").alias("pivot"), F.col("a").alias("x"), "new")
+    order = Window.partitionBy("pivot").orderBy(F.desc("new"), F.xxhash64("pivot", "x"), "x")
+    back = back.withColumn("n", F.row_number().over(order)).where(F.col("n") <= reverse).drop("n")
+    around = graph.select(F.col("a").alias("pivot"), F.col("b").alias("x"), "new").unionByName(back).groupBy("pivot", "x").agg(F.max("new").alias("new"))
     reach = graph.groupBy("a").agg(F.when(F.count("*") >= k, F.max("d")).otherwise(float("inf")).cast("float").alias("far"))
     brought = vectors.join(reach, F.col("node") == F.col("a"), "left").select("node", F.transform("vector", lambda v: v.cast("float")).alias("vector"), F.coalesce("far", F.lit(float("inf")).cast("float")).alias("far"))
+    # pivots without a new neighbour have nothing to propose
+    busy = around.where("new").select("pivot").distinct()
     # at most k + reverse at a pivot
-    met = around.join(brought, F.col("x") == F.col("node")).groupBy("pivot").agg(F.collect_list(F.struct("node", "far", "vector")).alias("m"))
+    met = around.join(busy, "pivot", "left_semi").join(brought, F.col("x") == F.col("node")).groupBy("pivot").agg(F.collect_list(F.struct("node", "far", "new", "vector")).alias("m"))
 
     def propose(batches):
         for batch in batches:
             lists = batch.column("m")
             size = np.diff(lists.offsets.to_numpy())
             all_ = lists.flatten()
-            ids, far, x = all_.field("node").to_numpy(), all_.field("far").to_numpy(), _matrix(all_.field("vector"))
+            ids, far, new, x = all_.field("node").to_numpy(), all_.field("far").to_numpy(), all_.field("new").to_numpy(zero_copy_only=False), _matrix(all_.field("vector"))
             first = np.concatenate([[0], np.cumsum(size)])
             for n in np.unique(size):  # groups of equal size at once
                 if n < 2:
@@ -172,31 +193,66 @@ def descend(graph: DataFrame, vectors: DataFrame, k: int, reverse: int) -> DataF
                     square = np.einsum("gid,gid->gi", v, v)
                     d = square[:, :, None] + square[:, None, :] - 2 * v @ v.transpose(0, 2, 1)
                     d[:, np.arange(n), np.arange(n)] = np.inf
-                    i, a, b = np.nonzero(d < far[at][:, :, None])
+                    fresh = new[at]
+                    i, a, b = np.nonzero((d < far[at][:, :, None]) & (fresh[:, :, None] | fresh[:, None, :]))
                     yield _edges(ids[at[i, a]], ids[at[i, b]], d[i, a, b])
 
-    proposed = met.select("m").mapInArrow(propose, _EDGE)
-    return keep_nearest(graph.unionByName(proposed), k)
+    proposed = met.select("m").mapInArrow(propose, _EDGE).withColumn("new", F.lit(True))
+    return keep_nearest(graph.withColumn("new", F.lit(False)).unionByName(proposed), k)
 
 
-def build(vectors: DataFrame, k: int = NEIGHBOURS, reverse: int = REVERSE, rounds: int = ROUNDS, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
-    """(a, b, d): the neighbour graph over written nodes (node, vector, ...)."""
-    graph = cut(keep_nearest(first_graph(vectors, vectors.count(), k, trees, leaf), k))
+def build(vectors: DataFrame, total: int, k: int = NEIGHBOURS, reverse: int = REVERSE, rounds: int = ROUNDS, trees: int = TREES, leaf: int = LEAF, delta: float = DELTA) -> DataFrame:
+    """(a, b, d, new): the neighbour graph over written nodes (node, vector, ...)."""
+    graph = cut(keep_nearest(first_graph(vectors, total, k, trees, leaf).withColumn("new", F.lit(True)), k))
     for _ in range(rounds):
         graph = cut(descend(graph, vectors, k, reverse))
+        edges, new = graph.agg(F.count("*"), F.count(F.when(F.col("new"), 1))).first()
+        if new <= delta * edges:
+            break
     return graph
 
 
-def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame, beam: int = BEAM, expand: int = EXPAND, rounds: int = SEARCH_ROUNDS, links: int = NEIGHBOURS) -> DataFrame:
-    """(query, node, d): the nodes found near each query; queries: (query, origin, vector), origin being a node.
+def exact(vectors: DataFrame, queries: DataFrame, k: int, total: int, asked: int, same: tuple[str, ...] = ()) -> DataFrame:
+    """(query, node, d): the k nearest nodes of each query (query, q, ...) by brute force, in blocks of nodes and queries.
+
+    same: columns of both sides that have to be equal.
+    """
+    across, down = -(-max(asked, 1) // QUERIES), -(-max(total, 1) // NODES)
+    part = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    left = queries.select("query", "q", *same, part("query", across).alias("qb"), each(down).alias("nb"))
+    right = vectors.select("node", F.col("vector").alias("v"), *same, part("node", down).alias("nb"), each(across).alias("qb"))
+
+    def compare(q: pa.Table, v: pa.Table) -> pa.Table:
+        out = [pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float32())], names=["query", "node", "d"])]
+        x, ids = _matrix(v["v"]) if len(v) else None, v["node"].to_numpy()
+        square = (x * x).sum(1) if len(v) else None
+        for a in range(0, len(q) if len(v) else 0, 64):
+            some = _matrix(q["q"].slice(a, 64))
+            d = np.maximum((some * some).sum(1)[:, None] + square - 2 * some @ x.T, 0)
+            place = np.argpartition(d, k - 1, 1)[:, :k] if len(ids) > k else np.tile(np.arange(len(ids)), (len(some), 1))
+            out.append(pa.RecordBatch.from_arrays([pa.array(np.repeat(q["query"].slice(a, 64).to_numpy(), place.shape[1]), pa.int64()), pa.array(ids[place].ravel(), pa.int64()), pa.array(np.take_along_axis(d, place, 1).ravel(), pa.float32())], names=["query", "node", "d"]))
+        return pa.Table.from_batches(out)
+
+    keys = [*same, "qb", "nb"]
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "query long, node long, d float")
+    return found.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))).where(F.col("n") <= k).drop("n")
+
+
+def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame, total: int, k: int, beam: int = BEAM, recall: float = RECALL, links: int = NEIGHBOURS) -> DataFrame:
+    """(query, node, d): nodes near each query, at least k if there are; queries: (query, origin, vector), origin a node.
 
     Each round expands the nearest nodes not expanded yet of each query, along edges of either direction.
     """
     back = graph.select(F.col("b").alias("a"), F.col("a").alias("b"))
     back = back.withColumn("n", F.row_number().over(Window.partitionBy("a").orderBy(F.xxhash64("a", "b"), "b"))).where(F.col("n") <= links).drop("n")
-    ways = cut(graph.select("a", "b").unionByName(back).distinct().groupBy("a").agg(F.collect_list("b").alias("to")))
+    ways = cut(graph.select("a", "b").unionByName(back).distinct().groupBy("a").agg(F.collect_list("b").alias("to")))  # k + links at most
     light = cut(vectors.select("node", F.transform("vector", lambda v: v.cast("float")).alias("v")))
     asked = cut(queries.select("query", "origin", F.transform("vector", lambda v: v.cast("float")).alias("q")))
+    number = asked.count()
+    sample = cut(asked.orderBy(F.xxhash64("query"), "query").limit(ASKED))
+    truth = cut(exact(light.withColumnRenamed("v", "vector"), sample, k, total, min(number, ASKED)).select("query", "node"))
+    wanted = truth.count()
 
     def measure(batches):
         for batch in batches:
@@ -204,44 +260,51 @@ def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame, beam: int =
             d = ((q - v) ** 2).sum(1) if len(batch) else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("node"), pa.array(d, pa.float32())], names=["query", "node", "d"])
 
-    state = None
-    front = asked.select("query", F.col("origin").alias("node"))
-    for _ in range(rounds):
-        fresh = front.join(ways, F.col("node") == F.col("a")).select("query", F.explode("to").alias("node")).distinct()
-        if state is not None:
+    # the origin itself is a result too, for its other rows; all that was measured stays, so nothing is measured twice
+    state = cut(asked.select("query", F.col("origin").alias("node"), F.lit(0.0).cast("float").alias("d"), F.lit(False).alias("done")))
+    ranks = Window.partitionBy("query").orderBy("d", "node")
+    while True:
+        open_ = state.withColumn("rank", F.row_number().over(ranks)).where((F.col("rank") <= beam) & ~F.col("done"))
+        front = cut(open_.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("rank"))).where(F.col("n") <= max(1, beam // STEPS)).select("query", "node"))
+        if not front.isEmpty():
+            fresh = front.join(ways, F.col("node") == F.col("a")).select("query", F.explode("to").alias("node")).distinct()
             fresh = fresh.join(state.select("query", "node"), ["query", "node"], "left_anti")
-        near = fresh.join(light, "node").join(asked.select("query", "q"), "query").select("query", "node", "q", "v").mapInArrow(measure, "query long, node long, d float").withColumn("done", F.lit(False))
-        if state is None:
-            # the origin itself counts as expanded; it is a result too, for its other rows
-            own = asked.select("query", F.col("origin").alias("node"), F.lit(0.0).cast("float").alias("d"), F.lit(True).alias("done"))
-            state = near.join(asked.select("query", F.col("origin").alias("node")), ["query", "node"], "left_anti").unionByName(own)
-        else:
+            near = fresh.join(light, "node").join(asked.select("query", "q"), "query").select("query", "node", "q", "v").mapInArrow(measure, "query long, node long, d float").withColumn("done", F.lit(False))
             opened = front.withColumn("now", F.lit(True))
-            state = state.join(opened, ["query", "node"], "left").select("query", "node", "d", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")).unionByName(near)
-        # all that was measured stays, so nothing is measured twice; the beam bounds what can still be expanded
-        ranked = state.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy("d", "node")))
-        state = cut(ranked.select("query", "node", "d", F.when(F.col("rank") <= beam, F.col("done")).otherwise(True).alias("done")))
-        open_ = state.where("NOT done")
-        front = cut(open_.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))).where(F.col("n") <= expand).select("query", "node"))
-        if front.isEmpty():
-            break
-    return state.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))).where(F.col("n") <= beam).select("query", "node", "d")
-
-
-def nearest(rows: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding", **index) -> DataFrame:
+            state = state.join(opened, ["query", "node"], "left").select("query", "node", "d", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done"))
+            state = cut(state.unionByName(near))
+            continue
+        best = state.join(sample.select("query"), "query", "left_semi").withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= k)
+        if best.join(truth, ["query", "node"], "left_semi").count() >= recall * wanted:
+            return state.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= max(beam, k)).drop("rank", "done")
+        if beam >= total:
+            return exact(light.withColumnRenamed("v", "vector"), asked, max(BEAM, k), total, number)
+        beam *= 2
+
+
+def nearest(rows: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding", small: int = LEAF, recall: float = RECALL, beam: int = BEAM, **index) -> DataFrame:
     """(query_id, rank, vec_id, score): of each row that is a query the k nearest other rows found, ties to smaller ids.
 
-    Only rows that take part are queries. Where there are no more than a beam of nodes the search is exhaustive.
+    Only rows that take part are queries.
     """
-    vectors = cut(nodes(rows, vec_id, vector, k + 1))
-    graph = build(vectors, **index)
-    same = rows.where(is_query).select(F.col(vec_id).alias("id"), F.transform(vector, lambda x: x.cast("double") + F.lit(0.0)).alias("vector")).where(F.col("id").isNotNull() & usable(F.col("vector"))).groupBy("id").agg(F.min("vector").alias("vector"))
-    asked = cut(same.join(vectors.select("vector", F.col("node").alias("origin")), "vector").select(F.col("id").alias("query"), "origin", "vector"))
-    found = search(graph, vectors, asked)
+    vectors = cut(nodes(taking_part(rows, vec_id, vector), k + 1).withColumn("dim", F.size("vector")))
+    sizes = vectors.groupBy("dim").count().orderBy(F.desc("count"), "dim").withColumnRenamed("count", "n")
+    main, total = next(((r.dim, r.n) for r in sizes.limit(1).collect()), (0, 0))
+    large = [(r.dim, r.n) for r in sizes.where(F.col("n") > small).collect()] or [(main, total)]  # the rows by LEAF at most
+    same = taking_part(rows.where(is_query), vec_id, vector)
+    asked = cut(same.join(vectors.select("vector", "dim", F.col("node").alias("origin")), "vector").select(F.col("id").alias("query"), "origin", "vector", "dim"))
+    found = None
+    for dim, total in large:
+        part = vectors.where(F.col("dim") == dim)
+        got = search(build(part, total, **index), part, asked.where(F.col("dim") == dim), total, k + 1, beam, recall)
+        found = got if found is None else found.unionByName(got)
+    # other lengths have at most `small` nodes each
+    rest = ~F.col("dim").isin([d for d, _ in large])
+    found = found.unionByName(exact(vectors.where(rest), asked.where(rest).withColumnRenamed("vector", "q"), max(BEAM, k + 1), 1, 1, ("dim",)))
 
     members = found.join(vectors, "node").join(asked.select("query", F.col("vector").alias("q")), "query")
-    exact = F.sqrt(F.aggregate(F.zip_with("q", "vector", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
-    flat = members.select("query", exact.alias("score"), F.explode("ids").alias("vec_id")).where(F.col("vec_id") != F.col("query"))
+    distance = F.sqrt(F.aggregate(F.zip_with("q", "vector", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
+    flat = members.select("query", distance.alias("score"), F.explode("ids").alias("vec_id")).where(F.col("vec_id") != F.col("query"))
     order = Window.partitionBy("query").orderBy("score", "vec_id")
     return flat.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(F.col("query").alias("query_id"), "rank", "vec_id", "score")
 

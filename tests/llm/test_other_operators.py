@@ -5,6 +5,7 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -82,13 +83,13 @@ def vectors(spark, rows):
 def brute(rows, queries_, k=10):
     good = {}
     for i, v, *_ in rows:
-        if i is not None and v is not None and len(v) == 3 and all(x is not None and np.isfinite(x) for x in v) and any(v):
+        if i is not None and v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v):
             v = [float(np.float32(x)) for x in v]
             good[i] = min(good.get(i, v), v)
     out = {}
     for q in queries_:
         if q in good:
-            d = sorted((float(np.sqrt(sum((a - b) ** 2 for a, b in zip(good[q], v)))), i) for i, v in good.items() if i != q)[:k]
+            d = sorted((float(np.sqrt(sum((a - b) ** 2 for a, b in zip(good[q], v)))), i) for i, v in good.items() if i != q and len(v) == len(good[q]))[:k]
             out[q] = [(i, s) for s, i in d]
     return out
 
@@ -97,13 +98,13 @@ def test_nearest_of_odd_vectors(spark):
     draw = np.random.default_rng(0)
     rows = [(i, draw.standard_normal(3).tolist(), 0) for i in range(300)]
     rows += [(1000 + i, [1.0, 2.0, 3.0], 1) for i in range(40)]  # many equal ones
-    rows += [(2000, None, 0), (2001, [0.0, 0.0, 0.0], 0), (2002, [float("nan"), 1.0, 1.0], 0), (2003, [None, 1.0, 1.0], 0), (2004, [float("inf"), 1.0, 1.0], 0), (2005, [1.0, 2.0], 0), (None, [1.0, 1.0, 1.0], 0), (2006, [], 0)]
+    rows += [(2000, None, 0), (2001, [0.0, 0.0, 0.0], 0), (2002, [float("nan"), 1.0, 1.0], 0), (2003, [None, 1.0, 1.0], 0), (2004, [float("inf"), 1.0, 1.0], 0), (2005, [1.0, 2.0], 0), (3000, [1.0, 2.5], 0), (3100, [7.0], 0), (2007, [0.0, 2.0], 0), (None, [1.0, 1.0, 1.0], 0), (2006, [], 0)]
     rows += [rows[5], (7, [9.0, 9.0, 9.0], 0)]
     got = collections.defaultdict(list)
     for r in sorted(nn_descent.nearest(vectors(spark, rows).withColumns({"score": F.lit(1), "rank": F.lit(2), "node": F.lit(3)}), F.col("vec_id") % 100 == 0).collect(), key=lambda r: (r.query_id, r["rank"])):
         got[r.query_id].append((r.vec_id, r.score))
-    want = brute(rows, range(0, 2100, 100))
-    assert set(got) == set(want)
+    want = {q: w for q, w in brute(rows, range(0, 3200, 100)).items() if w}
+    assert set(got) == set(want) and 3000 in want and 3100 not in want
     for q, found in want.items():
         assert [i for i, _ in got[q]] == [i for i, _ in found]
         assert np.allclose([s for _, s in got[q]], [s for _, s in found], atol=1e-12)
@@ -117,20 +118,75 @@ def test_nearest_of_few_or_none(spark):
     assert nn_descent.query(spark, vectors(spark, rows[:0])).count() == 0
 
 
-def test_recall(spark):
-    path = "/root/testdata/sf0.1"
-    rows = spark.read.parquet(f"{path}/embeddings.parquet").toPandas()
-    x, ids = np.array(rows.embedding.tolist(), float), rows.vec_id.to_numpy()
+def recall_of(got, x, asked, k=10):
     hits = 0
-    got = collections.defaultdict(set)
-    for r in queries.op4_nearest_nn_descent(spark, path).collect():
-        got[r.query_id].add(r.vec_id)
-    asked = np.flatnonzero(ids % 100 == 0)
     for i in asked:
-        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        d = ((x - x[i]) ** 2).sum(1)
         d[i] = np.inf
-        hits += len(got[ids[i]] & set(ids[np.lexsort((ids, d))[:10]].tolist()))
-    assert hits / (10 * len(asked)) >= 0.9
+        hits += len(got[i] & set(np.argpartition(d, k)[:k].tolist()))
+    return hits / (k * len(asked))
+
+
+def found_by(df):
+    got = collections.defaultdict(set)
+    for a, b in df.collect():
+        got[a].add(b)
+    return got
+
+
+def test_recall(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").toPandas()
+    assert rows.vec_id.tolist() == list(range(len(rows)))
+    x = np.array(rows.embedding.tolist(), float)
+    got = found_by(queries.op4_nearest_nn_descent(spark, "/root/testdata/sf0.1").select("query_id", "vec_id"))
+    assert recall_of(got, x, range(0, len(x), 100)) >= 0.9
+
+
+def made(spark, n, width, path):
+    """Uniform vectors, the hardest case, as a table of some partitions."""
+    x = np.random.default_rng(n).standard_normal((n, width)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    flat = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), pa.array(x.ravel()))
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": flat}), path, row_group_size=n // 8)
+    return x.astype(float), spark.read.parquet(str(path)).repartition(8)
+
+
+@pytest.mark.parametrize("n, width", [(10_000, 24), (50_000, 16)])
+def test_descent_and_search_have_to_work(spark, tmp_path, n, width):
+    """Leaves hold a few hundredths of the nodes, so most neighbours come from the descent and the search."""
+    x, rows = made(spark, n, width, tmp_path / "v.parquet")
+    asked = range(0, n, 500)
+    leaf = {"trees": 3, "leaf": 256}
+    vectors = nn_descent.cut(nn_descent.nodes(nn_descent.taking_part(rows, "vec_id", "embedding"), 11))
+    first = found_by(nn_descent.keep_nearest(nn_descent.first_graph(vectors, n, 24, **leaf).withColumn("new", F.lit(True)), 10).where("a % 500 = 0").select("a", "b"))
+    graph = nn_descent.build(vectors, n, **leaf)
+    best = Window.partitionBy("a").orderBy("d")
+    after = found_by(graph.withColumn("n", F.row_number().over(best)).where("n <= 10 AND a % 500 = 0").select("a", "b"))
+    got = found_by(nn_descent.nearest(rows, F.col("vec_id") % 500 == 0, **leaf).select("query_id", "vec_id"))
+    found = [recall_of(f, x, asked) for f in (first, after, got)]
+    print("recall of leaves, descent, search:", found)
+    assert found[0] < 0.6 and found[1] > found[0] + 0.2 and found[2] >= 0.9
+
+
+def test_the_beam_grows_until_recall_holds(spark, tmp_path):
+    x, rows = made(spark, 3000, 24, tmp_path / "v.parquet")
+    for given in ({"beam": 1, "trees": 1, "leaf": 64, "rounds": 0}, {"beam": 4, "trees": 1, "leaf": 8, "rounds": 0, "k": 10}):
+        got = found_by(nn_descent.nearest(rows, F.col("vec_id") % 50 == 0, small=10, **given).select("query_id", "vec_id"))
+        assert recall_of(got, x, range(0, 3000, 50)) >= 0.9
+
+
+def test_brute_force_in_blocks(spark, monkeypatch):
+    draw = np.random.default_rng(5)
+    x = draw.standard_normal((90, 4))
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, vector array<float>")
+    asked = nodes.where("node < 20").select(F.col("node").alias("query"), F.col("vector").alias("q"))
+    monkeypatch.setattr(nn_descent, "NODES", 13)
+    monkeypatch.setattr(nn_descent, "QUERIES", 6)
+    got = found_by(nn_descent.exact(nodes, asked, 7, 90, 20).select("query", "node"))
+    assert {q: set(np.argsort(((x - x[q]) ** 2).sum(1))[:7].tolist()) for q in range(20)} == got
 
 
 def test_descent_improves_a_poor_graph(spark):
@@ -138,7 +194,7 @@ def test_descent_improves_a_poor_graph(spark):
     x = draw.standard_normal((400, 6))
     nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, vector array<double>")
     pairs = [(i, int(j), float(((x[i] - x[j]) ** 2).sum())) for i in range(400) for j in draw.choice(400, 8, replace=False) if i != j]
-    graph = nn_descent.cut(nn_descent.keep_nearest(spark.createDataFrame(pairs, "a long, b long, d float"), 8))
+    graph = nn_descent.cut(nn_descent.keep_nearest(spark.createDataFrame(pairs, "a long, b long, d float").withColumn("new", F.lit(True)), 8))
     total = lambda g: g.agg(F.avg("d")).first()[0]
     first = total(graph)
     for _ in range(4):
