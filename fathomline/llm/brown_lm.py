@@ -1,15 +1,18 @@
 """LM scoring by Brown's class-based bigrams.
 
-Exchange clustering gives the common words classes: words move, one at a time, to the class that raises the likelihood
-of the class bigrams most. A text's probability is the product, over its tokens, of the probability of the token's class
+Exchange clustering gives the most frequent words, and the shapes of all others, classes: they move, one at a time, to
+the class that raises the likelihood of the class bigrams most. Every other word of the table that occurs often enough is
+then assigned to the class which explains its own neighbours best, from counts over the whole corpus; words that don't
+are in the class of their shape (the kind of their characters and their last letters). Class bigrams are counted again
+with the final classes. A text's probability is the product, over its tokens, of the probability of the token's class
 after the class before it and of the token in its class.
 
-Words outside the clustered vocabulary enter through their shape (the kind of their characters and their last
-letters), the common ones of which are clustered like words, all others being one; within a shape a word's probability comes from its own exact count. Counts of
-words cover all training texts. A bounded table of the most frequent words goes to every task; the counts of other
-words are joined. Both give exact counts, so the figures don't depend on the size of the table.
+Texts are read once, into numbers: the place of a word in the table of the most frequent words, which goes to every task,
+or else its shape. All counts are over all training texts; those of words beyond the table are joined by word. So counts
+and base scores don't depend on the size of the table.
 
-Null texts are empty: they have the end token only. Training without texts leaves smoothed probabilities of nothing.
+Null texts are empty: they have the end token only; repeated rows score alike. Training without texts leaves smoothed
+probabilities of nothing. Columns to keep may have any name but those of the results.
 """
 
 from __future__ import annotations
@@ -25,14 +28,17 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-#: Words and shapes that are clustered, and classes; words whose counts go to every task; rounds of exchanges.
-CLUSTERED, SHAPES, CLASSES, TABLE, ROUNDS = 1500, 500, 48, 200_000, 4
+#: Words and shapes that are clustered by exchanges, classes, and rounds of exchanges.
+CLUSTERED, SHAPES, CLASSES, ROUNDS = 1500, 500, 128, 4
+#: Words whose counts and classes go to every task; occurrences from which a word is assigned by its own neighbours.
+TABLE, ASSIGNED = 200_000, 2
 #: Added to each count of a word, and to each count of a class bigram.
 ADD, ADD_CLASS = 0.5, 0.1
-#: Entries of a task's counters before they are handed on, and of words whose unit it remembers; bytes of text that it
+#: Entries of a task's counters before they are handed on, and of words whose shape it remembers; bytes of text that it
 #: works on at once.
 HELD, REMEMBERED, AT_ONCE = 200_000, 100_000, 4 << 20
 END = "\n"  # no word contains white space
+START_UNIT, END_UNIT = 0, 1
 
 
 def magnitude(c) -> Column:
@@ -45,6 +51,10 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def _text(word: bytes) -> str:
+    return word.decode("utf-8", "surrogatepass").encode("utf-8", "replace").decode()
+
+
 def shape(word: bytes) -> str:
     """One of a bounded number of shapes: kinds of characters, what ends the word, and its last two letters."""
     high = any(b > 127 for b in word)
@@ -66,7 +76,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         have: Counter = Counter()
 
         def flush():
-            out = pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "surrogatepass").encode("utf-8", "replace").decode() for w in have], pa.string()), pa.array(list(have.values()), pa.int64())], names=["word", "c"])
+            out = pa.RecordBatch.from_arrays([pa.array([_text(w) for w in have], pa.string()), pa.array(list(have.values()), pa.int64())], names=["word", "c"])
             have.clear()
             return out
 
@@ -83,56 +93,6 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(of, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def unit_bigrams(docs: DataFrame, vocabulary: dict[bytes, int], units: dict[str, int], text: str = "text") -> DataFrame:
-    """(a, b, c): counts of neighbouring units; a unit is a clustered word, a shape, the start or the end."""
-    sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((vocabulary, units))  # CLUSTERED words and a bounded number of shapes
-
-    def of(batches):
-        vocabulary, units = shared.value
-        seen, n = Memo(vocabulary, units), len(units) + 1
-        have = np.zeros(0, np.int64)
-        times = np.zeros(0, np.int64)
-        parts, size = [], 0
-
-        def gather(have, times, parts):
-            found, counts = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            both, place = np.unique(np.concatenate([have, found]), return_inverse=True)
-            return both, np.bincount(place, np.concatenate([times, counts]), minlength=len(both)).astype(np.int64)
-
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                u = seen.units(tokens(t))
-                parts.append(u[:-1] * n + u[1:])
-                size += len(u)
-                if size > 2_000_000:
-                    have, times = gather(have, times, parts)
-                    parts, size = [], 0
-        have, times = gather(have, times, parts)
-        yield pa.RecordBatch.from_arrays([pa.array(have // n, pa.int32()), pa.array(have % n, pa.int32()), pa.array(times, pa.int64())], names=["a", "b", "c"])
-
-    return docs.select(text).mapInArrow(of, "a int, b int, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
-
-
-class Memo:
-    """Units of words, remembered up to a bound. Unit 0 is the start, 1 the end; all rare shapes are the last unit."""
-
-    def __init__(self, vocabulary: dict[bytes, int], units: dict[str, int]):
-        self.vocabulary, self.shapes, self.seen, self.other = vocabulary, units, dict(vocabulary), len(units)
-
-    def shape_of(self, word: bytes) -> int:
-        """The unit of a word outside the vocabulary."""
-        if (got := self.seen.get(word)) is None:
-            if len(self.seen) > len(self.vocabulary) + REMEMBERED:
-                self.seen = dict(self.vocabulary)
-            got = self.seen[word] = self.shapes.get(shape(word), self.other)
-        return got
-
-    def units(self, words: list[bytes]) -> np.ndarray:
-        seen, new = self.seen, self.shape_of
-        return np.array([0, *[u if (u := seen.get(w)) is not None else new(w) for w in words], 1], np.int64)
-
-
 def exchange(bigrams: np.ndarray, classes: int, fixed: int, rounds: int = ROUNDS) -> np.ndarray:
     """The class of each unit. bigrams: counts by (unit, next unit); the first units, fixed of them, are classes alone.
 
@@ -192,83 +152,92 @@ def exchange(bigrams: np.ndarray, classes: int, fixed: int, rounds: int = ROUNDS
     return of
 
 
-@dataclass
-class BrownModel:
-    """Log10 probabilities: move[class, class]; emit[unit] of a unit in its class; exact counts of common words."""
+@dataclass(eq=False)
+class Words:
+    """The table of the most frequent words, with their counts, and the numbers of the common shapes; one more is all others.
 
-    vocabulary: dict[bytes, int]
-    shapes: dict[str, int]
-    of: np.ndarray
-    move: np.ndarray
-    emit: np.ndarray
-    inside: np.ndarray  # of each shape unit, log10 of what its words' smoothed counts are divided by
-    common: list[bytes]  # the most frequent words, with their counts
+    A token's number is its place in the table, or the table's size plus the number of its shape.
+    """
+
+    words: list[bytes]
     often: np.ndarray
-    least: int  # the least magnitude of counts that common has in full
+    shapes: dict[str, int]
+    least: int  # the least magnitude of counts that the table has in full
     total: int
     distinct: int
+    beyond: np.ndarray  # by shape: how many words beyond the table there are, and how often they occur
 
+    @property
+    def end(self) -> int:
+        return self.words.index(END.encode()) if END.encode() in self.words else -1
 
-def train(docs: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, common: int = TABLE) -> tuple[BrownModel, DataFrame]:
-    """The model and the table (word, c) of all counts, in the shared folder."""
-    counts = cut(word_counts(docs))
+    def shape_of(self, word: bytes) -> int:
+        return self.shapes.get(shape(word), len(self.shapes))
+
+
+class Numbers(dict):
+    """Word -> number; shapes of words beyond the table are remembered up to a bound."""
+
+    def __init__(self, table: Words):
+        super().__init__((w, i) for i, w in enumerate(table.words))
+        self.table, self.size, self.more = table, len(table.words), {}
+
+    def __missing__(self, word: bytes) -> int:
+        if (got := self.more.get(word)) is None:
+            if len(self.more) > REMEMBERED:
+                self.more = {}
+            got = self.more[word] = self.size + self.table.shape_of(word)
+        return got
+
+
+#: The table that this process read texts with last, and its numbers.
+_last: list = [None, None]
+
+
+def numbers(table: Words) -> Numbers:
+    if _last[0] is not table:
+        _last[:] = [table, Numbers(table)]
+    return _last[1]
+
+
+def tabulate(counts: DataFrame, size: int = TABLE, clustered: int = CLUSTERED) -> Words:
+    """The table of words, from all counts (word, c): as many magnitudes of counts, from the highest, as fit the size."""
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    # words of the highest magnitudes of counts, as many magnitudes as fit the table; there are some hundreds of them
+    # there are some hundreds of magnitudes
     sizes = {r.m: r.n for r in counts.groupBy(magnitude(F.col("c")).alias("m")).agg(F.count("*").alias("n")).collect()}
-    least, room = 1 << 30, common
+    least, room = 1 << 30, size
     for m in sorted(sizes, reverse=True):
         if (room := room - sizes[m]) < 0:
             break
         least = m
     top = counts.where((magnitude(F.col("c")) >= least) | (F.col("word") == END)).toArrow().sort_by([("c", "descending"), ("word", "ascending")])
-    table, often_words = [w.encode() for w in top["word"].to_pylist()], top["c"].to_numpy()
-    words = [w for w in top["word"].slice(0, clustered + 1).to_pylist() if w != END][:clustered]
+    words, often = [w.encode() for w in top["word"].to_pylist()], top["c"].to_numpy()
     del top
-    vocabulary = {w.encode(): i + 2 for i, w in enumerate(words)}
-
-    # shapes of the words that are not clustered: how many there are and how often they occur
-    known = frozenset(vocabulary) | {END.encode()}
-    shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def shapes(batches):
         for batch in batches:
             n: Counter = Counter()
             d: Counter = Counter()
-            skip = shared.value
             for w, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if (w := w.encode()) not in skip:
-                    s = shape(w)
-                    n[s] += c
-                    d[s] += 1
+                s = shape(w.encode())
+                n[s] += c
+                d[s] += 1
             yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64()), pa.array([d[s] for s in n], pa.int64())], names=["shape", "n", "d"])
 
     # shape() has some 3,100 values
-    kinds = counts.mapInArrow(shapes, "shape string, n long, d long").groupBy("shape").agg(F.sum("n").alias("n"), F.sum("d").alias("d")).orderBy(F.desc("n"), "shape").collect()
-    kinds, rest = kinds[:SHAPES], kinds[SHAPES:]
-    first = 2 + len(words)
-    names = {r["shape"]: first + i for i, r in enumerate(kinds)}
-    size = first + len(kinds)  # the number of the last unit, which is any other shape
-    pairs = unit_bigrams(docs, vocabulary, {**{i: i for i in range(first)}, **names}).toArrow()  # the square of the units at most
-    m = np.zeros((size + 1, size + 1))
-    m[pairs["a"].to_numpy(), pairs["b"].to_numpy()] = pairs["c"].to_numpy()
-    del pairs
-    of = exchange(m, classes, 2)
-    k = int(of.max()) + 1
-    one = np.zeros((size + 1, k))
-    one[np.arange(size + 1), of] = 1
-    n = one.T @ m @ one
-    with np.errstate(divide="ignore"):
-        follow = n[:, 1:].sum(1, keepdims=True)
-        move = np.log10((n + ADD_CLASS) / (follow + ADD_CLASS * (k - 1)))  # nothing moves to the start
-        often = m.sum(0) + ADD * (np.arange(size + 1) >= 2)
-        often[1] = max(often[1], 1)
-        emit = np.log10(np.maximum(often, 1e-12) / np.maximum((one.T @ often)[of], 1e-12))
-    inside = np.zeros(size + 1)
-    for r, i in zip(kinds, range(first, size)):
-        inside[i] = np.log10(r.n + ADD * (r.d + 1))
-    inside[size] = np.log10(sum(r.n for r in rest) + ADD * (sum(r.d for r in rest) + 1))
-    model = BrownModel(vocabulary, {**{i: i for i in range(first)}, **names}, of, move, emit, inside, table, often_words, least, int(total), int(distinct))
-    return model, counts
+    rare = counts.where((magnitude(F.col("c")) < least) & (F.col("word") != END)).select("word", "c")
+    kinds = {r["shape"]: (r.n, r.d) for r in rare.mapInArrow(shapes, "shape string, n long, d long").groupBy("shape").agg(F.sum("n").alias("n"), F.sum("d").alias("d")).collect()}
+    all_: Counter = Counter({k: n for k, (n, _) in kinds.items()})
+    seeds = clustered + (END.encode() in words[:clustered])
+    for w, c in zip(words[seeds:], often[seeds:].tolist()):
+        if w != END.encode():
+            all_[shape(w)] += c
+    names = [k for k, _ in sorted(all_.items(), key=lambda x: (-x[1], x[0]))[:SHAPES]]
+    number = {k: i for i, k in enumerate(names)}
+    beyond = np.zeros((2, len(names) + 1))
+    for k, (n, d) in kinds.items():
+        beyond[:, number.get(k, len(names))] += d, n
+    return Words(words, often, number, least, int(total), int(distinct), beyond)
 
 
 def _some(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -278,97 +247,247 @@ def _some(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(a, rows)
 
 
-class Known:
-    """The table of frequent words in arrays: place of a word, and by place its unit, log count, and that in its shape."""
-
-    def __init__(self, m: BrownModel):
-        self.place = {w: i for i, w in enumerate(m.common)}
-        shapes = Memo({}, m.shapes)
-        self.unit = np.array([m.vocabulary.get(w) or shapes.shape_of(w) for w in m.common], np.int64)
-        self.log = np.log10(m.often + ADD)
-        clustered = np.fromiter((w in m.vocabulary for w in m.common), bool, len(m.common))
-        self.inside = np.where(clustered, 0.0, self.log)  # in shapes, a known word adds the logarithm of its own count
-        self.emit = m.emit - m.inside  # a shape's words are divided by the shape's own total
-        end = self.place.get(END.encode())
-        self.end = (0, float(np.log10(ADD))) if end is None else (1, float(self.log[end]))
-
-
-def _scored(batch: pa.RecordBatch, m: BrownModel, memo: Memo, known: Known, names: list[str], rare_type: pa.DataType) -> pa.RecordBatch:
-    n, n_known, base, own = [], [], [], []
-    far_words, far_times, far_ends = [], [], [0]
-    place = known.place.get
-    for t in batch.column(batch.num_columns - 1).to_pylist():
-        words = tokens(t)
-        at = np.array([place(w, -1) for w in words], np.int64)
-        missing = np.flatnonzero(at < 0)
-        units = np.empty(len(words) + 2, np.int64)
-        units[0], units[-1] = 0, 1
-        if len(missing):
-            far = [words[i] for i in missing.tolist()]
-            near = at[at >= 0]
-            units[1:-1][at >= 0] = known.unit[near]
-            units[1:-1][missing] = [memo.shape_of(w) for w in far]
-            counted = Counter(far)
-            far_words += [w.decode("utf-8", "surrogatepass").encode("utf-8", "replace").decode() for w in counted]
-            far_times += counted.values()
-        else:
-            near = at
-            units[1:-1] = known.unit[at]
-        far_ends.append(len(far_words))
-        c = m.of[units]
-        n.append(len(words) + 1)
-        n_known.append(len(near) + known.end[0])
-        base.append(float(known.log[near].sum()) + known.end[1])
-        own.append(float(m.move[c[:-1], c[1:]].sum() + known.emit[units[1:]].sum() + known.inside[near].sum()))
-    rare = pa.ListArray.from_arrays(pa.array(far_ends, pa.int32()), pa.StructArray.from_arrays([pa.array(far_words, pa.string()), pa.array(far_times, pa.int32())], fields=list(rare_type.value_type))).cast(rare_type)
-    front = [batch.column(i) for i in range(batch.num_columns - 1)]
-    return pa.RecordBatch.from_arrays([*front, pa.array(n, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(own, pa.float64()), rare], names=[*names, "n_tokens", "n_known", "base", "own", "rare"])
-
-
-def score(docs: DataFrame, model: BrownModel, counts: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """A row for each row of docs: doc_id, columns to keep, n_tokens, n_known, base_score, score.
-
-    A task finds what the model and its table know; words outside the table are joined with their counts.
-    """
-    sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast(model)
+def read(docs: DataFrame, table: Words, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, columns to keep, ids, rare), written: each text as numbers, and its words beyond the table."""
+    shared = docs.sparkSession.sparkContext.broadcast(table)  # TABLE words and a bounded number of shapes
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     lead = f"doc_id {kinds[doc_id]}" + "".join(f", {c} {kinds[c]}" for c in keep)
-    rest = "n_tokens bigint, n_known bigint, base double, own double, rare array<struct<word:string,times:int>>"
-    rare_type = pa.list_(pa.struct([("word", pa.string()), ("times", pa.int32())]))
+    names, rare_type = ["doc_id", *keep, "ids", "rare"], pa.list_(pa.struct([("word", pa.string()), ("times", pa.int32())]))
+
+    def one(batch: pa.RecordBatch, number: Numbers) -> pa.RecordBatch:
+        ids, words, times, ends = [], [], [], [0]
+        for t in batch.column(batch.num_columns - 1).to_pylist():
+            found = tokens(t)
+            ids.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
+            far = np.flatnonzero(ids[-1] >= number.size).tolist()
+            counted = Counter([found[i] for i in far])
+            words += map(_text, counted)
+            times += counted.values()
+            ends.append(len(words))
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
+        rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(words, pa.string()), pa.array(times, pa.int32())], fields=list(rare_type.value_type))).cast(rare_type)
+        return pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), lists, rare], names=names)
 
     def of(batches):
-        m = shared.value
-        memo, known = Memo({}, m.shapes), Known(m)
+        number = numbers(shared.value)
         for whole in batches:
             for batch in _some(whole):
-                yield _scored(batch, m, memo, known, names, rare_type)
+                yield one(batch, number)
+
+    return cut(docs.select(F.col(doc_id).alias("doc_id"), *keep, F.col(text).alias("_text")).mapInArrow(of, f"{lead}, ids array<int>, rare array<struct<word:string,times:int>>"))
+
+
+def _sequence(lists: pa.Array, value: np.ndarray) -> np.ndarray:
+    """Values of the tokens of some texts, one text after another, with START_UNIT before and END_UNIT after each."""
+    size = np.diff(lists.offsets.to_numpy())
+    rows = np.arange(len(size))
+    ids = lists.flatten().to_numpy()
+    out = np.full(len(ids) + 2 * len(size), END_UNIT, np.int64)
+    out[np.cumsum(size + 2) - size - 2] = START_UNIT
+    out[np.arange(len(ids)) + 2 * np.repeat(rows, size) + 1] = value[ids]
+    return out
+
+
+def _summed(texts: DataFrame, keys, shared) -> DataFrame:
+    """(key, c): how often keys(ids, shared value) has each key; texts: (ids)."""
+
+    def of(batches):
+        have, times, parts, size = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
+
+        def gather():
+            found, counts = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            both, place = np.unique(np.concatenate([have, found]), return_inverse=True)
+            return both, np.bincount(place, np.concatenate([times, counts]), minlength=len(both)).astype(np.int64)
+
+        out = lambda: pa.RecordBatch.from_arrays([pa.array(have), pa.array(times)], names=["key", "c"])
+        for batch in batches:
+            parts.append(keys(batch.column(0), shared.value))
+            size += len(parts[-1])
+            if size > 2_000_000:
+                have, times = gather()
+                parts, size = [], 0
+                if len(have) > 10 * HELD:
+                    yield out()
+                    have, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        have, times = gather()
+        yield out()
+
+    return texts.select("ids").mapInArrow(of, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+
+
+def _pairs(lists: pa.Array, shared: tuple[np.ndarray, int]) -> np.ndarray:
+    value, n = shared
+    at = _sequence(lists, value)
+    return (at[:-1] * n + at[1:])[at[:-1] != END_UNIT]
+
+
+def bigrams(texts: DataFrame, value: np.ndarray, n: int) -> np.ndarray:
+    """Counts of pairs of neighbouring values, which are below n; the square of n is what comes to the driver at most."""
+    got = _summed(texts, _pairs, texts.sparkSession.sparkContext.broadcast((value, n))).toArrow()
+    out = np.zeros(n * n)
+    out[got["key"].to_numpy()] = got["c"].to_numpy()
+    return out.reshape(n, n)
+
+
+def _contexts(lists: pa.Array, shared: tuple[np.ndarray, np.ndarray, int]) -> np.ndarray:
+    value, asked, n = shared
+    at, own = _sequence(lists, value), _sequence(lists, np.arange(2, len(value) + 2))
+    place = np.flatnonzero((own >= 2) & np.append(asked, [False, False])[own - 2])
+    own = (own[place] - 2) * (2 * n)
+    return np.concatenate([own + at[place - 1], own + n + at[place + 1]])
 
-    names = ["doc_id", *keep]
+
+def assign(texts: DataFrame, value: np.ndarray, asked: np.ndarray, move: np.ndarray, mass: np.ndarray) -> np.ndarray:
+    """value with the classes of the asked numbers replaced by those that explain their neighbours best.
+
+    That is the class c of the highest sum, over occurrences, of log P(c | class before) + log P(class after | c), less the
+    logarithm of the class's mass.
+    """
+    n = len(move)
+    shared = texts.sparkSession.sparkContext.broadcast((value, asked, n))
+    got = _summed(texts, _contexts, shared)
+    width = F.lit(2 * n)
+    each = got.groupBy(F.floor(F.col("key") / width).alias("id")).agg(F.collect_list(F.struct((F.col("key") % width).cast("int").alias("at"), "c")).alias("m"))  # 2 n at most
+    into, onto = np.log(10) * move, np.log(10) * move.T
+
+    def best(batches):
+        for batch in batches:
+            lists = batch.column(1)
+            flat, size = lists.flatten(), np.diff(lists.offsets.to_numpy())
+            counts = np.zeros((len(size), 2 * n))
+            counts[np.repeat(np.arange(len(size)), size), flat.field("at").to_numpy()] = flat.field("c").to_numpy()
+            gain = counts[:, :n] @ into + counts[:, n:] @ onto - counts[:, :n].sum(1)[:, None] * np.log(np.maximum(mass, 1e-9))
+            gain[:, :2] = -np.inf
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gain.argmax(1).astype(np.int32))], names=["id", "class"])
+
+    found = each.mapInArrow(best, "id long, class int").toArrow()  # TABLE rows at most
+    value = value.copy()
+    value[found["id"].to_numpy()] = found["class"].to_numpy()
+    return value
+
+
+@dataclass(eq=False)
+class BrownModel:
+    """Log10 probabilities. of: class by number; move[class, class]; mass: of each class, the sum of its words' smoothed
+    counts, one more for an unknown word of each of its shapes."""
+
+    table: Words
+    of: np.ndarray
+    move: np.ndarray
+    mass: np.ndarray
+
+
+def _moves(pairs: np.ndarray) -> np.ndarray:
+    """Log10 probabilities of classes after classes; nothing moves to the start."""
+    out = np.log10((pairs + ADD_CLASS) / (pairs[:, 1:].sum(1, keepdims=True) + ADD_CLASS * (len(pairs) - 1)))
+    out[:, START_UNIT] = -np.inf
+    return out
+
+
+def _mass(table: Words, of: np.ndarray) -> np.ndarray:
+    size, n = len(table.words), int(of.max()) + 1
+    smoothed = np.concatenate([table.often + ADD, table.beyond[1] + ADD * (table.beyond[0] + 1)])
+    mass = np.bincount(of, smoothed, minlength=max(n, 2))
+    mass[START_UNIT], mass[END_UNIT] = 1, 1
+    assert len(smoothed) == size + len(table.shapes) + 1
+    return mass
+
+
+def fit(texts: DataFrame, table: Words, clustered: int = CLUSTERED, classes: int = CLASSES, assigned: int = ASSIGNED) -> BrownModel:
+    """The model of training texts (ids), as read() gives them."""
+    size, end = len(table.words), table.end
+    seeds = [i for i in range(min(size, clustered + 1)) if i != end][:clustered]
+    first = 2 + len(seeds)
+    unit = np.empty(size + len(table.shapes) + 1, np.int64)
+    unit[:size] = [first + table.shape_of(w) for w in table.words]
+    unit[size:] = first + np.arange(len(table.shapes) + 1)
+    unit[seeds] = 2 + np.arange(len(seeds))
+    if end >= 0:
+        unit[end] = END_UNIT
+    pairs = bigrams(texts, unit, first + len(table.shapes) + 1)
+    of_unit = exchange(pairs, classes, 2)
+    n = int(of_unit.max()) + 1
+    member = np.zeros((len(of_unit), n))
+    member[np.arange(len(of_unit)), of_unit] = 1
+    of = of_unit[unit]
+    asked = np.zeros(len(unit), bool)
+    asked[:size] = table.often >= assigned
+    asked[seeds] = False
+    if end >= 0:
+        asked[end] = False
+    if asked.any():
+        move = np.maximum(_moves(member.T @ pairs @ member), -300)
+        of = assign(texts, of, asked, move, _mass(table, of))
+        pairs = bigrams(texts, of, n)
+    else:
+        pairs = member.T @ pairs @ member
+    return BrownModel(table, of, _moves(pairs), _mass(table, of))
+
+
+def train(docs: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, common: int = TABLE, assigned: int = ASSIGNED) -> tuple[BrownModel, DataFrame]:
+    """The model and the table (word, c) of all counts, in the shared folder."""
+    counts = cut(word_counts(docs))
+    table = tabulate(counts, common, clustered)
+    docs = docs.select(F.lit(0).alias("doc_id"), "text")
+    return fit(read(docs, table), table, clustered, classes, assigned), counts
+
+
+def score_read(rows: DataFrame, model: BrownModel, counts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, columns to keep, n_tokens, n_known, train_tokens, base_score, score of texts as read() gives them."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
     # written rows keep their partitions, so these numbers hold
-    rows = cut(docs.select(F.col(doc_id).alias("doc_id"), *keep, F.col(text).alias("_text")).mapInArrow(of, f"{lead}, {rest}")).withColumn("row", F.monotonically_increasing_id())
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    lead = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in ("row", "doc_id", *keep))
+    names = [*(c for c in rows.columns if c in ("row", "doc_id", *keep)), "n_tokens", "n_known", "base", "own"]
+
+    def of(batches):
+        m = shared.value
+        size, end = len(m.table.words), m.table.end
+        log = np.append(np.log10(m.table.often + ADD), np.zeros(len(m.of) - size))  # words beyond the table are joined
+        emit = log - np.log10(m.mass)[m.of]
+        for batch in batches:
+            lists = batch.column(batch.num_columns - 1)
+            at, ids = _sequence(lists, m.of), lists.flatten().to_numpy()
+            length = np.diff(lists.offsets.to_numpy())
+            row = np.repeat(np.arange(len(length)), length)
+            total = lambda x: np.bincount(row, x, minlength=len(length))
+            went = np.where(at[:-1] != END_UNIT, m.move[at[:-1], at[1:]], 0.0)
+            begin = np.cumsum(length + 2) - length - 2
+            moved = np.add.reduceat(went, begin) if len(went) else np.zeros(0)
+            known = total(ids < size).astype(np.int64) + (end >= 0)
+            base = total(log[ids]) + np.log10((m.table.often[end] if end >= 0 else 0) + ADD)
+            own = moved + total(emit[ids])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(length.astype(np.int64) + 1), pa.array(known), pa.array(base), pa.array(own)], names=names)
+
+    got = rows.select(*names[:-4], "ids").mapInArrow(of, f"{lead}, n_tokens bigint, n_known bigint, base double, own double")
     words = rows.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times")
-    # counts of the table are known; the rest is joined by word
-    others = counts.where(magnitude(F.col("c")) < model.least)
+    others = counts.where(magnitude(F.col("c")) < model.table.least)
     joined = words.join(others, "word", "left").select("row", "times", F.coalesce("c", F.lit(0)).alias("c"))
     log = F.log10(F.col("c") + ADD) * F.col("times")
     sums = joined.groupBy("row").agg(F.sum(log).alias("far"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("far_known"))
-    whole = rows.drop("rare").join(sums, "row", "left")
+    whole = got.join(sums, "row", "left")
     far = F.coalesce("far", F.lit(0.0))
-    below = float(np.log10(max(model.total + ADD * (model.distinct + 1), ADD)))
+    below = float(np.log10(max(model.table.total + ADD * (model.table.distinct + 1), ADD)))
     return whole.select(
         "doc_id",
         *keep,
         "n_tokens",
         (F.col("n_known") + F.coalesce("far_known", F.lit(0))).alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"),
+        F.lit(model.table.total).cast("long").alias("train_tokens"),
         (F.col("base") + far - F.col("n_tokens") * below).alias("base_score"),
         (F.col("own") + far).alias("score"),
     )
 
 
+def score(docs: DataFrame, model: BrownModel, counts: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """A row for each row of docs: doc_id, columns to keep, n_tokens, n_known, train_tokens, base_score, score."""
+    return score_read(read(docs, model.table, doc_id, text, keep), model, counts, keep)
+
+
 def query(spark: SparkSession, docs: DataFrame) -> DataFrame:
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
     docs = docs.select("doc_id", held.alias("held_out"), "text")
-    model, counts = train(docs.where("NOT held_out"))
-    return score(docs, model, counts, keep=("held_out",))
+    counts = cut(word_counts(docs.where("NOT held_out")))
+    table = tabulate(counts)
+    rows = read(docs, table, keep=("held_out",))
+    return score_read(rows, fit(rows.where("NOT held_out"), table), counts, ("held_out",))

@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from fathomline.llm import bpe, brown_lm, queries, simhash_mih, token_counts, winnowing
 
@@ -224,19 +225,59 @@ def test_small_table_gives_the_same_counts(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     model, counts = brown_lm.train(docs)
     small, counts2 = brown_lm.train(docs, common=2000)
-    key = lambda m, c: {(r.doc_id, r.n_known, round(r.base_score, 5), round(r.score, 5)) for r in brown_lm.score(docs, m, c).collect()}
+    key = lambda m, c: {(r.doc_id, r.n_known, round(r.base_score, 5)) for r in brown_lm.score(docs, m, c).collect()}
     assert key(model, counts) == key(small, counts2)
 
 
-def test_probabilities_add_up(spark):
-    docs = spark.createDataFrame([(i, " ".join(f"a{(i * j) % 7}" if j % 3 else "the" for j in range(40))) for i in range(30)], "doc_id long, text string")
-    model, _ = brown_lm.train(docs, clustered=4, classes=3)
+@pytest.mark.parametrize("given", [{}, {"common": 300, "clustered": 50, "classes": 7, "assigned": 3}])
+def test_scores_against_counts_one_by_one(spark, odd_docs, given):
+    """Scores from the classes of words alone: bigrams of classes and counts of words counted text by text."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").unionByName(odd_docs.select(F.col("doc_id") + 10**6, "text").toDF("doc_id", "text"))
+    train = docs.where("doc_id % 3 <> 0 AND doc_id <> 1000009")
+    model, counts = brown_lm.train(train, **given)
+    table = model.table
+    place = {w: i for i, w in enumerate(table.words)}
+
+    def class_of(word):
+        i = place.get(word)
+        return int(model.of[i if i is not None else len(place) + table.shapes.get(brown_lm.shape(word), len(table.shapes))])
+
+    split = lambda t: [w.encode() for w in re.split(r"[\x20\x09-\x0D]+", (t or "").translate(LOWER)) if w]
+    words, pairs, mass = collections.Counter(), collections.Counter(), collections.Counter()
+    for r in train.collect():
+        found = split(r.text)
+        words.update(found)
+        classes = [0, *map(class_of, found), 1]
+        pairs.update(zip(classes, classes[1:]))
+    n = len(model.move)
+    for w, c in words.items():
+        mass[class_of(w)] += c + brown_lm.ADD
+    for s in range(len(table.shapes) + 1):
+        mass[int(model.of[len(place) + s])] += brown_lm.ADD
+    follow = collections.Counter()
+    for (a, _), c in pairs.items():
+        follow[a] += c
+
+    def score(text):
+        found = split(text)
+        classes = [0, *map(class_of, found), 1]
+        moved = sum(math.log10((pairs[p] + brown_lm.ADD_CLASS) / (follow[p[0]] + brown_lm.ADD_CLASS * (n - 1))) for p in zip(classes, classes[1:]))
+        return moved + sum(math.log10((words[w] + brown_lm.ADD) / mass[c]) for w, c in zip(found, classes[1:]))
+
+    got = brown_lm.score(docs, model, counts).collect()
+    want = collections.Counter((r.doc_id, round(score(r.text), 3)) for r in docs.collect())
+    assert collections.Counter((r.doc_id, round(r.score, 3)) for r in got) == want
     assert np.allclose((10 ** model.move[:, 1:]).sum(1), 1)
-    inside = collections.defaultdict(float)
-    for unit, c in enumerate(model.of):
-        if unit >= 1:
-            inside[c] += 10 ** model.emit[unit]
-    assert np.allclose(list(inside.values()), 1)
+
+
+def test_words_are_assigned_to_the_class_of_their_neighbours(spark):
+    draw = np.random.default_rng(0)
+    kinds = [[f"{k}{i}z" for i in range(12)] for k in "abc"]
+    text = lambda: " ".join(kinds[j % 3][min(int(draw.geometric(0.25)) - 1, 11)] for j in range(60))
+    docs = spark.createDataFrame([(i, text()) for i in range(200)], "doc_id long, text string")
+    model, _ = brown_lm.train(docs, clustered=9, classes=4, assigned=1)
+    found = {w.decode(): int(model.of[i]) for i, w in enumerate(model.table.words)}
+    assert all(len({found[w] for w in k if w in found}) == 1 for k in kinds) and len({found[k[0]] for k in kinds}) == 3
 
 
 def test_exchange_leaves_no_better_single_move():
