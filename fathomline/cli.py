@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from . import __version__
+from .durable import cut
 from .operators import timeseries as ts
 from .plans import config as cfg
 from .plans import pipeline
@@ -42,8 +43,9 @@ def l2(a, spark):
     sinks.write_level(level, a.out)
     if a.profiles:
         done = level1.read_level(spark, a.out)
-        names = sinks.emit_profiles(done.obs, done.uv, pipeline.BY, a.profiles, config.trajectory.rsplit("_", 1)[-1], config.sections.get("instruments"), a.force)
-        _log.info("%d profiles written", len(names))
+        emit = sinks.emit_profile_files if a.profile_files else sinks.emit_profiles
+        glider = a.glider or config.trajectory.rsplit("_", 1)[-1]
+        _log.info("%d profiles written", emit(done.obs, done.uv, pipeline.BY, a.profiles, glider, config.sections.get("instruments"), a.force))
     if a.pings:
         rows = raw[1].withColumn("time", F.col("sci_m_present_time")).where("time IS NOT NULL")
         if a.ping_positions:
@@ -65,13 +67,17 @@ def l3(a, spark):
 
 
 def merge(a, spark):
-    """Turbulence merged into binned profiles."""
+    """Turbulence merged into binned profiles; a product that is there stays unless told to overwrite it."""
+    if not a.overwrite and level1.list_paths(spark, a.out):
+        raise FileExistsError(f"{a.out} is there; --overwrite replaces it")
     if a.kind != "q":
         raise NotImplementedError("only files of the kind q can be merged")
     level = level1.read_level(spark, a.file)
     if level1.product_level(set(level.obs.columns)) != 3:
         raise NotImplementedError("turbulence is merged into binned profiles only")
     cells = pipeline.merge_turbulence(level.obs, level.uv, level1.read_turbulence(spark, a.turbulence), level1.bin_size(level.obs))
+    if a.out == a.file:
+        cells, level.uv = cut(cells), cut(level.uv)  # they are read from where they will be written
     sinks.write_level(Level(cells, None, level.uv, level.attrs), a.out)
 
 
@@ -90,11 +96,17 @@ def gps(a, spark):
     sinks.write_csv(level.gps.orderBy("time_gps") if a.fixes else gps_track(level.obs).orderBy("time"), a.out)
 
 
+#: Tables of a product by the dimension they lie over.
+DIMENSIONS = {"time": "obs", "time_gps": "gps", "time_uv": "uv"}
+
+
 def concat(a, spark):
-    """Products one after another; attributes of the first."""
+    """Products one after another along a dimension; the tables of other dimensions and attributes are the first's."""
     levels = [level1.read_level(spark, f) for f in a.files]
     join = lambda parts: level1.union_segments(kept) if (kept := [p for p in parts if p is not None]) else None
-    sinks.write_level(Level(join(x.obs for x in levels), join(x.gps for x in levels), join(x.uv for x in levels), levels[0].attrs), a.out)
+    along = set(DIMENSIONS.values()) if a.concat_dim == "all" else {DIMENSIONS[a.concat_dim]}
+    tables = {t: join(getattr(x, t) for x in levels) if t in along else getattr(levels[0], t) for t in DIMENSIONS.values()}
+    sinks.write_level(Level(tables["obs"], tables["gps"], tables["uv"], levels[0].attrs), a.out)
 
 
 def flight(a, spark):
@@ -104,8 +116,6 @@ def flight(a, spark):
     level, params = pipeline.fly(level1.read_level(spark, a.file), cfg.load_config(a.config), not a.no_fit)
     _log.info("parameters: %s", params)
     if a.inplace:
-        from .durable import cut
-
         level.obs = cut(level.obs)  # it is read from where it will be written
         level.gps, level.uv = (cut(x) if x is not None else None for x in (level.gps, level.uv))
     sinks.write_level(level, a.out or a.file)
@@ -138,12 +148,12 @@ def parser() -> argparse.ArgumentParser:
     out, file, config = (("-o", "--out"), {"required": True}), (("file",), {}), (("-c", "--config"), {})
     on = {"action": "store_true"}
     add("l1b", l1b, file, out, config)
-    add("l2", l2, (("flight",), {}), (("science",), {}), out, config, (("--shallowest",), {"type": float, "default": 5.0}), (("--surface-time",), {"type": float, "default": 180.0}), (("--skip-unpaired",), on), (("--profiles",), {}), (("--force",), on), (("--pings",), {}), (("--ping-positions",), on))
+    add("l2", l2, (("flight",), {}), (("science",), {}), out, config, (("--shallowest",), {"type": float, "default": 5.0}), (("--surface-time",), {"type": float, "default": 180.0}), (("--skip-unpaired",), on), (("--profiles",), {}), (("--profile-files",), {**on, "help": "profiles as NetCDF files"}), (("-g", "--glider"), {}), (("--force",), on), (("--pings",), {}), (("--ping-positions",), on))
     add("l3", l3, file, out, config, (("-b", "--bin"), {"type": float, "default": 10.0}), (("-d", "--depth"), {"type": float}), (("-q", "--turbulence"), {}))
-    add("merge", merge, file, (("turbulence",), {}), (("kind",), {"choices": ["q", "p"]}), out)
+    add("merge", merge, file, (("turbulence",), {}), (("kind",), {"choices": ["q", "p"]}), out, (("-w", "--overwrite"), on))
     add("hot", hot, file, out)
     add("gps", gps, file, out, (("--fixes",), on))
-    add("concat", concat, (("files",), {"nargs": "+"}), out)
+    add("concat", concat, (("files",), {"nargs": "+"}), out, (("-d", "--concat-dim"), {"choices": [*DIMENSIONS, "all"], "default": "all"}))
     add("flight", flight, file, (("-o", "--out"), {}), (("--inplace",), on), (("--no-fit",), on), config)
     add("netcdf", netcdf_export, file, out)
     add("cfg", default_config, out)

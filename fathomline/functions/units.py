@@ -31,14 +31,19 @@ CONVERSIONS: dict[str, Callable[[Column], Column]] = {
 }
 
 
+def _utc(seconds: Column) -> Column:
+    """Seconds since 1970 as a time without zone, so that no session's zone moves it."""
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
 def epoch_iso(seconds: Column) -> Column:
-    """2020-01-02T03:04:05 in UTC; the session's time zone has to be UTC."""
-    return F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss")
+    """2020-01-02T03:04:05 in UTC."""
+    return F.date_format(_utc(seconds), "yyyy-MM-dd'T'HH:mm:ss")
 
 
 def epoch_stamp(seconds: Column) -> Column:
     """20200102T030405Z in UTC, for file names."""
-    return F.date_format(F.timestamp_seconds(seconds), "yyyyMMdd'T'HHmmss'Z'")
+    return F.date_format(_utc(seconds), "yyyyMMdd'T'HHmmss'Z'")
 
 
 def last_part(x: Column, mark: str = "_") -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +31,14 @@ def bin_mean(df: DataFrame, keys: list[str], depth: str, size: float, values: li
     return cells.join(means, [*keys, "bin"], "left").select(*keys, "bin", middle, *(v for v in values if v != depth))
 
 
-def profile_regions(obs: DataFrame, by: list[str]) -> DataFrame:
-    """Samples of dives and climbs with l2_profile_id: runs of one id."""
+def profile_regions(obs: DataFrame, by: list[str], merged: bool = False) -> DataFrame:
+    """Samples of dives and climbs with l2_profile_id, the profile's id.
+
+    merged: profiles that follow each other without another sample between are one region instead, and l2_profile_id
+    is the number of the run of samples within or outside of profiles.
+    """
+    if merged:
+        return ts.islands(obs, F.col("profile_id") >= 0, by, ["time"], "l2_profile_id").where("profile_id >= 0").drop("profile_id")
     return obs.where("profile_id >= 0").withColumnRenamed("profile_id", "l2_profile_id")
 
 
@@ -44,13 +52,13 @@ def profile_facts(df: DataFrame, by: list[str], key: str = "l2_profile_id") -> D
     return got.withColumn("profile_id", F.row_number().over(Window.partitionBy(*by).orderBy("profile_time_start", key)))
 
 
-def interpolate_velocity(facts: DataFrame, uv: DataFrame, by: list[str]) -> DataFrame:
+def interpolate_velocity(facts: DataFrame, uv: DataFrame, by: list[str], needed: tuple[str, ...] = ("u", "v")) -> DataFrame:
     """facts with u and v at profile_time: between known reports only, null next to an unknown one.
 
-    Unknown is a report without u or without v. Profiles and reports are sparse: a series of them takes one window.
+    Unknown is a report without one of the needed components. Profiles and reports are sparse: a series of them takes one window.
     """
     reports = uv.where("time_uv IS NOT NULL").select(*by, F.col("time_uv").alias("time"), "u", "v")
-    known = F.col("u").isNotNull() & F.col("v").isNotNull()
+    known = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in needed))
     whole = reports.where(known).select(*by, "time", "u", "v")
     left = facts.withColumn("time", F.col("profile_time"))
     got = ts.interp_join(left, whole, ["u", "v"], by, width=None)

@@ -26,19 +26,21 @@ def blocked(df: DataFrame, order: str, width: float | None = BLOCK) -> DataFrame
     return df.withColumn(_BLOCK, F.floor(F.col(order) / width))
 
 
-def carry(df: DataFrame, by: list[str], order: list[str], add: dict[str, tuple[Column, str]], width: float | None = BLOCK) -> DataFrame:
+def carry(df: DataFrame, by: list[str], order: list[str], add: dict[str, tuple[Column, str]], width: float | None = BLOCK, back: list[str] | None = None) -> DataFrame:
     """Adds columns that hold a value of another row of the series.
 
     add: name -> (value, which). Of the rows whose value isn't null: "last" is that of the last row up to this one,
-    "before" of the last before it, "next" of the first from this one on, "after" of the first after it.
+    "before" of the last before it, "next" of the first from this one on, "after" of the first after it. back: the order
+    for "next" and "after", if it is another one; both begin with the same column, so one shuffle serves both.
     """
+    orders = {True: order, False: back or order}
     if width is None:
-        up, down = (Window.partitionBy(*by).orderBy(*(F.col(c) if way else F.desc(c) for c in order)) for way in (True, False))
+        up, down = (Window.partitionBy(*by).orderBy(*(F.col(c) if way else F.desc(c) for c in orders[way])) for way in (True, False))
         plain = {n: F.last(v, ignorenulls=True).over((up if w in ("last", "before") else down).rowsBetween(Window.unboundedPreceding, 0 if w in ("last", "next") else -1)) for n, (v, w) in add.items()}
         return df.withColumns(plain)
     df = blocked(df, order[0], width)
     ascending = Window.partitionBy(*by, _BLOCK).orderBy(*order)
-    descending = Window.partitionBy(*by, _BLOCK).orderBy(*(F.desc(c) for c in order))
+    descending = Window.partitionBy(*by, _BLOCK).orderBy(*(F.desc(c) for c in orders[False]))
     blocks_up = Window.partitionBy(*by).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     blocks_down = Window.partitionBy(*by).orderBy(F.desc(_BLOCK)).rowsBetween(Window.unboundedPreceding, -1)
     own, ends, carried = {}, [], []
@@ -46,7 +48,7 @@ def carry(df: DataFrame, by: list[str], order: list[str], add: dict[str, tuple[C
         forward, upto = which in ("last", "before"), 0 if which in ("last", "next") else -1
         window = (ascending if forward else descending).rowsBetween(Window.unboundedPreceding, upto)
         own[f"__own_{name}"] = F.last(value, ignorenulls=True).over(window)
-        at = F.when(value.isNotNull(), F.struct(*order))
+        at = F.when(value.isNotNull(), F.struct(*orders[forward]))
         ends.append((F.max_by(value, at) if forward else F.min_by(value, at)).alias(f"__end_{name}"))
         carried.append(F.last(f"__end_{name}", ignorenulls=True).over(blocks_up if forward else blocks_down).alias(f"__carried_{name}"))
     summary = df.groupBy(*by, _BLOCK).agg(*ends).select(*by, _BLOCK, *carried)
@@ -132,8 +134,8 @@ def interp_join(left: DataFrame, right: DataFrame, values: list[str], by: list[s
     both = _tagged(left, right, by, time, values).withColumn("__late", F.lit(1) - F.col("__side"))
     names = {v: (f"__p{i}", f"__n{i}") for i, v in enumerate(values)} if skip_nulls else {v: ("__p", "__n") for v in values}
     point = lambda v: F.when(F.col(f"__right.{v}").isNotNull(), F.struct(F.col(f"__right.{time}").alias(time), F.col(f"__right.{v}").alias(v))) if skip_nulls else F.col("__right")
-    both = carry(both, by, [time, "__side"], {names[v][0]: (point(v), "last") for v in values}, width)
-    both = carry(both, by, [time, "__late"], {names[v][1]: (point(v), "next") for v in values}, width)
+    add = {names[v][0]: (point(v), "last") for v in values} | {names[v][1]: (point(v), "next") for v in values}
+    both = carry(both, by, [time, "__side"], add, width, [time, "__late"])  # a right row of the same time counts either way
     got = [interpolate(F.col(time), F.col(f"{p}.{time}"), F.col(f"{p}.{v}"), F.col(f"{n}.{time}"), F.col(f"{n}.{v}")).alias(v) for v, (p, n) in names.items()]
     kept = [F.col(f"__left.{c}").alias(c) for c in left.columns if c not in values]
     return both.where("__side = 1").select(*kept, *got)
@@ -143,8 +145,7 @@ def nearest_gap(left: DataFrame, right: DataFrame, by: list[str], name: str, tim
     """left with the time to the nearest right row on either side; null without one."""
     both = _tagged(left, right, by, time, []).withColumn("__late", F.lit(1) - F.col("__side"))
     at = F.col(f"__right.{time}")
-    both = carry(both, by, [time, "__side"], {"__p": (at, "last")}, width)
-    both = carry(both, by, [time, "__late"], {"__n": (at, "next")}, width)
+    both = carry(both, by, [time, "__side"], {"__p": (at, "last"), "__n": (at, "next")}, width, [time, "__late"])
     gap = F.least(F.col(time) - F.col("__p"), F.col("__n") - F.col(time))
     return both.where("__side = 1").select("__left.*", gap.alias(name))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..durable import cut
+from ..durable import cut, cut_all
 from ..functions import seawater
 from ..operators import bins, flight, gps, profiles, quality
 from ..operators import timeseries as ts
@@ -25,22 +25,30 @@ def l1b(raw: DataFrame, config: Config) -> DataFrame:
 def thermodynamics(df: DataFrame, config: Config) -> DataFrame:
     """Salinity, Absolute Salinity, Conservative Temperature, densities, sound speed, height, depth and N squared.
 
-    Positions are interpolated over gaps of any length first. Flags follow those of conductivity and of pressure.
+    Positions are interpolated over gaps of any length. Flags follow those of conductivity and of pressure. df is read
+    twice; write a costly one first.
     """
     if not config.include.get("thermo", True) or not {"conductivity", "temperature", "pressure", "lat", "lon"} <= set(df.columns):
         return df
-    df = cut(ts.fill_gaps(df, {"lat": None, "lon": None}, BY).drop("lat_filled", "lon_filled"))
     c, p = F.col, F.col("pressure")
     df = df.withColumn("salinity", seawater.practical_salinity(c("conductivity") * 10, c("temperature"), p))
     df = df.withColumn("SA", seawater.absolute_salinity(c("salinity")))
     df = df.withColumn("CT", seawater.conservative_temperature(c("SA"), c("temperature"), p))
+    # positions around gaps, and both neighbours of a sample, in one pass
+    state = F.struct(c("SA").alias("s"), c("CT").alias("t"), p.alias("p"), c("time").alias("x"))
+    point = lambda v: F.when(c(v).isNotNull(), F.struct(c("time").alias("t"), c(v).alias("v")))
+    add = {"__a": (state, "before"), "__b": (state, "after")} | {f"__p_{v}": (point(v), "last") for v in ("lat", "lon")} | {f"__n_{v}": (point(v), "next") for v in ("lat", "lon")}
+    df = ts.carry(df, BY, ["time"], add)
+    df = df.withColumns({v: F.coalesce(c(v), ts.interpolate(c("time"), c(f"__p_{v}.t"), c(f"__p_{v}.v"), c(f"__n_{v}.t"), c(f"__n_{v}.v"))) for v in ("lat", "lon")})
     df = df.withColumns({"density": seawater.density(c("SA"), c("CT"), p), "rho0": seawater.density(c("SA"), c("CT"), F.lit(0.0)), "sound_speed": seawater.sound_speed(c("SA"), c("CT"), p)})
     df = df.withColumn("z", seawater.height(p, c("lat"))).withColumn("depth", -c("z"))
     # N squared lies between samples; at a sample it is interpolated between the two around it
-    df = ts.lag_lead(df, BY, ["time"], lead={"__s": c("SA"), "__t": c("CT"), "__p": p, "__x": c("time")})
-    df = df.withColumns({"__n": seawater.buoyancy_frequency(c("SA"), c("CT"), p, c("__s"), c("__t"), c("__p"), c("lat")), "__m": (c("time") + c("__x")) / 2})
-    df = ts.lag_lead(cut(df), BY, ["time"], lag={"__n0": c("__n"), "__m0": c("__m")})
-    df = df.withColumn("N2", ts.interpolate(c("time"), c("__m0"), c("__n0"), c("__m"), c("__n"))).drop("__s", "__t", "__p", "__x", "__n", "__m", "__n0", "__m0")
+    frequency = lambda a, b: seawater.buoyancy_frequency(*a, *b, c("lat"))
+    at = lambda n: (c(f"{n}.s"), c(f"{n}.t"), c(f"{n}.p"))
+    own = (c("SA"), c("CT"), p)
+    middle = lambda n: (c("time") + c(f"{n}.x")) / 2
+    df = df.withColumns({"__n0": frequency(at("__a"), own), "__n1": frequency(own, at("__b"))})
+    df = df.withColumn("N2", ts.interpolate(c("time"), middle("__a"), c("__n0"), middle("__b"), c("__n1"))).drop("__n0", "__n1", *add)
     derived = ["salinity", "SA", "CT", "density", "rho0", "sound_speed"]
     inherit = lambda of: F.col(f"{of}_qc") if f"{of}_qc" in df.columns else quality.tag(quality.UNCHECKED)
     flags = {f"{v}_qc": inherit("conductivity") for v in derived} | {f"{v}_qc": inherit("pressure") for v in ("z", "depth")}
@@ -53,15 +61,16 @@ def l2(raw_flight: DataFrame, raw_science: DataFrame, config: Config, shallowest
 
     Labels look at the raw flight table, fixes at the checked one.
     """
-    flight_, science = cut(l1b(raw_flight, config)), cut(l1b(raw_science, config))
+    flight_, science = cut_all(l1b(raw_flight, config), l1b(raw_science, config))
     if adjust_dead_reckoning and {"lon", "lat", "lon_gps", "lat_gps", "m_depth"} <= set(flight_.columns):
         flight_ = gps.correct_dead_reckoning(flight_, BY)
     obs = cut(thermodynamics(cut(quality.merge_streams(flight_, science, config, BY)), config))
-    obs = profiles.get_profiles(obs, BY, shallowest, surface_time, raw_flight)
     raw_fixes = None
     if "m_gps_lat" in raw_flight.columns:
         raw_fixes = raw_flight.where("m_gps_lat IS NOT NULL AND m_present_time IS NOT NULL").select(*BY, F.col("m_present_time").alias("time"))
-    obs = cut(profiles.assign_surface(cut(obs), BY, raw_fixes))
+    # labels are made of a few columns; the others join them once
+    labels = profiles.assign_surface(cut(profiles.label_samples(obs, BY, shallowest, surface_time, raw_flight)), BY, raw_fixes)
+    obs = cut(obs.drop(*profiles.Labels.NAMES).join(labels.drop("pressure"), [*BY, "time"]))
     if {"m_water_vx", "m_water_vy"} <= set(raw_flight.columns):
         reports = profiles.velocity_reports(raw_flight, BY)
     else:

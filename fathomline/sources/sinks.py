@@ -1,17 +1,22 @@
-"""Sinks: products as Parquet with attributes beside, one table for each profile, CSV exports, channel tables."""
+"""Sinks: products as Parquet with attributes beside, one table or NetCDF file for each profile, CSV, channel tables."""
 
 from __future__ import annotations
 
 import json
+import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..durable import cut
 from ..functions.units import epoch_stamp
 from ..operators import profiles as pr
 from ..operators import timeseries as ts
 from ..operators.quality import any_nonzero
 from .level1 import Level, list_paths
+from .netcdf import encode
 
 #: Sensors of an acoustic ping, and the names of the export's columns in their order.
 PING_SENSORS = (
@@ -63,24 +68,68 @@ def profile_tables(obs: DataFrame, uv: DataFrame, by: list[str], platform: str,
     return out.withColumns({"platform": fill, "crs": fill, **{f"instrument_{n}": fill for n in instruments or {}}}).withMetadata("platform", meta)
 
 
-def emit_profiles(obs: DataFrame, uv: DataFrame, by: list[str], path: str, platform: str, instruments: dict[str, str] | None = None, force: bool = False) -> list[str]:
-    """Writes each complete profile to <path>/profile_key=<name>; those that are there stay unless force. Names written.
+def missing_profiles(rows: DataFrame, listed: DataFrame | None) -> DataFrame:
+    """The rows whose profile_key isn't listed."""
+    return rows if listed is None else rows.join(listed.select("profile_key").distinct(), "profile_key", "left_anti")
+
+
+def emit_profiles(obs: DataFrame, uv: DataFrame, by: list[str], path: str, platform: str, instruments: dict[str, str] | None = None, force: bool = False) -> int:
+    """Writes each complete profile to <path>/profile_key=<name>; those that are there stay unless force. How many.
 
     Without labels or velocities nothing is written.
     """
     if uv is None or not {"profile_id", "state"} <= set(obs.columns):
-        return []
+        return 0
     spark = obs.sparkSession
     rows = profile_tables(obs, uv, by, platform, instruments)
-    there = {p.rsplit("profile_key=", 1)[-1] for p in list_paths(spark, f"{path}/profile_key=*")}
-    if there and not force:
-        rows = rows.join(spark.createDataFrame([(t,) for t in sorted(there)], "profile_key string"), "profile_key", "left_anti")
-    names = sorted(r[0] for r in rows.select("profile_key").distinct().collect())
-    if names:
-        # a profile is a table of its own, so its rows come together; profiles are many and small
+    if not force and list_paths(spark, f"{path}/profile_key=*"):
+        rows = missing_profiles(rows, spark.read.parquet(path))
+    rows = cut(rows)
+    # a profile is a table of its own, so its rows come together; profiles are many and small
+    number = rows.select("profile_key").distinct().count()
+    if number:
         writer = rows.repartition("profile_key").sortWithinPartitions("profile_key", "time").write.partitionBy("profile_key")
         writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
-    return names
+    return number
+
+
+def emit_profile_files(obs: DataFrame, uv: DataFrame, by: list[str], path: str, platform: str, instruments: dict[str, str] | None = None, force: bool = False, attrs: dict | None = None) -> int:
+    """Writes each complete profile as a NetCDF classic file <path>/<name>.nc; those that are there stay unless force.
+
+    Samples lie over time; profile_id, profile_time, profile_lat, profile_lon, time_uv, lat_uv, lon_uv, u, v, platform,
+    crs and the instruments are scalars. Executors write, each file under another name first. How many were written.
+    """
+    if uv is None or not {"profile_id", "state"} <= set(obs.columns):
+        return 0
+    spark = obs.sparkSession
+    rows = profile_tables(obs, uv, by, platform, instruments)
+    if not force and list_paths(spark, f"{path}/*.nc"):
+        there = spark.read.format("binaryFile").option("pathGlobFilter", "*.nc").load(path)  # names only are read
+        rows = missing_profiles(rows, there.select(F.regexp_extract("path", r"([^/]+)\.nc$", 1).alias("profile_key")))
+    given = {f.name: {k: v for k, v in (f.metadata or {}).items() if isinstance(v, (str, int, float))} for f in rows.schema}
+    scalar = [c for c in rows.columns if c in {"profile_id", "profile_time", "profile_lat", "profile_lon", "time_uv", "lat_uv", "lon_uv", "u", "v"}]
+    marks = {"platform": {"id": platform, "instrument": ", ".join(instruments or {}) or " "}, "crs": {}, **{n: {"description": str(d)} for n, d in (instruments or {}).items()}}
+    marks = {n: {"_FillValue": np.int32(INT_FILL), **a} for n, a in marks.items()}
+    left_out = {*by, "profile_key", *scalar, *marks, *(f"instrument_{n}" for n in instruments or {})}
+    numeric = [c for c, t in rows.dtypes if t in ("double", "float", "int", "smallint", "tinyint", "bigint") and c not in left_out]
+
+    def put(pdf: pd.DataFrame) -> pd.DataFrame:
+        from pyarrow import fs
+
+        pdf = pdf.sort_values("time", kind="stable")
+        columns = {c: pdf[c].to_numpy(float, na_value=np.nan) if pdf[c].dtype.kind != "i" else pdf[c].to_numpy() for c in numeric}
+        scalars = {c: float(pdf[c].iloc[0]) for c in scalar} | {n: np.int32(0) for n in marks}
+        key = pdf["profile_key"].iloc[0]
+        data = encode(columns, attrs, "time", given | marks, scalars)
+        store, folder = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+        store.create_dir(folder, recursive=True)
+        part = f"{folder}/.{key}.{uuid.uuid4().hex}"
+        with store.open_output_stream(part) as out:
+            out.write(data)
+        store.move(part, f"{folder}/{key}.nc")
+        return pd.DataFrame({"profile_key": [key], "bytes": [len(data)]})
+
+    return rows.groupBy("profile_key").applyInPandas(put, "profile_key string, bytes long").agg(F.count("*")).first()[0]
 
 
 def ping_filter(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathomline.operators import bins, profiles
-from fathomline.sources import level1, sinks
+from fathomline.sources import level1, netcdf, sinks
 
 BY = ["trajectory"]
 
@@ -183,12 +183,19 @@ def test_velocities_and_exports(spark, obs, tmp_path):
     uv = profiles.velocities(labelled, reports, BY)
     assert sorted((r.trajectory, r.u) for r in uv.collect() if r.u) == [("a", 0.3), ("b", 0.3)] and uv.count() == 4
     only = labelled.where("trajectory = 'a'")
-    names = sinks.emit_profiles(only, uv, BY, f"{tmp_path}/p", "unit")
-    assert len(names) == 2 and sinks.emit_profiles(only, uv, BY, f"{tmp_path}/p", "unit") == []
-    assert sinks.emit_profiles(only, uv, BY, f"{tmp_path}/p", "unit", force=True) == names
+    assert [sinks.emit_profiles(only, uv, BY, f"{tmp_path}/p", "unit", force=f) for f in (False, False, True)] == [2, 0, 2]
     again = spark.read.parquet(f"{tmp_path}/p")
     assert again.select("profile_id").distinct().count() == 2 and {"profile_time", "u", "v", "crs", "platform"} <= set(again.columns)
-    assert sinks.emit_profiles(only.drop("state"), uv, BY, f"{tmp_path}/q", "unit") == []
+    assert sinks.emit_profiles(only.drop("state"), uv, BY, f"{tmp_path}/q", "unit") == 0
+    assert [sinks.emit_profile_files(only, uv, BY, f"{tmp_path}/nc", "unit", {"ctd": "a"}, force=f, attrs={"title": "t"}) for f in (False, False, True)] == [2, 0, 2]
+    files = sorted((tmp_path / "nc").glob("*.nc"))
+    assert [f.stem for f in files] == sorted(r[0] for r in again.select("profile_key").distinct().collect())
+    sizes, attrs, variables = netcdf.parse(files[0].read_bytes())
+    rows = again.where(F.col("profile_key") == files[0].stem).orderBy("time").toPandas()
+    assert attrs == {"title": "t"} and sizes == {"time": len(rows)} and np.allclose(variables["pressure"][2], rows.pressure, equal_nan=True)
+    assert variables["crs"][0] == () and variables["platform"][1]["id"] == "unit" and variables["ctd"][1] == {"_FillValue": sinks.INT_FILL, "description": "a"}
+    assert float(variables["profile_time"][2]) == rows.profile_time[0] and float(variables["u"][2]) == rows.u[0]
+    assert netcdf.read_netcdf(spark, str(files[0])).count() == len(rows)
     nothing = profiles.velocities(obs.withColumns({"dive_id": F.lit(-1), "climb_id": F.lit(-1)}), reports, BY).collect()
     assert len(nothing) == 2 and all(r.time_uv is None for r in nothing)
 
