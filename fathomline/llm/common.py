@@ -2,41 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..durable import cut, shared_dir
+
+__all__ = ["cut", "shared_dir", "Scratch", "first_by_hash", "labelled_sample", "remainder", "spare_name", "table"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables; the path may be in any store that Spark reads."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it.
-
-    Only a session that names none (tests on one machine) gets a temporary folder.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fathomline-"))
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows, read from the shared folder: later stages don't depend on any executor's disk."""
-    shared_dir(df.sparkSession)
-    if not df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 class Scratch:
     """Parquet tables in the shared folder, one after another; drop() removes one that is no longer read."""
 
@@ -75,11 +55,12 @@ def remainder(doc_id, modulus: int):
 def first_by_hash(df: DataFrame, limit: int, total: int, *keys: str) -> DataFrame:
     """limit rows in the order of a hash of the keys, of some total rows; ties by the keys.
 
-    Each task hands its first rows on to one task, so a large table is thinned first, by another hash, to some twice the
-    limit (a table of up to four times the limit is not).
+    Each task hands its first rows on to one task; those that can't be among them are left out first: of total rows, the
+    first are those of the smallest hashes, all below a bound that twice the limit are expected under.
     """
-    if total > 4 * limit:
-        df = df.where(F.pmod(F.xxhash64(F.lit(1), *keys), F.lit(1 << 30)) < int((1 << 30) * min(1.0, (2 * limit + 100) / total)))
+    h = F.xxhash64(*keys)
+    share = min(1.0, (2 * limit + 100) / max(total, 1))
+    df = df.where(h <= F.lit(min(int(share * (1 << 64)) - (1 << 63), (1 << 63) - 1)))
     return df.orderBy(F.xxhash64(*keys), *keys).limit(limit)
 
 

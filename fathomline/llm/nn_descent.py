@@ -33,7 +33,7 @@ NEIGHBOURS, REVERSE, DELTA, ROUNDS = 24, 8, 0.05, 6
 #: Trees of hyperplanes; nodes of a leaf at most; sampled vectors that a tree is fitted on.
 TREES, LEAF, SAMPLE = 8, 2048, 16_384
 #: Nodes of a query that a search has to expand at first; parts of a beam that it expands at once.
-BEAM, STEPS = 256, 4
+BEAM, STEPS = 256, 2
 #: Share of the nearest that a search has to find for ASKED sampled queries, by brute force.
 RECALL, ASKED = 0.95, 64
 #: Nodes and queries of a block of brute force.
@@ -171,10 +171,9 @@ def descend(graph: DataFrame, vectors: DataFrame, k: int, reverse: int) -> DataF
     around = graph.select(F.col("a").alias("pivot"), F.col("b").alias("x"), "new").unionByName(back).groupBy("pivot", "x").agg(F.max("new").alias("new"))
     reach = graph.groupBy("a").agg(F.when(F.count("*") >= k, F.max("d")).otherwise(float("inf")).cast("float").alias("far"))
     brought = vectors.join(reach, F.col("node") == F.col("a"), "left").select("node", F.transform("vector", lambda v: v.cast("float")).alias("vector"), F.coalesce("far", F.lit(float("inf")).cast("float")).alias("far"))
-    # pivots without a new neighbour have nothing to propose
-    busy = around.where("new").select("pivot").distinct()
-    # at most k + reverse at a pivot
-    met = around.join(busy, "pivot", "left_semi").join(brought, F.col("x") == F.col("node")).groupBy("pivot").agg(F.collect_list(F.struct("node", "far", "new", "vector")).alias("m"))
+    # pivots without a new neighbour have nothing to propose; at most k + reverse rows are at one
+    busy = around.withColumn("busy", F.max("new").over(Window.partitionBy("pivot"))).where("busy").drop("busy")
+    met = busy.join(brought, F.col("x") == F.col("node")).groupBy("pivot").agg(F.collect_list(F.struct("node", "far", "new", "vector")).alias("m"))
 
     def propose(batches):
         for batch in batches:
@@ -260,23 +259,30 @@ def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame, total: int,
             d = ((q - v) ** 2).sum(1) if len(batch) else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("node"), pa.array(d, pa.float32())], names=["query", "node", "d"])
 
-    # the origin itself is a result too, for its other rows; all that was measured stays, so nothing is measured twice
-    state = cut(asked.select("query", F.col("origin").alias("node"), F.lit(0.0).cast("float").alias("d"), F.lit(False).alias("done")))
     ranks = Window.partitionBy("query").orderBy("d", "node")
+
+    def ranked(state: DataFrame) -> DataFrame:
+        """With the rank of each node of a query, and which of the nodes not expanded yet it is."""
+        open_ = F.sum(F.when(F.col("done"), 0).otherwise(1)).over(ranks.rowsBetween(Window.unboundedPreceding, 0))
+        return cut(state.withColumns({"rank": F.row_number().over(ranks), "open": open_}))
+
+    # the origin itself is a result too, for its other rows; all that was measured stays, so nothing is measured twice
+    state = ranked(asked.select("query", F.col("origin").alias("node"), F.lit(0.0).cast("float").alias("d"), F.lit(False).alias("done")))
     while True:
-        open_ = state.withColumn("rank", F.row_number().over(ranks)).where((F.col("rank") <= beam) & ~F.col("done"))
-        front = cut(open_.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("rank"))).where(F.col("n") <= max(1, beam // STEPS)).select("query", "node"))
+        opened = ~F.col("done") & (F.col("rank") <= beam) & (F.col("open") <= max(1, beam // STEPS))
+        front = state.where(opened)
         if not front.isEmpty():
-            fresh = front.join(ways, F.col("node") == F.col("a")).select("query", F.explode("to").alias("node")).distinct()
-            fresh = fresh.join(state.select("query", "node"), ["query", "node"], "left_anti")
-            near = fresh.join(light, "node").join(asked.select("query", "q"), "query").select("query", "node", "q", "v").mapInArrow(measure, "query long, node long, d float").withColumn("done", F.lit(False))
-            opened = front.withColumn("now", F.lit(True))
-            state = state.join(opened, ["query", "node"], "left").select("query", "node", "d", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done"))
-            state = cut(state.unionByName(near))
+            reached = front.join(ways, F.col("node") == F.col("a")).select("query", F.explode("to").alias("node"), F.lit(None).cast("float").alias("d"), F.lit(False).alias("done"))
+            known = state.select("query", "node", "d", (F.col("done") | opened).alias("done"))
+            both = known.unionByName(reached).groupBy("query", "node").agg(F.max("d").alias("d"), F.max("done").alias("done"))
+            # a new node has no distance yet
+            near = both.where("d IS NULL").select("query", "node").join(light, "node").join(asked.select("query", "q"), "query").select("query", "node", "q", "v")
+            near = near.mapInArrow(measure, "query long, node long, d float").withColumn("done", F.lit(False))
+            state = ranked(both.where("d IS NOT NULL").unionByName(near))
             continue
-        best = state.join(sample.select("query"), "query", "left_semi").withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= k)
+        best = state.join(sample.select("query"), "query", "left_semi").where(F.col("rank") <= k)
         if best.join(truth, ["query", "node"], "left_semi").count() >= recall * wanted:
-            return state.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= max(beam, k)).drop("rank", "done")
+            return state.where(F.col("rank") <= max(beam, k)).select("query", "node", "d")
         if beam >= total:
             return exact(light.withColumnRenamed("v", "vector"), asked, max(BEAM, k), total, number)
         beam *= 2

@@ -209,19 +209,19 @@ class Network:
         """Logits of windows. gates: T, B, 6h projected inputs, forward half first; mask: T, B, true at words."""
         p, h = self.p, STATES
         t, b = mask.shape
-        states = np.zeros((t, b, 2 * h), np.float32)
-        saved = [[None] * t, [None] * t]
-        for d in (0, 1):
-            u, state, g = p["u"][d], np.zeros((b, h), np.float32), gates[:, :, 3 * h * d : 3 * h * (d + 1)]
-            for i in range(t) if d == 0 else range(t - 1, -1, -1):
-                rec = state @ u
-                zr = _sigmoid(g[i, :, : 2 * h] + rec[:, : 2 * h])
-                new = np.tanh(g[i, :, 2 * h :] + zr[:, h:] * rec[:, 2 * h :])
-                moved = np.where(mask[i][:, None], state + zr[:, :h] * (new - state), state)
-                if keep:
-                    saved[d][i] = (state, zr, new, rec[:, 2 * h :])
-                state = moved
-                states[i, :, h * d : h * (d + 1)] = state
+        # both directions step by step together, the second one from the end
+        g = np.stack([gates[:, :, : 3 * h], gates[::-1, :, 3 * h :]], 1)
+        on = np.stack([mask, mask[::-1]], 1)[..., None]
+        state, both, saved = np.zeros((2, b, h), np.float32), np.empty((t, 2, b, h), np.float32), []
+        for i in range(t):
+            rec = state @ p["u"]
+            zr = _sigmoid(g[i, :, :, : 2 * h] + rec[:, :, : 2 * h])
+            new = np.tanh(g[i, :, :, 2 * h :] + zr[:, :, h:] * rec[:, :, 2 * h :])
+            if keep:
+                saved.append((state, zr, new, rec[:, :, 2 * h :]))
+            state = np.where(on[i], state + zr[:, :, :h] * (new - state), state)
+            both[i] = state
+        states = np.concatenate([both[:, 0], both[::-1, 1]], 2)
         inner = np.tanh(states @ p["a"])
         energy = np.where(mask, inner @ p["v"], -1e9)
         energy = np.exp(energy - energy.max(0))
@@ -245,22 +245,23 @@ class Network:
         di = de[:, :, None] * p["v"] * (1 - inner**2)
         g["a"] = np.einsum("tbi,tbj->ij", states, di, optimize=True)
         dstate += di @ p["a"].T
-        dgates = np.zeros((t, b, 6 * h), np.float32)
-        for d in (0, 1):
-            u, back = p["u"][d], np.zeros((b, h), np.float32)
-            for i in range(t - 1, -1, -1) if d == 0 else range(t):
-                state, zr, new, rec = saved[d][i]
-                back = back + dstate[i, :, h * d : h * (d + 1)]
-                on = back * mask[i][:, None]
-                z, r = zr[:, :h], zr[:, h:]
-                dn = on * z * (1 - new**2)
-                dz = on * (new - state) * z * (1 - z)
-                dr = dn * rec * r * (1 - r)
-                local = np.concatenate([dz, dr, dn], 1)
-                drec = np.concatenate([dz, dr, dn * r], 1)
-                dgates[i, :, 3 * h * d : 3 * h * (d + 1)] = local
-                g["u"][d] += state.T @ drec
-                back = back - on * z + drec @ u.T
+        dboth = np.stack([dstate[:, :, :h], dstate[::-1, :, h:]], 1)
+        on = np.stack([mask, mask[::-1]], 1)[..., None]
+        local, back, across = np.empty((t, 2, b, 3 * h), np.float32), np.zeros((2, b, h), np.float32), p["u"].transpose(0, 2, 1)
+        for i in range(t - 1, -1, -1):
+            state, zr, new, rec = saved[i]
+            back = back + dboth[i]
+            held = back * on[i]
+            z, r = zr[:, :, :h], zr[:, :, h:]
+            dn = held * z * (1 - new**2)
+            local[i, :, :, :h] = held * (new - state) * z * (1 - z)
+            local[i, :, :, h : 2 * h] = dn * rec * r * (1 - r)
+            local[i, :, :, 2 * h :] = dn
+            drec = local[i].copy()
+            drec[:, :, 2 * h :] *= r
+            g["u"] += state.transpose(0, 2, 1) @ drec
+            back = back - held * z + drec @ across
+        dgates = np.concatenate([local[:, 0], local[::-1, 1]], 2)
         g["wx"] = np.einsum("tbi,tbj->ij", x, dgates, optimize=True)
         g["b"] = dgates.sum((0, 1))
         loss = float((np.logaddexp(0, np.where(want == 1, -logit, logit)) * weight).sum())

@@ -59,6 +59,72 @@ def test_tool_calls_in_json(spark):
     assert sorted(places) == list(range(1, len(places) + 1))
 
 
+def brute_links(rows, schemas):
+    """Links of messages by the definition: (conv, turn, seq, id, name, level, ordered, results, result turn, valid, line)."""
+    kinds = {"integer": lambda v: isinstance(v, int) and not isinstance(v, bool), "number": lambda v: isinstance(v, (int, float)) and not isinstance(v, bool), "string": lambda v: isinstance(v, str)}
+    out = collections.Counter()
+    for conv in {r[0] for r in rows}:
+        calls, results = [], collections.defaultdict(set)
+        for c, turn, _, text in set(rows):
+            if c == conv:
+                got = json.loads(text)
+                calls += [(turn, k, x["id"], x["name"], x["arguments"]) for k, x in enumerate(got.get("tool_calls", []))]
+                if "tool_call_id" in got:
+                    results[got["tool_call_id"]].add((turn, got["content"]))
+        ids = {x[2] for x in calls}
+        refs = lambda v: {v["$ref"]} if isinstance(v, dict) and "$ref" in v else set().union(*map(refs, v.values())) if isinstance(v, dict) else set()
+        level = {i: None for i in range(len(calls))}
+        for _ in range(len(calls) + 1):
+            for i, x in enumerate(calls):
+                need = refs(x[4])
+                if level[i] is None and need <= ids:
+                    below = [level[j] for j, y in enumerate(calls) if y[2] in need]
+                    if None not in below:
+                        level[i] = 1 + max(below) if need else 0
+        for i, (turn, k, id_, name, arguments) in enumerate(calls):
+            had = sorted(results.get(id_, ()))
+            valid = name in schemas and all((p in arguments and kinds[t](arguments[p])) if need else p not in arguments or kinds[t](arguments[p]) for p, (t, need) in schemas[name].items())
+            line = {"arguments": json.dumps(arguments, sort_keys=True, separators=(",", ":")), "id": id_, "name": name, "valid": valid} | ({"result": had[0][1]} if had else {})
+            lv = -1 if level[i] is None else level[i]
+            out[(conv, turn, k, id_, name, lv, lv >= 0 and not (had and had[0][0] < turn), len(had), had[0][0] if had else None, valid, json.dumps(line, sort_keys=True, separators=(",", ":")))] += 1
+        for id_, had in results.items():
+            if id_ not in ids:
+                turn, content = min(had)
+                out[(conv, turn, -1, id_, None, 0, True, len(had), turn, False, json.dumps({"id": id_, "result": content, "valid": False}, sort_keys=True, separators=(",", ":")))] += 1
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_generated_calls_against_a_plain_linker(spark, seed):
+    """Chains, cycles, missing and clashing identifiers, several results, one very long text and a turn of many calls."""
+    draw = np.random.default_rng(seed)
+    schemas = {"add": {"a": ("integer", True), "b": ("number", False)}, "say": {"text": ("string", True)}}
+    rows = []
+    for conv in range(25):
+        pool = [f"c{i}" for i in range(int(draw.integers(2, 9)))]
+        for turn in range(int(draw.integers(1, 14))):
+            if draw.random() < 0.45:
+                rows.append((conv, turn, "tool", json.dumps({"tool_call_id": str(draw.choice(pool)), "content": f"r{draw.integers(0, 3)}"})))
+                continue
+            calls = []
+            for _ in range(int(draw.integers(1, 40 if conv == 0 else 4))):
+                name = str(draw.choice(["add", "say", "other"]))
+                arguments = {"a": [1, -7, "no"][draw.integers(0, 3)], "text": "t" * (60_000 if conv == 1 and turn == 0 else 3)}
+                if draw.random() < 0.5:
+                    arguments["b"] = [0.5, 2, "x"][draw.integers(0, 3)]
+                if draw.random() < 0.4:
+                    arguments["use"] = {"$ref": str(draw.choice([*pool, "gone"] if draw.random() < 0.2 else pool))}
+                calls.append({"id": str(draw.choice(pool)), "name": name, "arguments": arguments})
+            rows.append((conv, turn, "assistant", json.dumps({"tool_calls": calls})))
+    rows += rows[:7]
+    got = tool_calls.link(chat(spark, rows), schemas).collect()
+    found = collections.Counter((r.conv_id, r.turn, r.seq, r.call_id, r.name, r.level, r.ordered, r.n_results, r.result_turn, r.valid, json.dumps(json.loads(r.line), sort_keys=True, separators=(",", ":"))) for r in got)
+    assert found == brute_links(rows, schemas)
+    for conv in range(25):
+        order = [(r.level < 0, r.level, r.turn, r.seq) for r in sorted((r for r in got if r.conv_id == conv), key=lambda r: r.place)]
+        assert order == sorted(order) and sorted(r.place for r in got if r.conv_id == conv) == list(range(1, len(order) + 1))
+
+
 def test_places_do_not_depend_on_blocks(spark, monkeypatch):
     rows = chat(spark, [(c, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for c in (1, 2) for t in range(40)])
     key = lambda: sorted((r.conv_id, r.place, r.call_id) for r in tool_calls.link(rows).collect())
