@@ -187,7 +187,7 @@ def kept(docs: DataFrame, marks: DataFrame) -> DataFrame:
     found = docs.join(picked, docs["doc_id"].eqNullSafe(F.col(_id)) & (F.xxhash64(docs["text"]) == F.col(_digest)))
     single = found.where(F.col(_many) == 1).select(docs["*"])
     # of rows equal in id and text but not in other columns, the first in the order of their JSON
-    row = F.struct(*(docs[c] for c in docs.columns))
+    row = F.struct(*(docs[f"`{c.replace('`', '``')}`"] for c in docs.columns))
     repeated = found.where(F.col(_many) > 1).groupBy(_id, _digest).agg(F.min_by(row, F.to_json(row)).alias("_row")).select("_row.*")
     return single.unionByName(repeated)
 

@@ -168,6 +168,8 @@ def test_command_line(spark, tmp_path, monkeypatch):
             assert f"{name}_qc" in level.obs.columns
     assert {r.state for r in level.obs.select("state").distinct().collect()} >= {0, 1, 2}
     assert spark.read.parquet(f"{tmp_path}/profiles").select("profile_key").distinct().count() >= 8
+    run("l2", f"{tmp_path}/*.sbd.csv", f"{tmp_path}/*.tbd.csv", "-o", tmp_path / "l2b", "-c", tmp_path / "c.yml", "--profiles", tmp_path / "files", "--profile-files", "-g", "unit9")
+    assert len(list((tmp_path / "files").glob("unit9_*.nc"))) == spark.read.parquet(f"{tmp_path}/profiles").select("profile_key").distinct().count()
     pinged = tmp_path / "pinged"
     pinged.mkdir()
     for k in (0, 1):
@@ -184,6 +186,10 @@ def test_command_line(spark, tmp_path, monkeypatch):
     level.obs.select("time", F.lit(-9.0).alias("e_1"), F.lit(-8.0).alias("e_2"), "pressure").write.parquet(f"{tmp_path}/q")
     run("merge", tmp_path / "l3", tmp_path / "q", "q", "-o", tmp_path / "merged")
     assert abs(spark.read.parquet(f"{tmp_path}/merged/obs").agg(F.avg("e_1")).first()[0] - 1e-9) < 1e-15
+    with pytest.raises(FileExistsError):
+        run("merge", tmp_path / "l3", tmp_path / "q", "q", "-o", tmp_path / "merged")
+    run("merge", tmp_path / "merged", tmp_path / "q", "q", "-o", tmp_path / "merged", "--overwrite")
+    assert spark.read.parquet(f"{tmp_path}/merged/obs").where("e_1 IS NOT NULL").count() > 0
     for a in (("merge", tmp_path / "l2", tmp_path / "q", "q"), ("merge", tmp_path / "l3", tmp_path / "q", "p")):
         with pytest.raises(NotImplementedError):
             run(*a, "-o", tmp_path / "x")
@@ -196,6 +202,9 @@ def test_command_line(spark, tmp_path, monkeypatch):
         run("gps", tmp_path / "l1b", "-o", tmp_path / "x", "--fixes")
     run("concat", tmp_path / "l2", tmp_path / "l2", "-o", tmp_path / "twice")
     assert spark.read.parquet(f"{tmp_path}/twice/obs").count() == 4000
+    run("concat", tmp_path / "l2", tmp_path / "l2", "-o", tmp_path / "fixes_twice", "-d", "time_gps")
+    both = level1.read_level(spark, f"{tmp_path}/fixes_twice")
+    assert both.obs.count() == 2000 and both.gps.count() == 2 * level.gps.count() and both.uv.count() == level.uv.count()
     run("flight", tmp_path / "l2", "-o", tmp_path / "f", "--no-fit")
     run("flight", tmp_path / "twice", "--inplace", "--no-fit")
     assert "speed_through_water" in spark.read.parquet(f"{tmp_path}/twice/obs").columns
