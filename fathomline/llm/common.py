@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..durable import cut, shared_dir
 
-__all__ = ["cut", "shared_dir", "Scratch", "first_by_hash", "labelled_sample", "remainder", "spare_name", "table"]
+__all__ = ["cut", "shared_dir", "Scratch", "first_by_hash", "join_split", "labelled_sample", "remainder", "spare_name", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,3 +83,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
         picked = part if picked is None else picked.unionByName(part)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+
+
+#: Keys that hold one row in so many, or more, are joined without dealing their rows out; there are at most so many.
+SHARE = 4096
+
+
+def join_split(left: DataFrame, right: DataFrame, key: str, share: int = SHARE) -> DataFrame:
+    """left joined to right by key, where right has one row for each key and says in many how often left has it.
+
+    Keys of at least one row of left in so many as share says are at most that many, so they are broadcast; no task is
+    given more of one key than that share by the other join. Both sides should be written: left is read twice.
+    """
+    total = right.agg(F.sum("many")).first()[0] or 0
+    hot, cold = right.where(F.col("many") * share >= total).drop("many"), right.where(F.col("many") * share < total).drop("many")
+    rest = left.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return left.join(F.broadcast(hot), key).unionByName(rest.join(cold, key))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import cut, spare_name
+from .common import cut, join_split, spare_name
 
 WORDS, SEED, DISTANCE = 4, 42, 4
 #: (bits, radius) of the segments for up to so many distinct fingerprints.
@@ -152,13 +152,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def component_ids(rows: DataFrame, edges: DataFrame) -> DataFrame:
     """(doc_id, digest, fp, component_id) of rows (doc_id, digest, fp) by edges (a, b) between fps, both written."""
-    nodes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    nodes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("many")))
     reach = components(edges)
-    rooted = nodes.join(reach, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    # written, so that a root of very many nodes is a plain side of the join, which the planner can split
-    least = cut(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
-    found = rooted.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
-    return rows.join(found, F.col("fp") == F.col("_fp")).select("doc_id", "digest", "fp", "component_id")
+    rooted = cut(nodes.join(reach, F.col("fp") == F.col("node"), "left").select("fp", "first", "many", F.coalesce("root", "fp").alias("root")))
+    least = cut(rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("many")))
+    found = cut(join_split(rooted.select("fp", "root", F.col("many").alias("copies")), least, "root").select("fp", "component_id", F.col("copies").alias("many")))
+    return join_split(rows, found, "fp").select("doc_id", "digest", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
