@@ -37,4 +37,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN p USING (r) LEFT JOIN t USING (r)
 """
 
-ORACLE = {"op3_tool_call_linking": TOOL_CALLS, "op6_decontaminate_winnowing": CONTAMINATION}
+#: op12: the checksum of a word is folded over its bytes with the table of the checksum's polynomial, made by its rule.
+IMPORTANCE = f"""
+WITH RECURSIVE step(i, k, v) AS (SELECT i, 0, i FROM range(256) AS r(i) UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM step WHERE k < 8),
+ tab AS (SELECT list(v ORDER BY i) AS tab FROM step WHERE k = 8),
+ d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents), b AS (SELECT {_WORDS} AS w FROM benchmark),
+ dw AS (SELECT r, unnest(w) AS x FROM d), bw AS (SELECT unnest(w) AS x FROM b),
+ v AS (SELECT DISTINCT x FROM (SELECT x FROM dw UNION ALL SELECT x FROM bw)),
+ c AS (SELECT x, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, CAST(strlen(x) AS BIGINT) * 2, 2), lambda i: CAST(concat('0x', substr(hex(encode(x)), CAST(i AS INTEGER), 2)) AS BIGINT))), lambda p, y: xor(p >> 8, tab[(xor(p, y) & 255) + 1])), 4294967295) % 10000 AS k FROM v, tab),
+ s AS (SELECT k, count(*) AS n FROM dw JOIN c USING (x) GROUP BY k), t AS (SELECT k, count(*) AS n FROM bw JOIN c USING (x) GROUP BY k),
+ g AS (SELECT q.k, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain FROM range(10000) AS q(k) LEFT JOIN s ON s.k = q.k LEFT JOIN t ON t.k = q.k),
+ m AS (SELECT r, CAST(sum(gain) AS BIGINT) AS total, count(*) AS n FROM dw JOIN c USING (x) JOIN g USING (k) GROUP BY r),
+ u AS (SELECT doc_id, r, coalesce(n, 0) AS n, CAST(coalesce((total - ((total % n) + n) % n) // n, 0) AS BIGINT) AS weight, CAST(concat('0x', substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)) AS BIGINT) AS h FROM d LEFT JOIN m USING (r)),
+ f AS (SELECT doc_id, r, n, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM u),
+ o AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS fit FROM f WHERE n >= 20)
+SELECT doc_id, CAST(n AS BIGINT) AS n_features, weight, score, CASE WHEN place <= (10 * fit) // 100 THEN CAST(place AS BIGINT) END AS rank FROM f LEFT JOIN o USING (r)
+"""
+
+ORACLE = {"op3_tool_call_linking": TOOL_CALLS, "op6_decontaminate_winnowing": CONTAMINATION, "op12_importance_resampling": IMPORTANCE}
