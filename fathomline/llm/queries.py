@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, brown_lm, html_ttr, importance, nn_descent, quality_bt, simhash_mih, sql, token_counts, tool_calls, toxicity_gru, winnowing
+from . import bpe, brown_lm, html_ttr, importance, lexical_bmw, nn_descent, quality_bt, simhash_mih, sql, token_counts, tool_calls, toxicity_gru, winnowing
 from .common import table
 
 
@@ -50,6 +50,10 @@ def op4_nearest_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.query(spark, table(spark, sf_dir, "embeddings"))
 
 
+def op11_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_bmw.query(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.query(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

@@ -54,4 +54,18 @@ WITH RECURSIVE step(i, k, v) AS (SELECT i, 0, i FROM range(256) AS r(i) UNION AL
 SELECT doc_id, CAST(n AS BIGINT) AS n_features, weight, score, CASE WHEN place <= (10 * fit) // 100 THEN CAST(place AS BIGINT) END AS rank FROM f LEFT JOIN o USING (r)
 """
 
-ORACLE = {"op3_tool_call_linking": TOOL_CALLS, "op6_decontaminate_winnowing": CONTAMINATION, "op12_importance_resampling": IMPORTANCE}
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+#: op11: every document that holds a term of an item is scored.
+LEXICAL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS w FROM documents), q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS x FROM benchmark),
+ a AS (SELECT count(*) AS total_docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d WHERE len(w) > 0),
+ p AS (SELECT r, x, count(*) AS tf FROM (SELECT r, unnest(w) AS x FROM d) SEMI JOIN q USING (x) GROUP BY r, x),
+ f AS (SELECT x, CAST(floor(1000 * ln((2 * total_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS weight FROM p, a GROUP BY x, total_docs),
+ m AS (SELECT r, doc_id, 10 + (90 * CAST(len(w) AS BIGINT) * total_docs) // total AS m FROM d, a WHERE len(w) > 0),
+ s AS (SELECT item_id, r, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score FROM q JOIN p USING (x) JOIN f USING (x) JOIN m USING (r) GROUP BY ALL),
+ o AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM o WHERE rank <= 10
+"""
+
+ORACLE = {"op3_tool_call_linking": TOOL_CALLS, "op6_decontaminate_winnowing": CONTAMINATION, "op11_block_max_wand": LEXICAL, "op12_importance_resampling": IMPORTANCE}
