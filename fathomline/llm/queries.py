@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, brown_lm, html_ttr, importance, lexical_bmw, nn_descent, quality_bt, simhash_mih, sql, token_counts, tool_calls, toxicity_gru, winnowing
+from . import bpe, brown_lm, html_ttr, importance, lexical_bmw, nn_descent, quality_bt, simhash_mih, skip_chain_crf, sql, token_counts, tool_calls, toxicity_gru, winnowing
 from .common import table
 
 
@@ -58,6 +58,10 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.query(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_skip_chain_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return skip_chain_crf.query(spark, table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
