@@ -10,8 +10,9 @@ needs no rewriting when documents are added.
 search() joins the terms of the queries with the index and searches each (segment, block of queries) as one group. The
 last numbers of all blocks of a query's terms cut a segment into ranges. Moving the terms' pointers over the ranges
 without decompressing (shallow moves) gives each range's bound: the sum of weights times maximum impacts. Ranges are
-entered from the highest bound on, as long as a bound reaches the threshold, the tenth best score so far; only then are
-the blocks in reach decompressed and their documents scored. All others are skipped whole.
+entered from the highest bound on, as long as a bound reaches the threshold, the tenth best score so far. In a range the
+terms that can add most come first; a document that they lack is looked at only while the others' bounds reach the
+threshold, and a block of the others is decompressed only where a document that may still do lies in it.
 
 Scores are whole numbers, so results are exact. Null texts, and texts without terms, count nowhere and are never found.
 Equal rows are found each. A null id comes last among equal scores; equal scores are told apart by id, then at random.
@@ -203,45 +204,57 @@ def best(weights: np.ndarray, blocks: list[dict[str, np.ndarray]], at_most: int,
     edges = np.unique(np.concatenate([b["last"] for b in blocks] + [b["first"] - 1 for b in blocks]))
     # range r holds the documents after edges[r - 1] up to edges[r]; shallow moves of each term's pointer over all ranges
     starts = np.concatenate([[0], edges[:-1] + 1])
-    bound = np.zeros(len(edges), np.int64)
-    reach = []
-    for w, b in zip(weights, blocks):
+    tops, reach = np.zeros((len(blocks), len(edges)), np.int64), np.zeros((len(blocks), len(edges)), np.int64)
+    for k, (w, b) in enumerate(zip(weights, blocks)):
         top = w * np.maximum.reduceat(impact(b["tf"], b["length"]), b["offset"])
         here = np.searchsorted(b["last"], edges)
         there = np.minimum(here, len(b["last"]) - 1)
         inside = (here < len(b["last"])) & (b["first"][there] <= starts)
-        bound[inside] += top[there[inside]]
-        reach.append(np.where(inside, there, -1))
+        tops[k] = np.where(inside, top[there], 0)
+        reach[k] = np.where(inside, there, -1)
+    # terms that can add most come first; rest[k] is what those from k on can add in each range
+    by_top = np.argsort(-tops.max(1), kind="stable")
+    rest = np.vstack([np.cumsum(tops[by_top][::-1], 0)[::-1], np.zeros((1, len(edges)), np.int64)])
+    bound = rest[0]
     docs, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
     opened: list[dict[int, tuple]] = [{} for _ in blocks]
     threshold, done, order = max(floor, 1), 0, np.argsort(-bound, kind="stable")
     while done < len(order) and bound[order[done]] >= threshold:
         # some ranges at once, more each time, so that the threshold rises early and later steps are long
         step = order[done : done + max(16, done)]
-        step = np.sort(step[bound[step] >= threshold])
+        step = step[bound[step] >= threshold]
         done += max(16, done)
-        found, points = [], []
-        for k, (w, b) in enumerate(zip(weights, blocks)):
-            for j in np.unique(reach[k][step]):
-                if j < 0:
-                    continue
+        found, got = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for place, k in enumerate(by_top):
+            # documents found so far that may still do, and ranges in which a document that isn't found yet may
+            where = np.searchsorted(edges, found)
+            alive = got + rest[place][where] >= threshold
+            found, got, where = found[alive], got[alive], where[alive]
+            fresh = np.zeros(len(edges), bool)
+            fresh[step[rest[place][step] >= threshold]] = True
+            need = np.unique(np.concatenate([reach[k][fresh], reach[k][where]]))
+            need = need[need >= 0]
+            if not len(need):
+                continue
+            b = blocks[k]
+            for j in need.tolist():
                 if j not in opened[k]:
                     d, tf, length = decode_block(int(b["first"][j]), int(b["n"][j]), b["payload"][j])
-                    opened[k][j] = (d, w * impact(tf, length))
-                d, s = opened[k][j]
-                r = np.searchsorted(edges, d)
-                use = np.isin(r, step, assume_unique=False)
-                found.append(d[use])
-                points.append(s[use])
-        if found:
-            d, inverse = np.unique(np.concatenate(found), return_inverse=True)
-            s = np.zeros(len(d), np.int64)
-            np.add.at(s, inverse, np.concatenate(points))
-            docs, scores = np.concatenate([docs, d]), np.concatenate([scores, s])
-            first = np.lexsort((docs, -scores))[:at_most]
-            docs, scores = docs[first], scores[first]
-            if len(docs) == at_most:
-                threshold = max(threshold, int(scores[-1]))
+                    opened[k][j] = (d, weights[k] * impact(tf, length))
+            d, s = (np.concatenate(x) for x in zip(*(opened[k][j] for j in need.tolist())))
+            at = np.searchsorted(found, d)
+            known = at < len(found)
+            known[known] = found[at[known]] == d[known]
+            got[at[known]] += s[known]
+            new = ~known & fresh[np.searchsorted(edges, d)]
+            found, got = np.concatenate([found, d[new]]), np.concatenate([got, s[new]])
+            in_order = np.argsort(found)
+            found, got = found[in_order], got[in_order]
+        docs, scores = np.concatenate([docs, found]), np.concatenate([scores, got])
+        first = np.lexsort((docs, -scores))[:at_most]
+        docs, scores = docs[first], scores[first]
+        if len(docs) == at_most:
+            threshold = max(threshold, int(scores[-1]))
     use = scores > 0
     return docs[use], scores[use], sum(map(len, opened))
 
