@@ -14,8 +14,9 @@ from .durable import cut
 from .operators import timeseries as ts
 from .plans import config as cfg
 from .plans import pipeline
-from .sources import level1, matfile, netcdf, sinks
+from .sources import level1, matfile, sinks
 from .sources.level1 import Level
+from .sources.netcdf_source import write_netcdf
 
 _log = logging.getLogger(__name__)
 
@@ -122,9 +123,9 @@ def flight(a, spark):
 
 
 def netcdf_export(a, spark):
-    """The samples of a product as a NetCDF classic file."""
+    """The samples of a product as NetCDF classic files in a folder, in order of time."""
     level = level1.read_level(spark, a.file)
-    netcdf.write_netcdf(level.obs, a.out, level.attrs)
+    write_netcdf(level.obs.repartitionByRange("time").sortWithinPartitions("time"), a.out, level.attrs)
 
 
 def default_config(a, spark):

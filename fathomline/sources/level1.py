@@ -5,14 +5,17 @@ Paths may be in any store that Spark reads; listings go through Spark's own file
 
 from __future__ import annotations
 
+import csv
 import re
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.quality import missing_to_null
+from .netcdf_source import read_netcdf
 
 #: Kinds of raw files by their extension.
 KINDS = {"sbd": "flight", "dbd": "flight", "tbd": "science", "ebd": "science"}
@@ -83,28 +86,64 @@ def pair_table(files: DataFrame, path: str = "path") -> DataFrame:
     return side("flight").join(side("science"), "stem", "full_outer")
 
 
+def place(path: Column) -> Column:
+    """A file's place in one spelling: decoded, and with one slash after the scheme."""
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(F.when(plain.startswith("/"), F.concat(F.lit("file:"), plain)).otherwise(plain), r"^([A-Za-z][A-Za-z0-9+.-]*:)/+", "$1/")
+
+
+def file_order(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, file_ord): the files' places in their order; the files of a folder have the folder's."""
+    each = [(f, k) for k, p in enumerate(paths) for f in (list_paths(spark, f"{p}/*.parquet") if p.endswith("parquet") else ()) or (p,)]
+    escaped = [(p.replace("%", "%25"), k) for p, k in each]
+    return spark.createDataFrame(escaped, "path string, file_ord int").select(place(F.col("path")).alias("__path"), "file_ord")
+
+
+def csv_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Header line -> the files that begin with it. Headers are few; files of one header are read by one scan."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("line"))
+    first = lines.where("at = 0").groupBy("path").agg(F.min_by("value", "line").alias("header"))
+    by_place = {r[0]: r[1] for r in first.select(place(F.col("path")), "header").collect()}
+    named = {r.file_ord: r[0] for r in file_order(spark, paths).collect()}
+    out: dict[str, list[str]] = {}
+    for k, p in enumerate(paths):
+        if (header := by_place.get(named[k])) is not None:  # an empty file has no rows
+            out.setdefault(header, []).append(p)
+    return out
+
+
+def _doubles(df: DataFrame, i: Column) -> DataFrame:
+    """Columns as doubles, with the row's number i in its file and the file's place."""
+    i = F.col("i") if "i" in df.columns else i
+    file = F.replace("file", F.lit("%"), F.lit("%25")) if "file" in df.columns else F.col("_metadata.file_path")
+    columns = [F.col(f"`{c}`").cast("double").alias(c) for c in df.columns if c not in ("i", "j", "file")]
+    return df.select(i.cast("long").alias("i"), place(file).alias("__path"), *columns)
+
+
 def read_raw(spark: SparkSession, paths: list[str] | str, trajectory: str | None = None) -> DataFrame:
-    """Raw tables, one after another: all columns as doubles, with the file's place and the row's (file_ord, i).
+    """Raw tables, one after another: all columns as doubles, with the file's place in the list and the row's (file_ord, i).
 
-    CSV files may have columns of their own; what a file lacks is null. NaN becomes null.
+    One scan for all Parquet files, one for all NetCDF files and one for the CSV files of each header, however many files
+    there are; the order of files is a small table joined by their paths. What a file lacks is null, NaN becomes null,
+    and so does what is no number. i is the row's number in a Parquet or NetCDF file; in a CSV file it only rises along
+    the file. A column i of the file's own is taken instead.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    kinds = {k: [p for p in paths if p.endswith(f".{k}")] for k in ("csv", "nc")}
+    rest = [p for p in paths if p not in {*kinds["csv"], *kinds["nc"]}]
     parts = []
-    for k, p in enumerate(paths):
-        if p.endswith(".csv"):
-            df = spark.read.option("header", True).csv(p)
-        elif p.endswith(".nc"):
-            from .netcdf import read_netcdf
-
-            df = read_netcdf(spark, p)
-        else:
-            df = spark.read.parquet(p)
-        if "i" not in df.columns:
-            df = df.withColumn("i", F.monotonically_increasing_id())
-        columns = [F.col(f"`{c}`").cast("double").alias(c) for c in df.columns if c not in ("i", "j")]
-        parts.append(df.select(F.lit(k).alias("file_ord"), F.col("i").cast("long").alias("i"), *columns))
-    out = union_segments(parts)
-    out = missing_to_null(out)
+    # rows of a split come in order, and splits begin at greater bytes
+    rising = F.shiftleft(F.col("_metadata.file_block_start"), 28) + F.monotonically_increasing_id().bitwiseAND((1 << 28) - 1)
+    for header, files in csv_headers(spark, kinds["csv"]).items() if kinds["csv"] else ():
+        names = next(csv.reader([header.lstrip("\ufeff").rstrip("\r")]))
+        schema = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
+        parts.append(_doubles(spark.read.option("header", True).schema(schema).csv(files), rising))
+    if kinds["nc"]:
+        parts.append(_doubles(read_netcdf(spark, kinds["nc"]), F.col("i")))
+    if rest:
+        parts.append(_doubles(spark.read.option("mergeSchema", True).parquet(*rest), F.col("_metadata.row_index")))
+    out = union_segments(parts).join(file_order(spark, paths), "__path").drop("__path")
+    out = missing_to_null(out.select("file_ord", "i", *(c for c in out.columns if c not in ("file_ord", "i"))))
     return out.withColumn("trajectory", F.lit(trajectory)) if trajectory is not None else out
 
 
@@ -127,7 +166,10 @@ def read_level(spark: SparkSession, path: str) -> Level:
 
 
 def read_turbulence(spark: SparkSession, path: str, columns: tuple[str, ...] = ("e_1", "e_2", "pressure")) -> DataFrame:
-    """Only the time and the columns named."""
+    """Only the time and the columns named, of Parquet or of NetCDF files; path may be a pattern of those."""
+    files = [p for p in list_paths(spark, path) if p.endswith(".nc")]
+    if files:
+        return missing_to_null(read_netcdf(spark, files, ["time", *columns]))
     return missing_to_null(spark.read.parquet(path).select("time", *columns))
 
 

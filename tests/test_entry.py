@@ -24,7 +24,7 @@ def test_the_rest_works_without_the_text_operators(tmp_path):
     assert run("import __spark_entry__ as e; e.queries()", copy).returncode == 0
 
 
-@pytest.mark.skipif(not (ROOT / "corpus_pipeline.py").exists(), reason="without the text operators")
+@pytest.mark.skipif(not ((ROOT / "fathomline/llm/queries.py").exists() and (ROOT / "corpus_pipeline.py").exists()), reason="without the text operators")
 def test_a_missing_library_is_an_error():
     assert importlib.util.find_spec("xxhash")
     got = run("import sys; sys.modules['xxhash'] = None; import __spark_entry__", ROOT)

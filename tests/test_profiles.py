@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathomline.operators import bins, profiles
-from fathomline.sources import level1, netcdf, sinks
+from fathomline.sources import level1, netcdf, netcdf_source, sinks
 
 BY = ["trajectory"]
 
@@ -195,7 +195,7 @@ def test_velocities_and_exports(spark, obs, tmp_path):
     assert attrs == {"title": "t"} and sizes == {"time": len(rows)} and np.allclose(variables["pressure"][2], rows.pressure, equal_nan=True)
     assert variables["crs"][0] == () and variables["platform"][1]["id"] == "unit" and variables["ctd"][1] == {"_FillValue": sinks.INT_FILL, "description": "a"}
     assert float(variables["profile_time"][2]) == rows.profile_time[0] and float(variables["u"][2]) == rows.u[0]
-    assert netcdf.read_netcdf(spark, str(files[0])).count() == len(rows)
+    assert netcdf_source.read_netcdf(spark, str(files[0])).count() == len(rows)
     nothing = profiles.velocities(obs.withColumns({"dive_id": F.lit(-1), "climb_id": F.lit(-1)}), reports, BY).collect()
     assert len(nothing) == 2 and all(r.time_uv is None for r in nothing)
 
