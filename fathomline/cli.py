@@ -46,7 +46,8 @@ def l2(a, spark):
         done = level1.read_level(spark, a.out)
         emit = sinks.emit_profile_files if a.profile_files else sinks.emit_profiles
         glider = a.glider or config.trajectory.rsplit("_", 1)[-1]
-        _log.info("%d profiles written", emit(done.obs, done.uv, pipeline.BY, a.profiles, glider, config.sections.get("instruments"), a.force))
+        more = {"attrs": config.global_attributes} if a.profile_files else {}  # a table's attributes are its columns' metadata
+        _log.info("%d profiles written", emit(done.obs, done.uv, pipeline.BY, a.profiles, glider, config.sections.get("instruments"), a.force, **more))
     if a.pings:
         rows = raw[1].withColumn("time", F.col("sci_m_present_time")).where("time IS NOT NULL")
         if a.ping_positions:

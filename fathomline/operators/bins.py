@@ -84,10 +84,10 @@ def bin_profiles(obs: DataFrame, by: list[str], size: float = 10.0, deepest: flo
 def bin_turbulence(bins: DataFrame, facts: DataFrame, q: DataFrame, by: list[str], size: float, columns: tuple[str, ...] = ("e_1", "e_2"), depth: str = "depth") -> DataFrame:
     """bins with means of log10 quantities, taken of the quantities themselves, over each profile's time.
 
-    Times of profiles are cut to whole seconds. Samples find their profile by an as-of join, not by a join of ranges.
+    Times of profiles are cut to whole seconds, so a sample may be in two of them; it counts in both.
     """
-    spans = facts.select(*by, F.floor("profile_time_start").cast("double").alias("time"), F.struct("profile_id", F.floor("profile_time_end").cast("double").alias("end")).alias("__p"))
-    placed = ts.locf_join(q, spans, ["__p"], by).where(F.col("time") <= F.col("__p.end")).withColumn("profile_id", F.col("__p.profile_id"))
+    spans = facts.select(*by, "profile_id", *(F.floor(f"profile_time_{x}").cast("double").alias(x) for x in ("start", "end")))
+    placed = ts.interval_join(q, spans, ["profile_id"], by)
     linear = placed.withColumns({c: F.pow(F.lit(10.0), F.col(c)) for c in columns})
     means = bin_mean(linear, [*by, "profile_id"], depth, size, list(columns), grid=False).drop(depth)
     return bins.drop(*columns).join(means, [*by, "profile_id", "bin"], "left")

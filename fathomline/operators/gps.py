@@ -31,7 +31,7 @@ def good_fixes(df: DataFrame, by: list[str], gap: float = 600.0, time: str = "ti
     found = cut(ts.sessionize(df.where(have), gap, by, time, start="__group", width=None))
     sizes = found.groupBy(*by, "__group").agg(F.count("*").alias("__size"))
     last = sizes.groupBy(*by).agg(F.max("__group").alias("__last"))
-    deep = found.groupBy(*by).agg(F.median(F.coalesce("m_depth", F.lit(0.0))).alias("__median"))
+    deep = ts.grouped_median(found.select(*by, F.coalesce("m_depth", F.lit(0.0)).alias("__median")), by, "__median")
     facts = sizes.join(last, by).join(deep, by)
     judged = found.join(facts, [*by, "__group"])
     first = (F.col(time) == F.col("__group")) & ((F.col("__group") != F.col("__last")) | (F.col("__size") > 2))

@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..durable import cut
+
 #: Width of a block in units of the first order column: twelve days of seconds.
 BLOCK = float(1 << 20)
 
@@ -150,6 +152,66 @@ def nearest_gap(left: DataFrame, right: DataFrame, by: list[str], name: str, tim
     return both.where("__side = 1").select("__left.*", gap.alias(name))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    """An equi-join by columns of which nulls are equal, too."""
+    right = right.withColumnsRenamed({b: f"__key_{b}" for b in by})
+    same = reduce(lambda a, b: a & b, (F.col(b).eqNullSafe(F.col(f"__key_{b}")) for b in by))
+    return left.join(right, same, how).drop(*(f"__key_{b}" for b in by))
+
+
+def interval_join(left: DataFrame, spans: DataFrame, values: list[str], by: list[str], time: str = "time", start: str = "start", end: str = "end", width: float = 3600.0) -> DataFrame:
+    """left with the values of every span that holds its time, both ends included: a row for each of them, none without.
+
+    Spans may overlap. Each is dealt to the slots of time that it touches, each left row to the one slot that it is in;
+    rows of one slot meet by an equi-join. Slots of a width near that of a span make a few rows of each.
+    """
+    slots = F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))
+    dealt = spans.where(F.col(start) <= F.col(end)).select(*by, F.col(start).alias("__start"), F.col(end).alias("__end"), F.struct(*values).alias("__span"), F.explode(slots).alias("__slot"))
+    met = join_null_safe(left.withColumn("__slot", F.floor(F.col(time) / width)), dealt, [*by, "__slot"])
+    kept = met.where(F.col(time).between(F.col("__start"), F.col("__end")))
+    return kept.select(*(c for c in left.columns if c not in values), *(F.col(f"__span.{v}").alias(v) for v in values))
+
+
+#: Values of a group that one task may sort.
+SORTED = 1 << 20
+
+
+def grouped_median(df: DataFrame, by: list[str], value: str, most: int = SORTED, parts: int = 1024) -> DataFrame:
+    """(by, value): the exact median of each group's values, the mean of the middle two; null for a group without any.
+
+    Groups of at most `most` values are sorted, each in one task. Of larger ones the middle values are selected: values
+    between bounds are counted in parts of equal width, and the part that holds the rank gives closer bounds, until few
+    enough are left or all are equal. Counting is summed up within tasks, so a group of any size is no burden to one. df
+    is read some times; write a costly one first.
+    """
+    clean = df.select(*by, F.col(value).cast("double").alias("__v")).where("__v IS NOT NULL")
+    groups = cut(df.groupBy(*by).agg(F.count(value).alias("__n"), F.min(value).cast("double").alias("__low"), F.max(value).cast("double").alias("__high")))
+    large = groups.where(F.col("__n") > most)
+    if large.isEmpty():
+        return df.groupBy(*by).agg(F.median(value).alias(value))
+    small = join_null_safe(df, large.select(*by), by, "left_anti").groupBy(*by).agg(F.median(value).alias(value))
+    ranks = F.array_distinct(F.array(F.expr("(__n - 1) div 2"), F.expr("__n div 2")))
+    probes = cut(large.select(*by, F.explode(ranks).alias("__rank"), F.lit(0).cast("bigint").alias("__below"), "__n", "__low", "__high"))
+    open_ = (F.col("__low") < F.col("__high")) & (F.col("__n") > most)
+    upto = Window.partitionBy(*by, "__rank").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    while (count := probes.where(open_).count()) > 0:
+        # two probes for each large group; sides of a checked size are broadcast, so no group is one task's
+        asked = probes.where(open_)
+        asked = F.broadcast(asked) if count <= 100_000 else asked
+        hits = join_null_safe(clean, asked, by).where("__v BETWEEN __low AND __high")
+        part = F.least(F.floor((F.col("__v") - F.col("__low")) / (F.col("__high") - F.col("__low")) * parts), F.lit(parts - 1))
+        counted = hits.groupBy(*by, "__rank", "__below", part.alias("__part")).agg(F.count("*").alias("__n"), F.min("__v").alias("__low"), F.max("__v").alias("__high"))
+        counted = counted.withColumn("__below", F.col("__below") + F.coalesce(F.sum("__n").over(upto), F.lit(0)))
+        closer = counted.where("__rank >= __below AND __rank < __below + __n").select(*probes.columns)
+        probes = cut(probes.where(~open_).unionByName(closer))
+    ready = probes.where("__low = __high").select(*by, "__rank", F.col("__low").alias(value))
+    few = probes.where("__low < __high")
+    near = join_null_safe(clean, F.broadcast(few) if probes.count() <= 100_000 else few, by).where("__v BETWEEN __low AND __high")
+    place = F.row_number().over(Window.partitionBy(*by, "__rank").orderBy("__v"))
+    picked = near.withColumn("__place", place + F.col("__below") - 1).where("__place = __rank").select(*by, "__rank", F.col("__v").alias(value))
+    return small.unionByName(ready.unionByName(picked).groupBy(*by).agg(F.avg(value).alias(value)))
+
+
 def fill_gaps(df: DataFrame, max_gap: dict[str, float | None], by: list[str], time: str = "time", order: list[str] | None = None, width: float | None = BLOCK) -> DataFrame:
     """Missing values interpolated between the valid ones around them, if those are at most max_gap apart (None: any).
 

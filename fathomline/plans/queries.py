@@ -329,13 +329,14 @@ def cell_edges(spark, d):
 @query(f"WITH {TEL}, {UNIQUE}, m AS (SELECT trajectory, time - lag(time) OVER (PARTITION BY trajectory ORDER BY time) AS dt FROM uniq) SELECT trajectory, round(median(dt), 6) AS dt FROM m GROUP BY trajectory")
 def median_interval(spark, d):
     got = ts.lag_lead(_unique(spark, d), BY, ["time"], lag={"t0": F.col("time")})
-    return rounded(got.groupBy(*BY).agg(F.median(F.col("time") - F.col("t0")).alias("dt")), dt=6)
+    # values beyond a few hundred are selected, not sorted
+    return rounded(ts.grouped_median(got.select(*BY, (F.col("time") - F.col("t0")).alias("dt")), BY, "dt", most=200), dt=6)
 
 
 @query(f"WITH {TEL}, m AS (SELECT trajectory, median(coalesce(y, 0)) AS m FROM tel GROUP BY ALL) SELECT trajectory, event_id, y FROM tel JOIN m USING (trajectory) WHERE coalesce(y, 0) <= m + 0.5")
 def median_filter(spark, d):
     t = telemetry(spark, d)
-    return t.join(t.groupBy(*BY).agg(F.median(F.coalesce("y", F.lit(0.0))).alias("m")), BY).where(F.coalesce("y", F.lit(0.0)) <= F.col("m") + 0.5).select(*BY, "event_id", "y")
+    return t.join(ts.grouped_median(t.select(*BY, F.coalesce("y", F.lit(0.0)).alias("m")), BY, "m", most=200), BY).where(F.coalesce("y", F.lit(0.0)) <= F.col("m") + 0.5).select(*BY, "event_id", "y")
 
 
 @query(f"WITH {TEL} SELECT event_id, time, y, NULL::DOUBLE AS value FROM tel WHERE flight UNION ALL SELECT event_id, time, NULL, value FROM tel WHERE NOT flight")
@@ -439,15 +440,15 @@ def point_interp_velocity_u(spark, d):
     return _velocity_at_profiles(spark, d, ("u",))
 
 
-@query(f"""{_FACTS}, q AS (SELECT trajectory, time, value AS depth, -value / 50 AS e_1 FROM dives)
- SELECT f.trajectory, f.profile_id, CAST(ceil(q.depth / 20) AS INTEGER) AS bin, round(avg(pow(10, q.e_1)), 6) AS e_1 FROM facts f JOIN q ON q.trajectory = f.trajectory AND q.time BETWEEN floor(f.profile_time_start) AND floor(f.profile_time_end) WHERE q.depth > 0 GROUP BY ALL""")
+@query(f"""{_FACTS}, q AS (SELECT trajectory, time, value AS depth, -value / 50 AS e_1 FROM dives), s AS (SELECT trajectory, profile_id, floor(profile_time_start) - 7200 AS a, floor(profile_time_end) + 7200 AS z FROM facts),
+ m AS (SELECT s.trajectory, s.profile_id, CAST(ceil(q.depth / 20) AS INTEGER) AS bin, avg(pow(10, q.e_1)) AS e_1 FROM s JOIN q ON q.trajectory = s.trajectory AND q.time BETWEEN s.a AND s.z WHERE q.depth > 0 GROUP BY ALL)
+ SELECT s.trajectory, s.profile_id, CAST(b AS INTEGER) AS bin, round(e_1, 6) AS e_1 FROM s CROSS JOIN range(1, 11) AS r(b) LEFT JOIN m ON m.trajectory = s.trajectory AND m.profile_id = s.profile_id AND m.bin = b""")
 def range_join_profile(spark, d):
-    rows = _labelled(spark, d)
-    facts = bins.profile_facts(bins.profile_regions(rows, BY), BY)
+    """Turbulence of profiles that overlap by hours, so that most samples are in several."""
+    facts = bins.profile_facts(bins.profile_regions(_labelled(spark, d), BY), BY).withColumns({"profile_time_start": F.floor("profile_time_start") - 7200, "profile_time_end": F.floor("profile_time_end") + 7200})
+    cells = facts.select(*BY, "profile_id", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("bin"))
     q = dives(spark, d).select(*BY, "time", F.col("value").alias("depth"), (-F.col("value") / 50).alias("e_1"))
-    spans = facts.select(*BY, F.floor("profile_time_start").cast("double").alias("time"), F.struct("profile_id", F.floor("profile_time_end").cast("double").alias("end")).alias("p"))
-    placed = ts.locf_join(q, spans, ["p"], BY).where("time <= p.end").withColumn("profile_id", F.col("p.profile_id")).withColumn("e_1", F.pow(F.lit(10.0), F.col("e_1")))
-    return rounded(bins.bin_mean(placed, [*BY, "profile_id"], "depth", 20.0, ["e_1"], grid=False).drop("depth"), e_1=6)
+    return rounded(bins.bin_turbulence(cells, facts, q, BY, 20.0, ("e_1",)), e_1=6)
 
 
 @query(f"""WITH {DIVES}, {_HALVES}, r AS (SELECT trajectory, time, value AS u, lat AS v FROM {_last(86400)}), s AS (SELECT *, lead(time) OVER (PARTITION BY trajectory ORDER BY time) AS nt FROM r), l AS (SELECT trajectory, time AS rt, u, v FROM s WHERE nt IS NULL OR nt - time > 600)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -47,6 +48,60 @@ PING_PREFIX, PING_NUMBER = "$riotData", 65535
 INT_FILL = -2147483647
 
 
+# Attributes of a profile file's structural fields.
+CRS = {
+    "epsg_code": "EPSG:4326",
+    "grid_mapping_name": "latitude_longitude",
+    "inverse_flattening": 298.257223563,
+    "long_name": "http://www.opengis.net/def/crs/EPSG/0/4326",
+    "semi_major_axis": 6378137.0,
+}
+PLATFORM = {"ancillary_variables": " ", "comment": "Autonomous vehicle", "long_name": "platform", "type": "platform"}
+PROFILE_FIELDS = {
+    "profile_time": {
+        "axis": "T",
+        "calendar": "gregorian",
+        "comment": "Timestamp corresponding to the mid-point of the profile",
+        "long_name": "Profile Center Time",
+        "observation_type": "calculated",
+        "platform": "platform",
+        "standard_name": "time",
+        "units": "seconds since 1970-01-01T00:00:00Z",
+    },
+    "profile_lat": {
+        "axis": "Y",
+        "comment": "Value is interpolated to provide an estimate of the latitude at the mid-point of the profile",
+        "long_name": "Profile Center Latitude",
+        "observation_type": "calculated",
+        "platform": "platform",
+        "standard_name": "latitude",
+        "units": "degrees_north",
+        "valid_max": 90.0,
+        "valid_min": -90.0,
+    },
+    "profile_lon": {
+        "axis": "X",
+        "comment": "Value is interpolated to provide an estimate of the longitude at the mid-point of the profile",
+        "long_name": "Profile Center Longitude",
+        "observation_type": "calculated",
+        "platform": "platform",
+        "standard_name": "longitude",
+        "units": "degrees_east",
+        "valid_max": 180.0,
+        "valid_min": -180.0,
+    },
+}
+
+
+def platform_attributes(platform: str, instruments: dict | None) -> dict[str, Any]:
+    return PLATFORM | {"id": platform, "instrument": ", ".join(instruments or {}) or " "}
+
+
+def instrument_attributes(given: Any) -> dict[str, Any]:
+    """An instrument's attributes as the configuration has them; a plain text describes it."""
+    return dict(given) if isinstance(given, dict) else {"description": str(given)}
+
+
 def write_level(level: Level, path: str, mode: str = "overwrite", partition: str | None = None) -> None:
     for name, df in (("obs", level.obs), ("gps", level.gps), ("uv", level.uv)):
         if df is not None:
@@ -62,10 +117,13 @@ def profile_tables(obs: DataFrame, uv: DataFrame, by: list[str], platform: str,
     rows = obs.where("profile_id >= 0").drop("dive_id", "climb_id", "state", "u", "v")
     scalars = rows.groupBy(*by, "profile_id").agg(F.avg("time").alias("profile_time"), F.avg("lat").alias("profile_lat"), F.avg("lon").alias("profile_lon"), F.min("time").alias("__first"))
     named = scalars.withColumn("profile_key", F.concat_ws("_", F.lit(platform), epoch_stamp(F.col("__first")))).drop("__first")
-    meta = {"id": platform, "instrument": ",".join(instruments or {})}
     out = rows.join(named, [*by, "profile_id"]).join(ready, [*by, "profile_id"])
     fill = F.lit(INT_FILL)
-    return out.withColumns({"platform": fill, "crs": fill, **{f"instrument_{n}": fill for n in instruments or {}}}).withMetadata("platform", meta)
+    out = out.withColumns({"profile_id": F.col("profile_id").cast("int"), "platform": fill, "crs": fill, **{f"instrument_{n}": fill for n in instruments or {}}})
+    attrs = {"platform": platform_attributes(platform, instruments), "crs": CRS, **PROFILE_FIELDS, **{f"instrument_{n}": instrument_attributes(d) for n, d in (instruments or {}).items()}}
+    for column, given in attrs.items():
+        out = out.withMetadata(column, given)
+    return out
 
 
 def missing_profiles(rows: DataFrame, listed: DataFrame | None) -> DataFrame:
@@ -108,7 +166,7 @@ def emit_profile_files(obs: DataFrame, uv: DataFrame, by: list[str], path: str,
         rows = missing_profiles(rows, there.select(F.regexp_extract("path", r"([^/]+)\.nc$", 1).alias("profile_key")))
     given = {f.name: {k: v for k, v in (f.metadata or {}).items() if isinstance(v, (str, int, float))} for f in rows.schema}
     scalar = [c for c in rows.columns if c in {"profile_id", "profile_time", "profile_lat", "profile_lon", "time_uv", "lat_uv", "lon_uv", "u", "v"}]
-    marks = {"platform": {"id": platform, "instrument": ", ".join(instruments or {}) or " "}, "crs": {}, **{n: {"description": str(d)} for n, d in (instruments or {}).items()}}
+    marks = {"platform": platform_attributes(platform, instruments), "crs": CRS, **{n: instrument_attributes(d) for n, d in (instruments or {}).items()}}
     marks = {n: {"_FillValue": np.int32(INT_FILL), **a} for n, a in marks.items()}
     left_out = {*by, "profile_key", *scalar, *marks, *(f"instrument_{n}" for n in instruments or {})}
     numeric = [c for c, t in rows.dtypes if t in ("double", "float", "int", "smallint", "tinyint", "bigint") and c not in left_out]
@@ -118,7 +176,7 @@ def emit_profile_files(obs: DataFrame, uv: DataFrame, by: list[str], path: str,
 
         pdf = pdf.sort_values("time", kind="stable")
         columns = {c: pdf[c].to_numpy(float, na_value=np.nan) if pdf[c].dtype.kind != "i" else pdf[c].to_numpy() for c in numeric}
-        scalars = {c: float(pdf[c].iloc[0]) for c in scalar} | {n: np.int32(0) for n in marks}
+        scalars = {c: np.int32(pdf[c].iloc[0]) if c == "profile_id" else float(pdf[c].iloc[0]) for c in scalar} | {n: np.int32(0) for n in marks}
         key = pdf["profile_key"].iloc[0]
         data = encode(columns, attrs, "time", given | marks, scalars)
         store, folder = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)

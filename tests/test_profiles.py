@@ -193,7 +193,12 @@ def test_velocities_and_exports(spark, obs, tmp_path):
     sizes, attrs, variables = netcdf.parse(files[0].read_bytes())
     rows = again.where(F.col("profile_key") == files[0].stem).orderBy("time").toPandas()
     assert attrs == {"title": "t"} and sizes == {"time": len(rows)} and np.allclose(variables["pressure"][2], rows.pressure, equal_nan=True)
-    assert variables["crs"][0] == () and variables["platform"][1]["id"] == "unit" and variables["ctd"][1] == {"_FillValue": sinks.INT_FILL, "description": "a"}
+    assert variables["crs"][0] == () and variables["crs"][1] == {"_FillValue": sinks.INT_FILL, **sinks.CRS} and variables["ctd"][1] == {"_FillValue": sinks.INT_FILL, "description": "a"}
+    assert variables["platform"][1] == {"_FillValue": sinks.INT_FILL, "ancillary_variables": " ", "comment": "Autonomous vehicle", "long_name": "platform", "type": "platform", "id": "unit", "instrument": "ctd"}
+    assert variables["profile_id"][2].dtype.str == ">i4" and int(variables["profile_id"][2]) == rows.profile_id[0] and variables["profile_lat"][1]["standard_name"] == "latitude"
+    assert again.schema["profile_id"].dataType.simpleString() == "int" and again.schema["crs"].metadata == sinks.CRS
+    with_attrs = sinks.profile_tables(only, uv, BY, "unit", {"ctd": {"serial_number": "7", "type": "instrument"}})
+    assert with_attrs.schema["instrument_ctd"].metadata == {"serial_number": "7", "type": "instrument"}
     assert float(variables["profile_time"][2]) == rows.profile_time[0] and float(variables["u"][2]) == rows.u[0]
     assert netcdf_source.read_netcdf(spark, str(files[0])).count() == len(rows)
     nothing = profiles.velocities(obs.withColumns({"dive_id": F.lit(-1), "climb_id": F.lit(-1)}), reports, BY).collect()
@@ -222,6 +227,20 @@ def test_turbulence_is_averaged_before_the_logarithm(spark):
     assert got == {1: pytest.approx(0.055), 2: None}
 
 
+def test_turbulence_of_a_shared_second_is_in_both_profiles(spark):
+    """Profiles that meet within a second, one that holds another, and a sample in none, against the join of ranges."""
+    facts = spark.createDataFrame([("a", 1, 100.2, 200.7), ("a", 2, 200.9, 300.1), ("a", 3, 150.0, 250.0), ("b", 1, 0.0, 90000.0), (None, 1, 5.0, 6.0)], "trajectory string, profile_id int, profile_time_start double, profile_time_end double")
+    cells = facts.select(*BY, "profile_id", F.explode(F.sequence(F.lit(1), F.lit(2))).alias("bin"), F.lit(5.0).alias("depth"))
+    q = spark.createDataFrame([(s, float(t), 3.0 + 10 * (t % 2), -float(t % 7)) for s in ("a", "b", None) for t in range(0, 320, 5)] + [("a", 200.5, 3.0, 0.0)], "trajectory string, time double, depth double, e_1 double")
+    got = {(r.trajectory, r.profile_id, r.bin): r.e_1 for r in bins.bin_turbulence(cells, facts, q, BY, 10.0, ("e_1",)).where("trajectory IS NOT NULL").collect()}
+    rows = q.collect()
+    for f in facts.where("trajectory IS NOT NULL").collect():
+        for b in (1, 2):
+            of = [10**r.e_1 for r in rows if r.trajectory == f.trajectory and int(f.profile_time_start) <= r.time <= int(f.profile_time_end) and 10 * (b - 1) < r.depth <= 10 * b]
+            assert got[f.trajectory, f.profile_id, b] == (pytest.approx(sum(of) / len(of)) if of else None)
+    assert {r.profile_id for r in bins.ts.interval_join(q.where("time = 200"), facts.select(*BY, "profile_id", F.floor("profile_time_start").cast("double").alias("start"), F.floor("profile_time_end").cast("double").alias("end")), ["profile_id"], BY).where("trajectory = 'a'").collect()} == {1, 2, 3}
+
+
 # pings
 
 

@@ -124,3 +124,19 @@ def test_counts_come_with_the_rows(spark):
 
     df, seen = observed(frame(spark, [("a", 1.0, None), ("a", 2.0, 3.0)]), known=F.col("y").isNotNull())
     assert df.count() == 2 and seen.get == {"rows": 2, "known": 1}
+
+
+@pytest.mark.parametrize("most,parts", [(10, 4), (50, 1024), (10**6, 7)])
+def test_median_of_large_groups(spark, most, parts):
+    """Selected, sorted or both: even and odd sizes, repeated and far values, nulls, a null key, a group without values."""
+    rng = np.random.default_rng(most)
+    rows = [("even", float(x)) for x in rng.normal(size=400)] + [("odd", float(x)) for x in rng.integers(0, 5, 333)] + [("far", float(10.0 ** (i % 17)) * (-1) ** i) for i in range(301)]
+    rows += [("one", 7.0)] * 120 + [("few", 1.0), ("few", 2.0), ("few", None), ("none", None)] + [(None, float(x)) for x in range(100)] + [("half", float(i // 200)) for i in range(400)]
+    got = {r.k: r.v for r in ts.grouped_median(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", most, parts).collect()}
+    groups = {}
+    for k, v in rows:
+        groups.setdefault(k, []).append(v)
+    assert got.keys() == groups.keys()
+    for k, v in groups.items():
+        known = [x for x in v if x is not None]
+        assert got[k] == (pytest.approx(float(np.median(known)), rel=1e-12) if known else None), k
