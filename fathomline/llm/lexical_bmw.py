@@ -23,6 +23,7 @@ no rows. A text of any length is one document of a segment; no other columns are
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,9 +37,9 @@ from .importance import LOWER, UPPER
 from .winnowing import filter_bits
 
 #: Postings in a block.
-BLOCK = 64
+BLOCK = 128
 #: Bytes of text in a segment (a longer text is a segment of its own).
-SEGMENT = 32 << 20
+SEGMENT = 64 << 20
 #: Queries in a block of queries.
 QUERIES = 256
 TOP = 10
@@ -99,7 +100,7 @@ _BLOCKS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("n",
 _BLOCKS_DDL = "array<struct<first:int,last:int,n:int,tf:array<bigint>,length:array<bigint>,payload:binary>>"
 
 
-def _segment(name: str, ids: list, lengths: list[int], postings: dict[bytes, tuple[list[int], list[int]]], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+def _segment(name: str, ids: list, lengths: list[int], postings: dict[bytes, tuple[array, array]], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     """One row for the documents of a segment (term null), and one for each term."""
     order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] if ids[i] is not None else 0))
     place = np.empty(len(order), np.int64)
@@ -167,7 +168,7 @@ def index(docs: DataFrame, wanted: np.ndarray | None = None, doc_id: str = "doc_
                     if bits is None or wants(term):
                         got = postings.get(term)
                         if got is None:
-                            got = postings[term] = ([], [])
+                            got = postings[term] = (array("i"), array("i"))
                         got[0].append(len(ids))
                         got[1].append(tf)
                 ids.append(i)
@@ -193,9 +194,10 @@ def item_terms(items: DataFrame, item_id: str = "item_id", text: str = "text") -
 
 
 def best(weights: np.ndarray, blocks: list[dict[str, np.ndarray]], at_most: int, floor: int, n_docs: int, total: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """The highest-scoring documents of a segment, (numbers, scores), and how many blocks were decompressed.
+    """The highest-scoring documents of a segment, (numbers, scores), and how many blocks this query needed decompressed.
 
-    weights and blocks are of the query's terms; floor is a score that a document must reach to matter.
+    weights and blocks are of the query's terms; floor is a score that a document must reach to matter. What is
+    decompressed stays with the blocks, for the next query.
     """
 
     def impact(tf, length):
@@ -206,7 +208,9 @@ def best(weights: np.ndarray, blocks: list[dict[str, np.ndarray]], at_most: int,
     starts = np.concatenate([[0], edges[:-1] + 1])
     tops, reach = np.zeros((len(blocks), len(edges)), np.int64), np.zeros((len(blocks), len(edges)), np.int64)
     for k, (w, b) in enumerate(zip(weights, blocks)):
-        top = w * np.maximum.reduceat(impact(b["tf"], b["length"]), b["offset"])
+        if "top" not in b:
+            b["top"], b["open"] = np.maximum.reduceat(impact(b["tf"], b["length"]), b["offset"]), {}
+        top = w * b["top"]
         here = np.searchsorted(b["last"], edges)
         there = np.minimum(here, len(b["last"]) - 1)
         inside = (here < len(b["last"])) & (b["first"][there] <= starts)
@@ -217,46 +221,55 @@ def best(weights: np.ndarray, blocks: list[dict[str, np.ndarray]], at_most: int,
     rest = np.vstack([np.cumsum(tops[by_top][::-1], 0)[::-1], np.zeros((1, len(edges)), np.int64)])
     bound = rest[0]
     docs, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    opened: list[dict[int, tuple]] = [{} for _ in blocks]
+    opened = [np.zeros(len(b["first"]), bool) for b in blocks]
     threshold, done, order = max(floor, 1), 0, np.argsort(-bound, kind="stable")
     while done < len(order) and bound[order[done]] >= threshold:
         # some ranges at once, more each time, so that the threshold rises early and later steps are long
-        step = order[done : done + max(16, done)]
+        step = order[done : done + max(32, 3 * done)]
         step = step[bound[step] >= threshold]
-        done += max(16, done)
-        found, got = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for place, k in enumerate(by_top):
+        done += max(32, 3 * done)
+        found, got, where = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        fresh = np.zeros(len(edges), bool)
+        fresh[step] = True
+        for place, k in enumerate(by_top.tolist()):
             # documents found so far that may still do, and ranges in which a document that isn't found yet may
-            where = np.searchsorted(edges, found)
             alive = got + rest[place][where] >= threshold
-            found, got, where = found[alive], got[alive], where[alive]
-            fresh = np.zeros(len(edges), bool)
-            fresh[step[rest[place][step] >= threshold]] = True
-            need = np.unique(np.concatenate([reach[k][fresh], reach[k][where]]))
-            need = need[need >= 0]
+            if not alive.all():
+                found, got, where = found[alive], got[alive], where[alive]
+            fresh &= rest[place] >= threshold
+            needed = np.zeros(len(opened[k]) + 1, bool)  # the last is for no block
+            needed[reach[k][fresh]] = True
+            needed[reach[k][where]] = True
+            need = np.flatnonzero(needed[:-1])
             if not len(need):
+                if not len(found) and not fresh.any():
+                    break
                 continue
+            opened[k][need] = True
             b = blocks[k]
             for j in need.tolist():
-                if j not in opened[k]:
+                if j not in b["open"]:
                     d, tf, length = decode_block(int(b["first"][j]), int(b["n"][j]), b["payload"][j])
-                    opened[k][j] = (d, weights[k] * impact(tf, length))
-            d, s = (np.concatenate(x) for x in zip(*(opened[k][j] for j in need.tolist())))
-            at = np.searchsorted(found, d)
-            known = at < len(found)
-            known[known] = found[at[known]] == d[known]
-            got[at[known]] += s[known]
-            new = ~known & fresh[np.searchsorted(edges, d)]
-            found, got = np.concatenate([found, d[new]]), np.concatenate([got, s[new]])
-            in_order = np.argsort(found)
-            found, got = found[in_order], got[in_order]
+                    b["open"][j] = (d, impact(tf, length))
+            d, s = (np.concatenate(x) for x in zip(*(b["open"][j] for j in need.tolist())))
+            s = weights[k] * s
+            if len(found):
+                at = np.minimum(np.searchsorted(found, d), len(found) - 1)
+                known = found[at] == d
+                got[at[known]] += s[known]
+                d, s = d[~known], s[~known]
+            in_range = np.searchsorted(edges, d)
+            new = fresh[in_range]
+            if new.any():
+                at = np.searchsorted(found, d[new])
+                found, got, where = np.insert(found, at, d[new]), np.insert(got, at, s[new]), np.insert(where, at, in_range[new])
         docs, scores = np.concatenate([docs, found]), np.concatenate([scores, got])
         first = np.lexsort((docs, -scores))[:at_most]
         docs, scores = docs[first], scores[first]
         if len(docs) == at_most:
             threshold = max(threshold, int(scores[-1]))
     use = scores > 0
-    return docs[use], scores[use], sum(map(len, opened))
+    return docs[use], scores[use], sum(int(o.sum()) for o in opened)
 
 
 def search(built: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:

@@ -71,7 +71,7 @@ def test_search_on_odd_rows(spark, odd_docs, no_docs, items, monkeypatch, segmen
     monkeypatch.setattr(lexical_bmw, "QUERIES", 2)
     got = sorted((tuple(r) for r in lexical_bmw.query(spark, odd_docs, items).collect()), key=repr)
     want = ranking([(r.doc_id, r.text) for r in odd_docs.collect()], [(r.item_id, r.text) for r in items.collect()])
-    assert got == want and {i for i, *_ in got} == {1, 2, 5, None}
+    assert got == want and {i for i, *_ in got} == {1, 2, 5, 6, None}
     assert lexical_bmw.query(spark, no_docs, items).count() == 0 == lexical_bmw.query(spark, odd_docs, items.limit(0)).count()
 
 
@@ -109,8 +109,8 @@ def made(rng, n_docs, dfs):
 @pytest.mark.parametrize("seed", range(6))
 def test_blocks_are_skipped_and_nothing_is_lost(seed):
     rng = np.random.default_rng(seed)
-    n = 20_000
-    dfs = [12_000, 7_000, 300, 40, 1] if seed % 2 else [15_000, 9_000, 20]
+    n = 60_000
+    dfs = [36_000, 21_000, 900, 120, 3] if seed % 2 else [45_000, 27_000, 60]
     length, blocks, plain = made(rng, n, dfs)
     weights = np.array([math.floor(1000 * math.log((2 * n + 2) / (2 * df + 1))) for df in dfs])
     docs, scores, opened = lexical_bmw.best(weights, blocks, 10, 1, n, int(length.sum()))
