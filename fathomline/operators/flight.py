@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import timeseries as ts
+from .least_squares import minimise
 
 # Parameters of the model and bounds of those that can be fitted.
 DEFAULTS: dict[str, float | None] = {
@@ -115,11 +117,28 @@ def calibration_rows(obs: DataFrame, by: list[str], start: float | None = None,
     return rows.where((F.col("pressure") > pressures[0]) & (F.col("pressure") < pressures[1]))
 
 
-def calibrate(obs: DataFrame, by: list[str], fit: tuple[str, ...] = FITTED, params: dict | None = None, rounds: int = 40, **chosen) -> dict[str, float]:
-    """Parameters that make the modelled vertical velocity fit the observed one best, within their bounds.
+@dataclass
+class Fit:
+    """All parameters, those fitted in their order, their covariance (nan where one is at its bound), and which are."""
 
-    Levenberg-Marquardt with projection on the bounds. A round is one aggregation over all rows: of the residual and
-    its differences by each parameter it sums the products, so that a few numbers reach the driver.
+    params: dict[str, float]
+    fitted: tuple[str, ...]
+    covariance: np.ndarray
+    at_bound: tuple[str, ...]
+    cost: float
+    rows: int
+
+
+def calibrate(obs: DataFrame, by: list[str], fit: tuple[str, ...] = FITTED, params: dict | None = None, rounds: int = 100, **chosen) -> dict[str, float]:
+    """Parameters that make the modelled vertical velocity fit the observed one best, within their bounds."""
+    return fit_parameters(obs, by, fit, params, rounds, **chosen).params
+
+
+def fit_parameters(obs: DataFrame, by: list[str], fit: tuple[str, ...] = FITTED, params: dict | None = None, rounds: int = 100, **chosen) -> Fit:
+    """The fit of calibrate(), with its covariance.
+
+    A step of the trust region is one aggregation over all rows: of the residual and its differences by each parameter
+    it sums the products, so that a few numbers reach the driver.
     """
     if unknown := [n for n in fit if n not in BOUNDS]:
         raise ValueError(f"parameters without bounds: {', '.join(unknown)}")
@@ -128,58 +147,35 @@ def calibrate(obs: DataFrame, by: list[str], fit: tuple[str, ...] = FITTED, para
         raise ValueError(f"{n} rows are too few to calibrate; {LEAST_ROWS} are needed")
     rows = rows.select(*INPUTS).persist()
     base = parameters(params)
-    wing = "aw" in fit
 
     def full(x) -> dict[str, float]:
         p = base | dict(zip(fit, map(float, x)))
-        if wing:
+        if "aw" in fit:
             p["Cd1"] = induced_drag(p["aw"], p["osborne_efficiency"], p["aspect_ratio"], p["Cd1_hull"])
         return p
 
     low, high = (np.array([BOUNDS[k][i] for k in fit]) for i in (0, 1))
-    scale = np.maximum(np.abs(np.array([base[k] for k in fit])), 1e-6)
+    size = np.maximum(np.abs(np.array([base[k] for k in fit])), 1e-6)
 
-    def sums(x, slopes: bool):
+    def sums(x):
         frame = with_model(rows, full(x)).withColumn("r0", F.col("vertical_glider_velocity") - F.col("dzdt"))
-        if not slopes:
-            return frame.agg(F.sum(F.col("r0") * F.col("r0"))).first()[0]
         names = ["r0"]
-        for k, name in enumerate(fit):
-            h = 1e-6 * scale[k] * (1 if x[k] + 1e-6 * scale[k] <= high[k] else -1)
+        for k in range(len(fit)):
+            h = 1e-6 * size[k] * (1 if x[k] + 1e-6 * size[k] <= high[k] else -1)
             moved = np.array(x, float)
             moved[k] += h
             frame = with_model(frame.select(*INPUTS, *names), full(moved))
-            frame = frame.withColumn(f"r{k + 1}", (F.col("vertical_glider_velocity") - F.col("dzdt") - F.col("r0")) / (h / scale[k]))
+            frame = frame.withColumn(f"r{k + 1}", (F.col("vertical_glider_velocity") - F.col("dzdt") - F.col("r0")) / h)
             names.append(f"r{k + 1}")
         pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
         got = frame.agg(*(F.sum(F.col(names[i]) * F.col(names[j])).alias(f"s{i}_{j}") for i, j in pairs)).first()
         m = np.zeros((len(names), len(names)))
         for i, j in pairs:
-            m[i, j] = m[j, i] = got[f"s{i}_{j}"]
+            m[i, j] = m[j, i] = np.nan if got[f"s{i}_{j}"] is None else got[f"s{i}_{j}"]
         return m
 
     try:
-        x = np.clip(np.array([base[k] for k in fit], float), low, high)
-        damp, cost = 1e-3, None
-        for _ in range(rounds):
-            m = sums(x, True)
-            cost = m[0, 0]
-            jtj, jtr = m[1:, 1:], m[1:, 0]
-            better = False
-            while damp < 1e8:
-                step = np.linalg.solve(jtj + damp * np.diag(np.maximum(np.diag(jtj), 1e-12)), -jtr) * scale
-                trial = np.clip(x + step, low, high)
-                value = sums(trial, False)
-                if value is not None and value < cost:
-                    better, damp = True, max(damp / 5, 1e-9)
-                    break
-                damp *= 5
-            if not better:
-                break
-            moved = np.abs(trial - x) / scale
-            x = trial
-            if moved.max() < 1e-8 or (cost - value) <= 1e-12 * cost:
-                break
-        return full(x)
+        got = minimise(sums, [base[k] for k in fit], low, high, n, rounds)
+        return Fit(full(got.x), tuple(fit), got.covariance, tuple(k for k, b in zip(fit, got.bound) if b), got.cost, n)
     finally:
         rows.unpersist()

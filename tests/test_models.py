@@ -84,8 +84,13 @@ def test_model_adds_columns_only(spark):
 
 def test_calibration_finds_the_truth_and_wants_rows(spark):
     truth = flight.parameters({"Vg": 0.0675, "Cd0": 0.2})
-    got = flight.calibrate(queries.flown(spark, "/root/testdata/sf0.001", truth), BY, fit=("Vg", "Cd0"))
-    assert all(abs(got[k] - truth[k]) < 1e-4 * abs(truth[k]) for k in ("Vg", "Cd0"))
+    fit = flight.fit_parameters(queries.flown(spark, "/root/testdata/sf0.001", truth), BY, fit=("Vg", "Cd0"))
+    assert all(abs(fit.params[k] - truth[k]) < 1e-4 * abs(truth[k]) for k in ("Vg", "Cd0"))
+    assert fit.at_bound == () and fit.covariance.shape == (2, 2) and (np.diag(fit.covariance) >= 0).all() and fit.rows >= flight.LEAST_ROWS
+    # with a truth beyond a bound the fit ends on it, and says so
+    beyond = flight.parameters({"Vg": 0.0675, "Cd0": 2.5})
+    held = flight.fit_parameters(queries.flown(spark, "/root/testdata/sf0.001", beyond), BY, fit=("Cd0",), params={"Vg": 0.0675})
+    assert held.at_bound == ("Cd0",) and abs(held.params["Cd0"] - 2.0) < 1e-4 and np.isnan(held.covariance).all()
     few = spark.createDataFrame([("a", 1.0, 100.0, 26.0, 300.0, 1025.0, 0.1)] * 99, "trajectory string, time double, pressure double, pitch double, ballast_pumped double, density double, dzdt double")
     with pytest.raises(ValueError):
         flight.calibrate(few, BY)
