@@ -1,16 +1,20 @@
-"""The pipeline's steps over streams: unique times, sessions of reports, depth bins, idempotent output.
+"""The pipeline's steps over streams: unique times, sessions of reports, depth bins, labels, idempotent output.
 
 Streams carry `ts` (a timestamp), made from the sample's time; a watermark bounds what is kept.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators import profiles
 from ..operators.bins import bin_number
 
 
@@ -40,6 +44,57 @@ def depth_bins(stream: DataFrame, by: list[str], size: float, values: list[str],
     return stream.where(F.col(depth) > 0).groupBy(*by, F.window("ts", window).alias("w"), k.alias("bin")).agg(*(F.avg(v).alias(v) for v in values)).select(*by, F.col("w.start").alias("start"), "bin", *values)
 
 
+def labels(stream: DataFrame, by: list[str], interval: float, shallowest: float = 5.0, surface_time: float = 180.0, duration: float = 600.0, limit: float = 2.0, idle: float = 86400.0) -> DataFrame:
+    """(by, time, pressure, state, dive_id, climb_id, profile_id) of a stream (by, time, pressure, ts) with a watermark.
+
+    A series' samples are held until the watermark has passed them, so any order within it is the same. A stretch is
+    labelled once the stretch after it is closed, with both neighbours beside it, as the batch does; what remains is
+    labelled when the watermark is `idle` seconds past the last sample, and a series that goes on later begins anew, its
+    numbers following. interval is the series' sampling interval, which the batch takes from all of its samples. The
+    state of a series is some four stretches.
+    """
+    given = (shallowest, surface_time, duration, limit, interval, 1 << 40)
+    kinds = "".join(f"{b} {stream.schema[b].dataType.simpleString()}, " for b in by)
+    out_type = f"{kinds}time double, pressure double, state tinyint, dive_id int, climb_id int, profile_id int"
+
+    def told(key: tuple, t: np.ndarray, p: np.ndarray, part: np.ndarray, k: int, before: int) -> tuple[pd.DataFrame, int]:
+        near = np.abs(part - k) <= 1
+        own = part[near] == k
+        state, dive, climb, count = profiles.own_labels(t[near], p[near], None, own, *given)
+        number = lambda c: np.where(np.isnan(c), -1, np.nan_to_num(c) + before).astype(np.int32)
+        d, c = number(dive), number(climb)
+        rows = pd.DataFrame(dict(zip(by, key)) | {"time": t[part == k], "pressure": p[part == k], "state": state, "dive_id": d, "climb_id": c, "profile_id": np.where(d > 0, 2 * d - 1, np.where(c > 0, 2 * c, -1))})
+        return rows, before + count
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        t, p, kept, dives = (np.array(state.get[0]), np.array(state.get[1], float), *state.get[2:]) if state.exists else (np.zeros(0), np.zeros(0), 0, 0)
+        for pdf in batches:
+            t = np.concatenate([t, pdf["time"].to_numpy(float)])
+            p = np.concatenate([p, pdf["pressure"].to_numpy(float, na_value=np.nan)])
+        order = np.argsort(t, kind="stable")
+        t, p = t[order], p[order]
+        final = len(t) if state.hasTimedOut else int(np.searchsorted(t, state.getCurrentWatermarkMs() / 1000, "right"))
+        starts = profiles.stretch_starts(t[:final], p[:final], shallowest, surface_time, interval)
+        part = np.searchsorted(starts, np.arange(final), "right")
+        first = 1 if kept else 0  # the first stretch is one that was told before, there for its neighbour
+        last = int(part[-1]) if final else -1
+        upto = last if state.hasTimedOut else last - 2
+        for k in range(first, upto + 1):
+            rows, dives = told(key, t[:final], p[:final], part, k, dives)
+            yield rows
+        if state.hasTimedOut:
+            t, p, kept = t[:0], p[:0], 0
+        elif upto >= first:
+            begin = int(np.searchsorted(part, upto))
+            t, p, kept = t[begin:], p[begin:], 1
+        state.update((t.tolist(), p.tolist(), kept, dives))
+        if len(t):
+            state.setTimeoutTimestamp(max(int((t[-1] + idle) * 1000), state.getCurrentWatermarkMs() + 1))
+
+    slim = stream.select(*by, "time", "pressure", "ts")
+    return slim.groupBy(*by).applyInPandasWithState(step, out_type, "t array<double>, p array<double>, kept int, dives int", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def write_idempotent(stream: DataFrame, path: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] | None = None, mode: str = "append", once: bool = True) -> StreamingQuery:
     """Each batch replaces its own partition, so one that is run again leaves no rows twice."""
 
