@@ -6,17 +6,19 @@ are the flight stream, the rest the science stream), with every fifth value miss
 
 from __future__ import annotations
 
-
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..durable import shared_dir
 from ..functions import seawater, units
 from ..operators import bins, flight, gps, profiles, quality
 from ..operators import timeseries as ts
 from ..sources import level1, sinks
 from ..sources.level1 import Level
+from ..sources.netcdf_source import read_netcdf, write_netcdf
 from . import config as cfg
 from . import pipeline
 
@@ -441,8 +443,8 @@ def point_interp_velocity_u(spark, d):
 
 
 @query(f"""{_FACTS}, q AS (SELECT trajectory, time, value AS depth, -value / 50 AS e_1 FROM dives), s AS (SELECT trajectory, profile_id, floor(profile_time_start) - 7200 AS a, floor(profile_time_end) + 7200 AS z FROM facts),
- m AS (SELECT s.trajectory, s.profile_id, CAST(ceil(q.depth / 20) AS INTEGER) AS bin, avg(pow(10, q.e_1)) AS e_1 FROM s JOIN q ON q.trajectory = s.trajectory AND q.time BETWEEN s.a AND s.z WHERE q.depth > 0 GROUP BY ALL)
- SELECT s.trajectory, s.profile_id, CAST(b AS INTEGER) AS bin, round(e_1, 6) AS e_1 FROM s CROSS JOIN range(1, 11) AS r(b) LEFT JOIN m ON m.trajectory = s.trajectory AND m.profile_id = s.profile_id AND m.bin = b""")
+ held AS (SELECT s.trajectory, s.profile_id, CAST(ceil(q.depth / 20) AS INTEGER) AS bin, avg(pow(10, q.e_1)) AS e_1 FROM s JOIN q ON q.trajectory = s.trajectory AND q.time BETWEEN s.a AND s.z WHERE q.depth > 0 GROUP BY ALL)
+ SELECT s.trajectory, s.profile_id, CAST(b AS INTEGER) AS bin, round(e_1, 6) AS e_1 FROM s CROSS JOIN range(1, 11) AS r(b) LEFT JOIN held ON held.trajectory = s.trajectory AND held.profile_id = s.profile_id AND held.bin = b""")
 def range_join_profile(spark, d):
     """Turbulence of profiles that overlap by hours, so that most samples are in several."""
     facts = bins.profile_facts(bins.profile_regions(_labelled(spark, d), BY), BY).withColumns({"profile_time_start": F.floor("profile_time_start") - 7200, "profile_time_end": F.floor("profile_time_end") + 7200})
@@ -697,9 +699,86 @@ def flight_fit(spark, d):
     return rounded(flight.with_model(made, fitted).select("l_orderkey", "l_linenumber", "vertical_glider_velocity"), vertical_glider_velocity=4)
 
 
+def _n2(a: str, b: str) -> str:
+    """SQL of N squared between two rows, its slopes by differences of the specific volume."""
+    mean = lambda v: f"(({a}.{v} + {b}.{v}) / 2)"
+    s, t, p, d = mean("sa"), mean("ct"), mean("p"), "1e-3"
+    v = _sql_volume(s, t, p)
+    slope = lambda up, down: f"(({up}) - ({down})) / (2 * {d})"
+    by_t, by_s = slope(_sql_volume(s, f"{t} + {d}", p), _sql_volume(s, f"{t} - {d}", p)), slope(_sql_volume(f"{s} + {d}", t, p), _sql_volume(f"{s} - {d}", t, p))
+    g = f"(SELECT g0 * (1 - 2.26e-7 * z) FROM (SELECT b AS g0, -2 * c / (b + sqrt(b * b + 2 * 2.26e-7 * b * c)) AS z FROM (SELECT own.b AS b, {p} * 1e-4 * {_sql_poly(f'({p} * 1e-4)', seawater._SURFACE)} * 1e8 AS c)))"
+    return f"CASE WHEN {a}.p <> {b}.p THEN {g} ** 2 / ({v} * 1e4 * ({b}.p - {a}.p)) * (-({by_s}) / {v} * ({b}.sa - {a}.sa) - {by_t} / {v} * ({b}.ct - {a}.ct)) END"
+
+
+@query(f"""WITH {DIVES}, a AS (SELECT trajectory, event_id, time, lat, pressure AS p, (3.5 + pressure / 400) * 10 AS c, 18 - pressure / 20 AS t, CAST(35 AS DOUBLE) / 35.16504e0 AS k, sqrt(2e0) AS r2 FROM dives), b0 AS (SELECT *, t * 1.00024 AS t68, c / 42.914 AS r FROM a),
+ b1 AS (SELECT *, sqrt(r / ((1 + p * {_sql_poly('p', seawater._E)} / (1 + 3.426e-2 * t68 + 4.464e-4 * t68 * t68 + (4.215e-1 - 3.107e-3 * t68) * r)) * {_sql_poly('t68', seawater._C)})) AS h0 FROM b0),
+ b2 AS (SELECT *, {_sql_poly('h0', seawater._A)} + (t68 - 15) / (1 + 0.0162 * (t68 - 15)) * {_sql_poly('h0', seawater._B)} AS salinity FROM b1), b AS (SELECT *, salinity / k AS sa, salinity AS s, -p AS h FROM b2),
+ c AS (SELECT *, h * {_sql_lapse('t', 'p')} AS x1 FROM b), d AS (SELECT *, t + 0.5 * x1 AS t1, p + 0.5 * h AS p1 FROM c), e AS (SELECT *, h * {_sql_lapse('t1', 'p1')} AS x2 FROM d),
+ f AS (SELECT *, t1 + (1 - 1 / r2) * (x2 - x1) AS t2, (2 - r2) * x2 + (-2 + 3 / r2) * x1 AS q2 FROM e), g AS (SELECT *, h * {_sql_lapse('t2', 'p1')} AS x3 FROM f),
+ i AS (SELECT *, t2 + (1 + 1 / r2) * (x3 - q2) AS t3, (2 + r2) * x3 + (-2 - 3 / r2) * q2 AS q3, p1 + 0.5 * h AS p2 FROM g), j AS (SELECT *, t3 + (h * {_sql_lapse('t3', 'p2')} - 2 * q3) / 6 AS theta, sin(radians(lat)) ^ 2 AS s2 FROM i),
+ o AS (SELECT trajectory, event_id, time, salinity, sa, p, (SELECT {_ENTHALPY_SQL} FROM (SELECT sqrt({seawater._SALT!r} * sa) AS x, theta * 0.025 AS y)) / {seawater._HEAT!r} AS ct, 9.780327 * (1 + (5.2792e-3 + 2.32e-5 * s2) * s2) AS b FROM j),
+ n AS (SELECT *, struct_pack(sa := sa, ct := ct, p := p, time := time, b := b) AS own, lag(own) OVER w AS before, lead(own) OVER w AS after FROM o WINDOW w AS (PARTITION BY trajectory ORDER BY time)),
+ m AS (SELECT *, {_n2('before', 'own')} AS n0, {_n2('own', 'after')} AS n1, (time + before.time) / 2 AS m0, (time + after.time) / 2 AS m1, p * 1e-4 * {_sql_poly('(p * 1e-4)', seawater._SURFACE)} * 1e8 AS hc FROM n),
+ v AS (SELECT *, 1 / {_sql_volume('sa', 'ct', 'p')} AS density, 1 / {_sql_volume('sa', 'ct', '0e0')} AS rho0, n0 + (n1 - n0) * ((time - m0) / (m1 - m0)) AS n2 FROM m),
+ u AS (SELECT *, CASE WHEN salinity BETWEEN 0 AND 40 THEN salinity END AS s_ok, CASE WHEN density BETWEEN 1015 AND 1040 THEN density END AS d_ok, CASE WHEN ct BETWEEN -5 AND 50 THEN ct END AS c_ok FROM v)
+ SELECT trajectory, event_id, round(s_ok, 6) AS salinity, round(c_ok, 6) AS "CT", round(d_ok, 5) AS density, round(CASE WHEN rho0 BETWEEN 1015 AND 1040 THEN rho0 END, 5) AS rho0, round(-2 * hc / (b + sqrt(b * b + 2 * 2.26e-7 * b * hc)), 6) AS z, round(n2, 7) AS "N2",
+ CAST(CASE WHEN salinity IS NULL THEN 0 WHEN s_ok IS NULL THEN 4 ELSE 2 END AS TINYINT) AS salinity_qc, CAST(CASE WHEN density IS NULL THEN 0 WHEN d_ok IS NULL THEN 4 ELSE 2 END AS TINYINT) AS density_qc, CAST(CASE WHEN n2 IS NULL THEN 9 ELSE 0 END AS TINYINT) AS "N2_qc", CAST(0 AS TINYINT) AS z_qc FROM u""")
+def thermodynamics(spark, d):
+    """All derived variables of the merged table, with N squared between neighbours and the flags that they inherit."""
+    p = F.col("pressure")
+    merged = dives(spark, d).withColumns({"conductivity": 3.5 + p / 400, "temperature": 18 - p / 20})
+    got = pipeline.thermodynamics(merged, cfg.load_config()).select(*BY, "event_id", "salinity", "CT", "density", "rho0", "z", "N2", "salinity_qc", "density_qc", "N2_qc", "z_qc")
+    return rounded(got, salinity=6, CT=6, density=5, rho0=5, z=6, N2=7)
+
+
 # sinks and dataflows
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder where driver and executors see each other's files."""
+    return f"{shared_dir(spark)}/query-{uuid.uuid4().hex}"
+
+
+@query(f"WITH {TEL} SELECT event_id, time, y, value, CAST(flight AS TINYINT) AS flight FROM tel WHERE time >= (SELECT min(time) + 86400 FROM tel) AND value > 20")
+def netcdf_files(spark, d):
+    """Telemetry written as NetCDF files and read again, by a range of times that reaches the source."""
+    t = telemetry(spark, d).select(F.col("event_id").cast("int").alias("event_id"), "time", "y", "value", "flight")
+    path = scratch(spark)
+    write_netcdf(t.repartitionByRange(4, "time").sortWithinPartitions("time"), path, {"title": "telemetry"}, rowsPerFile=5000)
+    back, first = read_netcdf(spark, path), t.agg(F.min("time")).first()[0]
+    return back.where((F.col("time") >= first + 86400) & (F.col("value") > 20)).select(F.col("event_id").cast("bigint").alias("event_id"), "time", "y", "value", "flight")
+
+
+@query(f"WITH {TEL} SELECT CAST(CASE WHEN flight AND value < 40 THEN 0 WHEN flight THEN 1 WHEN value < 40 THEN 2 ELSE 3 END AS INTEGER) AS file_ord, event_id, round(time, 3) AS time, CASE WHEN flight THEN y END AS y, CASE WHEN NOT flight THEN value END AS value FROM tel")
+def raw_files(spark, d):
+    """Segments of several formats and headers, written and read as one raw table by a scan for each kind."""
+    t, path = telemetry(spark, d).withColumn("event_id", F.col("event_id").cast("double")), scratch(spark)
+    low = F.col("value") < 40
+    t.where(F.col("flight") & low).select("event_id", "time", "y").write.parquet(f"{path}/a.parquet")
+    t.where(F.col("flight") & ~low).select("event_id", "time", "y").write.option("header", True).csv(f"{path}/b")
+    t.where(~F.col("flight") & low).select("time", "value", "event_id").write.option("header", True).csv(f"{path}/c")
+    write_netcdf(t.where(~F.col("flight") & ~low).select("event_id", "time", "value"), f"{path}/d")
+    files = [(0, f"{path}/a.parquet"), *((k, f) for k, x in enumerate(("b/*.csv", "c/*.csv", "d/*.nc"), 1) for f in level1.list_paths(spark, f"{path}/{x}"))]
+    raw = level1.read_raw(spark, [f for _, f in files])
+    folder = F.element_at(F.array(*(F.lit(k) for k, _ in files)), F.col("file_ord") + 1)
+    return raw.select(folder.alias("file_ord"), F.col("event_id").cast("bigint").alias("event_id"), F.round("time", 3).alias("time"), "y", "value")
+
+
+def _near(value: str, known: str) -> str:
+    """SQL of a value interpolated over the rows where it is known."""
+    point = lambda c, way: f"{'last' if way else 'first'}_value(CASE WHEN {known} THEN {c} END IGNORE NULLS) OVER (PARTITION BY trajectory ORDER BY time ROWS BETWEEN {'UNBOUNDED PRECEDING AND CURRENT ROW' if way else 'CURRENT ROW AND UNBOUNDED FOLLOWING'})"
+    t0, t1, y0, y1 = point("time", True), point("time", False), point(value, True), point(value, False)
+    return f"CASE WHEN {known} THEN {value} ELSE {y0} + ({y1} - {y0}) * ((time - {t0}) / ({t1} - {t0})) END"
+
+
+@query(f"""WITH {DIVES}, k AS (SELECT trajectory, event_id, time, CASE WHEN event_id % 3 = 0 THEN 0 ELSE pressure END AS depth, CASE WHEN event_id % 5 <> 0 THEN lat END AS lat, CASE WHEN event_id % 7 <> 0 THEN lon END AS lon FROM dives)
+ SELECT trajectory, event_id, round({_near('depth', 'coalesce(depth, 0) <> 0')}, 6) AS depth, round({_near('lat', 'lat IS NOT NULL AND lon IS NOT NULL')}, 6) AS lat, round({_near('lon', 'lat IS NOT NULL AND lon IS NOT NULL')}, 6) AS lon FROM k""")
+def ping_positions(spark, d):
+    e = F.col("event_id")
+    rows = dives(spark, d).select(*BY, "event_id", "time", F.when(e % 3 == 0, 0.0).otherwise(F.col("pressure")).alias("depth"), F.when(e % 5 != 0, F.col("lat")).alias("lat"), F.when(e % 7 != 0, F.col("lon")).alias("lon"))
+    return rounded(sinks.ping_positions(rows, BY).select(*BY, "event_id", "depth", "lat", "lon"), depth=6, lat=6, lon=6)
+
+
 @query(f"WITH {DIVES} SELECT unnest(['ctd_temp', 'ctd_cond']) AS channel, time, unnest([value, pressure]) AS data FROM dives")
 def channel_table(spark, d):
     return sinks.channel_table(dives(spark, d).withColumns({"temperature": F.col("value"), "conductivity": F.col("pressure")}))
