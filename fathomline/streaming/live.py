@@ -95,6 +95,64 @@ def labels(stream: DataFrame, by: list[str], interval: float, shallowest: float
     return slim.groupBy(*by).applyInPandasWithState(step, out_type, "t array<double>, p array<double>, kept int, dives int", "append", GroupStateTimeout.EventTimeTimeout)
 
 
+def velocity_groups(stream: DataFrame, by: list[str], gap: float = 600.0) -> DataFrame:
+    """(by, group_start, time_uv, lat_uv, lon_uv, u, v) of a stream (by, time, lat, lon, u, v, ts) with a watermark.
+
+    Rows with u and v are reports, the others samples of profiles. The last report of a session, whose reports are at
+    most gap apart, holds for the samples since the one before it, as profiles.velocities() has it. Samples that wait for
+    their report are a group without velocity; it comes again, under the same group_start (null for a series' first),
+    when more of it have come, and once more when its report is known. settled() keeps the last of each. Any order within
+    the watermark is the same; the state of a series is what came since its last surfacing.
+    """
+    kinds = "".join(f"{b} {stream.schema[b].dataType.simpleString()}, " for b in by)
+    names = ("t", "lat", "lon", "u", "v")
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = np.array([np.array(x, float) for x in state.get[:5]]) if state.exists else np.zeros((5, 0))
+        begin, told = state.get[5:] if state.exists else (None, 0)
+        for pdf in batches:
+            held = np.hstack([held, np.array([pdf[c].to_numpy(float, na_value=np.nan) for c in ("time", "lat", "lon", "u", "v")])])
+        held = held[:, np.argsort(held[0], kind="stable")]
+        now = state.getCurrentWatermarkMs() / 1000
+        t, report = held[0], np.isfinite(held[3]) & np.isfinite(held[4])
+        known = np.flatnonzero(report & (t <= now))
+        last = known[np.append(np.diff(t[known]) > gap, True)] if len(known) else known  # of each session
+        out = []
+
+        def group(upto: float, u: float | None, v: float | None) -> int:
+            of = ~report & (t <= upto) & (t > (-np.inf if begin is None else begin))
+            if of.any():
+                mean = [float(np.nanmean(x)) if np.isfinite(x).any() else None for x in held[:3, of]]
+                out.append((*key, begin, *mean, u, v))
+            return int(of.sum())
+
+        for k in last.tolist():
+            if t[k] + gap < now:
+                group(float(t[k]), float(held[3, k]), float(held[4, k]))
+                begin, told = float(t[k]), 0
+        if begin is not None:
+            held, report = held[:, t > begin], report[t > begin]
+            t = held[0]
+        waiting = int((~report & (t <= now)).sum())
+        if waiting > told:
+            told = group(now, None, None)
+        state.update((*(x.tolist() for x in held), begin, told))
+        if len(t):
+            state.setTimeoutTimestamp(max(int((t[-1] + (gap if report.any() else 0)) * 1000) + 1001, state.getCurrentWatermarkMs() + 1))
+        if out:
+            yield pd.DataFrame(out, columns=[*by, "group_start", "time_uv", "lat_uv", "lon_uv", "u", "v"])
+
+    slim = stream.select(*by, "time", "lat", "lon", "u", "v", "ts")
+    kept = ", ".join(f"{n} array<double>" for n in names)
+    return slim.groupBy(*by).applyInPandasWithState(step, f"{kinds}group_start double, time_uv double, lat_uv double, lon_uv double, u double, v double", f"{kept}, start double, told int", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def settled(rows: DataFrame, by: list[str], batch: str = "batch") -> DataFrame:
+    """The last that was written of each group of velocity_groups()."""
+    values = [c for c in rows.columns if c not in (*by, "group_start", batch)]
+    return rows.groupBy(*by, "group_start").agg(F.max_by(F.struct(*values), batch).alias("r")).select(*by, "group_start", "r.*")
+
+
 def write_idempotent(stream: DataFrame, path: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] | None = None, mode: str = "append", once: bool = True) -> StreamingQuery:
     """Each batch replaces its own partition, so one that is run again leaves no rows twice."""
 
