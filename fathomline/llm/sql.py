@@ -11,13 +11,17 @@ WITH msg AS (
 ), results AS (
   SELECT conv_id, 'turn:' || CAST(turn - 1 AS VARCHAR) AS call_id, min(turn) AS result_turn, arg_min(text, (turn, text)) AS result, count(*) AS n_results
   FROM msg WHERE role = 'assistant' GROUP BY ALL
+), others AS (
+  SELECT DISTINCT m.conv_id, m.turn, r.call_id, m.text, r.n_results FROM msg m JOIN results r ON r.conv_id = m.conv_id AND r.call_id = 'turn:' || CAST(m.turn - 1 AS VARCHAR)
+  WHERE m.role = 'assistant' AND (m.turn <> r.result_turn OR m.text <> r.result)
 ), linked AS (
   SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.turn, r.result_turn) AS turn, CASE WHEN c.turn IS NULL THEN -1 ELSE 0 END AS seq,
          coalesce(c.call_id, r.call_id) AS call_id, CASE WHEN c.turn IS NOT NULL THEN 'respond' END AS name, c.turn IS NOT NULL AS valid,
          coalesce(r.n_results, 0) AS n_results, r.result_turn, c.arguments, r.result
   FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+  UNION ALL SELECT conv_id, turn, -1, call_id, NULL, false, n_results, turn, NULL, text FROM others
 )
-SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, seq, call_id, name, arguments) AS place, 0 AS level, turn, CAST(seq AS INTEGER) AS seq, call_id, name, valid,
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, seq, call_id, name NULLS FIRST, arguments NULLS FIRST, result) AS place, 0 AS level, turn, CAST(seq AS INTEGER) AS seq, call_id, name, valid,
        coalesce(result_turn >= turn, true) AS ordered, n_results, result_turn,
        '{' || concat_ws(',', '"arguments":' || to_json(CAST(arguments AS VARCHAR)), '"id":' || to_json(call_id), '"name":' || to_json(name), '"result":' || to_json(result), '"valid":' || CASE WHEN valid THEN 'true' ELSE 'false' END) || '}' AS line
 FROM linked

@@ -13,8 +13,10 @@ method does, so the order by level, then turn, then place in the message, is top
 call, or to itself around a cycle, gets no level; it comes last and is not ordered. Nor is one whose result is older.
 
 Nulls: a message without conversation, turn or role is left out; a null text is an empty one. Of several results of a
-call the first by key counts, and n_results tells how many there are; of several calls with one identifier each is kept
-and has the same result. Repeated rows count once. A result without a call is a link without a call.
+call the first that isn't older than the call goes with it (the last of the older ones if there are no others); every
+other is a link of its own with the same identifier and no name, and n_results tells how many there are. Of several
+calls with one identifier each is kept and has the same result. Repeated rows count once. A result without a call is a
+link without a call. An empty table gives no links; other columns, whatever their names, aren't read.
 """
 
 from __future__ import annotations
@@ -91,13 +93,21 @@ def link(conversations: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]
     place counts the links of a conversation from 1, in topological order.
     """
     calls, results = events(messages(conversations))
-    first = (
-        results.where(F.col("call_id").isNotNull())
-        .groupBy("conv_id", "call_id")
-        .agg(F.min(F.struct("turn", "content")).alias("r"), F.count("*").alias("n_results"))
-        .select("conv_id", "call_id", F.col("r.turn").alias("result_turn"), F.col("r.content").alias("result"), "n_results")
+    # of several results the first that isn't older than the call; if all are older, the last of those
+    key, at = ["conv_id", "call_id"], F.struct("turn", "content")
+    asked = calls.where("call_id IS NOT NULL").groupBy(*key).agg(F.min("turn").alias("first_turn"))
+    since = F.coalesce(F.col("turn") >= F.col("first_turn"), F.lit(True))
+    chosen = (
+        results.where("call_id IS NOT NULL")
+        .join(asked, key, "left")
+        .groupBy(*key)
+        .agg(F.coalesce(F.min(F.when(since, at)), F.max(F.when(~since, at))).alias("r"), F.count("*").alias("n_results"))
+        .select(*key, F.col("r.turn").alias("result_turn"), F.col("r.content").alias("result"), "n_results")
     )
-    linked = calls.join(first, ["conv_id", "call_id"], "full_outer").withColumns({"turn": F.coalesce("turn", "result_turn"), "seq": F.coalesce("seq", F.lit(-1)), "n_results": F.coalesce("n_results", F.lit(0))})
+    # the others are links of their own, so that none is lost
+    others = results.distinct().join(chosen, key).where((F.col("turn") != F.col("result_turn")) | (F.col("content") != F.col("result")))
+    others = others.select(*key, "turn", F.lit(-1).alias("seq"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments"), F.col("turn").alias("result_turn"), F.col("content").alias("result"), "n_results")
+    linked = calls.join(chosen, key, "full_outer").unionByName(others).withColumns({"turn": F.coalesce("turn", "result_turn"), "seq": F.coalesce("seq", F.lit(-1)), "n_results": F.coalesce("n_results", F.lit(0))})
     mark = F.coalesce("call_id", F.lit("")).alias("mark")  # messages of one turn can each have a call of one place
     needs = calls.select("conv_id", "turn", "seq", mark, "call_id", F.explode(F.array_distinct(F.regexp_extract_all("arguments", F.lit(_REF), 1))).alias("ref"))
     level = levels(needs, calls)
@@ -151,7 +161,7 @@ def _placed(rows: DataFrame) -> DataFrame:
     blocks = rows.groupBy("conv_id", "block").count()
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offset = blocks.select("conv_id", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
-    within = Window.partitionBy("conv_id", "block").orderBy("turn", "seq", "call_id", "name", "arguments")
+    within = Window.partitionBy("conv_id", "block").orderBy("turn", "seq", "call_id", "name", "arguments", "result")
     return rows.withColumn("n", F.row_number().over(within)).join(offset, ["conv_id", "block"]).withColumn("place", F.col("n") + F.col("before"))
 
 

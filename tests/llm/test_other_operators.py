@@ -40,7 +40,10 @@ def test_tool_calls_in_json(spark):
         (None, 0, "user", "x"),
         (3, None, "user", "x"),
     ]
-    got = {(r.conv_id, r.call_id): r for r in tool_calls.link(chat(spark, rows), schemas | tool_calls.SCHEMAS).collect()}
+    links = tool_calls.link(chat(spark, rows), schemas | tool_calls.SCHEMAS).collect()
+    got = {(r.conv_id, r.call_id): r for r in links if (r.conv_id, r.call_id, r.name) != (1, "c1", None)}
+    (again,) = (r for r in links if (r.conv_id, r.call_id, r.name) == (1, "c1", None))
+    assert (again.turn, again.n_results, json.loads(again.line)) == (3, 2, {"id": "c1", "result": "4", "valid": False})
     c1, c2 = got[1, "c1"], got[1, "c2"]
     assert (c1.valid, c1.n_results, c1.result_turn, c1.place) == (True, 2, 2, 1)
     assert json.loads(c1.line) == {"arguments": '{"a":1,"b":2.5}', "id": "c1", "name": "add", "result": "3", "valid": True}
@@ -56,7 +59,14 @@ def test_tool_calls_in_json(spark):
     assert json.loads(got[2, "turn:0"].line)["result"] == "hello"
     assert {k[0] for k in got} == {1, 2}
     places = [r.place for k, r in got.items() if k[0] == 1]
-    assert sorted(places) == list(range(1, len(places) + 1))
+    assert sorted([*places, again.place]) == list(range(1, len(places) + 2))
+
+
+def test_the_result_of_a_call_is_not_older_than_it(spark):
+    call, result = json.dumps({"tool_calls": [{"id": "c", "name": "say", "arguments": {}}]}), lambda x: json.dumps({"tool_call_id": "c", "content": x})
+    told = lambda *rows: sorted((r.turn, r.name, r.n_results, r.ordered, json.loads(r.line).get("result")) for r in tool_calls.link(chat(spark, [(1, t, "x", m) for t, m in rows])).fillna("", ["name"]).collect())
+    assert told((0, result("old")), (1, call), (2, result("a")), (3, result("b"))) == [(0, "", 3, True, "old"), (1, "say", 3, True, "a"), (3, "", 3, True, "b")]
+    assert told((0, result("old")), (1, result("older")), (2, call)) == [(0, "", 2, True, "old"), (2, "say", 2, False, "older")]
 
 
 def brute_links(rows, schemas):
@@ -73,6 +83,13 @@ def brute_links(rows, schemas):
                     results[got["tool_call_id"]].add((turn, got["content"]))
         ids = {x[2] for x in calls}
         refs = lambda v: {v["$ref"]} if isinstance(v, dict) and "$ref" in v else set().union(*map(refs, v.values())) if isinstance(v, dict) else set()
+        first = {i: min(x[0] for x in calls if x[2] == i) for i in ids}
+
+        def ranked(id_):
+            """Results in the order in which they are preferred."""
+            had = sorted(results.get(id_, ()))
+            return [r for r in had if r[0] >= first.get(id_, 0)] + [r for r in had if r[0] < first.get(id_, 0)][::-1]
+
         level = {i: None for i in range(len(calls))}
         for _ in range(len(calls) + 1):
             for i, x in enumerate(calls):
@@ -82,15 +99,14 @@ def brute_links(rows, schemas):
                     if None not in below:
                         level[i] = 1 + max(below) if need else 0
         for i, (turn, k, id_, name, arguments) in enumerate(calls):
-            had = sorted(results.get(id_, ()))
+            had = ranked(id_)
             valid = name in schemas and all((p in arguments and kinds[t](arguments[p])) if need else p not in arguments or kinds[t](arguments[p]) for p, (t, need) in schemas[name].items())
             line = {"arguments": json.dumps(arguments, sort_keys=True, separators=(",", ":")), "id": id_, "name": name, "valid": valid} | ({"result": had[0][1]} if had else {})
             lv = -1 if level[i] is None else level[i]
             out[(conv, turn, k, id_, name, lv, lv >= 0 and not (had and had[0][0] < turn), len(had), had[0][0] if had else None, valid, json.dumps(line, sort_keys=True, separators=(",", ":")))] += 1
-        for id_, had in results.items():
-            if id_ not in ids:
-                turn, content = min(had)
-                out[(conv, turn, -1, id_, None, 0, True, len(had), turn, False, json.dumps({"id": id_, "result": content, "valid": False}, sort_keys=True, separators=(",", ":")))] += 1
+        for id_ in results:
+            for turn, content in ranked(id_)[1 if id_ in ids else 0 :]:
+                out[(conv, turn, -1, id_, None, 0, True, len(results[id_]), turn, False, json.dumps({"id": id_, "result": content, "valid": False}, sort_keys=True, separators=(",", ":")))] += 1
     return out
 
 
