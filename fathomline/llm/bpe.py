@@ -7,7 +7,8 @@ folds each distinct word once and keeps the result in a bounded cache. Decoding
 encode_words() does the same fold with Spark's higher-order functions, over a table of distinct words, with the ranks
 as a literal: Spark searches a map from its front, so the literal is an array of short maps by a hash of the piece.
 
-Null texts are empty. Every text is encoded whole.
+Null texts are empty. Every text is encoded whole. Equal rows are each returned, with equal ids; a null id is kept; an
+empty table gives no rows. encode() and decode() keep all other columns; a column of a result's name is replaced.
 """
 
 from __future__ import annotations

@@ -5,8 +5,9 @@ learnt by logistic loss on the difference of their features, which is the Bradle
 quantile of the worths of the training documents then becomes the threshold, and the logistic function of the distance
 to it the score.
 
-Nulls and empty texts have the features of an empty text and so a score as any other; repeated rows score alike. Texts
-are read whole. A column named as the score is replaced, all others are kept.
+Nulls and empty texts have the features of an empty text and so a score as any other; repeated rows score alike, and so
+do ties. Without rows of both classes every text gets one score; an empty table of documents gives no rows. Texts are
+read whole. A column named as the score is replaced, all others are kept.
 """
 
 from __future__ import annotations

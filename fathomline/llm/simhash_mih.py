@@ -10,6 +10,9 @@ if and only if some word of 64 bits is at most two bits from both. All words tha
 (2,081), and those of one word are linked to the smallest. The work is linear, and no word can have more than 2,081.
 
 Texts of equal fingerprint are one node. Null and empty texts have fingerprint zero, which is linked like any other.
+Texts are read whole, whatever their length. Equal rows are each returned; a row without an id has a fingerprint and a
+component like others but is never the id that names one. An empty table gives no rows. keep_one() keeps all columns,
+whatever their names, and of a component the row of the smallest id.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ longer than L, their tokens, the tokens that stay if each document is cut to L,
 give the share of documents that fit, so L is that quantile of lengths. Between two lengths that occur, the figures
 follow from the lower one: documents longer than L stay the same and each adds a token for each step of L.
 
-Null texts are empty and count as length 0; repeated rows count as often as they are there. Only the text's column is read,
+Null texts are empty and count as length 0; an empty table gives no rows; repeated rows count as often as they are there. Only the text's column is read,
 so others may have any name. Sums are split in blocks of lengths, so no task sees all lengths.
 """
 

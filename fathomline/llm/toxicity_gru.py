@@ -9,7 +9,8 @@ Labels are of documents: training takes every window of a toxic document as toxi
 itself finds to be. Every window of every training document is learnt from in every epoch; those of one document weigh
 as much together as DOC_WEIGHT windows at most, so that long texts don't outweigh the others.
 
-Nulls and empty texts score as a window without words; repeated rows score alike. A column named as the score's is
+Nulls and empty texts score as a window without words; repeated rows score alike, and of windows of one score the first
+counts. Without training rows nothing is toxic; an empty table of documents gives no rows. A column named as the score's is
 replaced, all others are kept. Texts of any length are read in blocks of words, and the vectors of words are kept in a
 bounded cache, so a worker's memory does not depend on the texts.
 """

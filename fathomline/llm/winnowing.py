@@ -8,7 +8,10 @@ word, without reading the texts again. Items shorter than a window are one gram
 A filter of fixed size made from the items' fingerprints drops most fingerprints of documents before the join; what it
 lets through by chance the join drops.
 
-Null texts have no words. Equal rows are each returned. A null doc_id is kept as null.
+Null and empty texts have no words. Equal rows are each returned. A null doc_id is kept as null. A null item_id counts
+for hit words but is not among the item ids; equal items count once. An empty table of documents gives no rows, without
+items nothing is contaminated. Texts of any length are read whole, some megabytes at a time. keep_clean() keeps all
+columns, whatever their names.
 """
 
 from __future__ import annotations
