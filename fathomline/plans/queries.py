@@ -542,7 +542,54 @@ def drift_runs(spark, d):
     return profiles.drifting(dives(spark, d), BY, 2, 2, 8.0)
 
 
-@query()
+def _peaks_sql(name: str, sign: str, distance: str, width: str, height: float | None = None) -> str:
+    """CTEs of the peaks of sign * v of x: high, apart, prominent and wide enough."""
+    return f"""{name}_top AS MATERIALIZED (SELECT trajectory, j, y FROM (SELECT trajectory, j, {sign}v AS y, lag({sign}v) OVER w AS y0, lead({sign}v) OVER w AS y1 FROM x WINDOW w AS (PARTITION BY trajectory ORDER BY j)) WHERE y > y0 AND y > y1{f' AND y >= {height}' if height else ''}),
+ {name}_apart AS MATERIALIZED (SELECT trajectory, unnest(kept) AS j FROM (SELECT trajectory, list_reduce(list([j] ORDER BY y DESC, j DESC), lambda kept, e: CASE WHEN len(list_filter(kept, lambda o: abs(o - e[1]) < far)) = 0 THEN list_concat(kept, e) ELSE kept END) AS kept FROM (SELECT t.trajectory, j, y, {distance} AS far FROM {name}_top t JOIN par USING (trajectory)) GROUP BY trajectory, far)),
+ {name}_side AS MATERIALIZED (SELECT t.trajectory, t.j, t.y, max(x.j) FILTER (x.j < t.j AND {sign}x.v > t.y) AS a, min(x.j) FILTER (x.j > t.j AND {sign}x.v > t.y) AS b FROM {name}_top t JOIN {name}_apart USING (trajectory, j) JOIN x ON x.trajectory = t.trajectory GROUP BY ALL),
+ {name}_rise AS MATERIALIZED (SELECT s.trajectory, s.j, s.y, s.y - greatest(min({sign}x.v) FILTER (x.j <= s.j AND x.j > coalesce(s.a, -1)), min({sign}x.v) FILTER (x.j >= s.j AND (s.b IS NULL OR x.j < s.b))) AS rise FROM {name}_side s JOIN x ON x.trajectory = s.trajectory GROUP BY s.trajectory, s.j, s.y),
+ {name}_bar AS MATERIALIZED (SELECT r.trajectory, r.j, r.y, r.y - rise / 2 AS bar, max(x.j) FILTER (x.j <= r.j AND {sign}x.v <= r.y - rise / 2) AS a, min(x.j) FILTER (x.j >= r.j AND {sign}x.v <= r.y - rise / 2) AS b FROM {name}_rise r JOIN x ON x.trajectory = r.trajectory WHERE rise >= 5 GROUP BY ALL),
+ {name} AS MATERIALIZED (SELECT q.trajectory, q.j, q.y FROM {name}_bar q JOIN par USING (trajectory) JOIN x xa ON xa.trajectory = q.trajectory AND xa.j = q.a JOIN x xa1 ON xa1.trajectory = q.trajectory AND xa1.j = q.a + 1 JOIN x xb ON xb.trajectory = q.trajectory AND xb.j = q.b JOIN x xb1 ON xb1.trajectory = q.trajectory AND xb1.j = q.b - 1
+  WHERE CASE WHEN {sign}xb.v < bar THEN q.b - (bar - {sign}xb.v) / ({sign}xb1.v - {sign}xb.v) ELSE q.b END - CASE WHEN {sign}xa.v < bar THEN q.a + (bar - {sign}xa.v) / ({sign}xa1.v - {sign}xa.v) ELSE q.a END >= {width})"""
+
+def _labels_sql(source: str) -> str:
+    """CTEs that end in lab (trajectory, i, state, dive, climb) of a table (trajectory, time, pressure), by the definitions.
+
+    Drift is looked for two samples to either side, as where samples are a minute apart or more. Tops are single samples.
+    """
+    run = lambda name, of, cond: f"{name} AS MATERIALIZED (SELECT trajectory, g, min(i) AS a, max(i) + 1 AS b FROM (SELECT trajectory, i, i - row_number() OVER (PARTITION BY trajectory ORDER BY i) AS g FROM {of} WHERE {cond}) GROUP BY trajectory, g)"
+    return f"""s AS MATERIALIZED (SELECT trajectory, time, pressure AS p, row_number() OVER (PARTITION BY trajectory ORDER BY time) - 1 AS i FROM {source}),
+ gaps AS MATERIALIZED (SELECT trajectory, time - lag(time) OVER (PARTITION BY trajectory ORDER BY time) AS dt FROM s),
+ par AS MATERIALIZED (SELECT trajectory, count(*) AS n, ceil(600 / median(dt)) AS least, greatest(4, round(180 / median(dt))) AS far_p, greatest(2, round(20 / median(dt))) AS wide_p, greatest(2, round(30 / median(dt))) AS far_t, greatest(1, round(5 / median(dt))) AS wide_t, greatest(2, round(180 / median(dt))) AS near FROM gaps GROUP BY trajectory),
+ calm AS MATERIALIZED (SELECT *, coalesce(p > 2, false) AND count(p) OVER w >= 3 AND stddev_pop(p) OVER w < 2 AS steady FROM s WINDOW w AS (PARTITION BY trajectory ORDER BY i ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)),
+ {run('still', 'calm', 'steady')},
+ level AS MATERIALIZED (SELECT r.trajectory, r.a, r.b, avg(s.p) AS mean FROM still r JOIN par USING (trajectory) JOIN s ON s.trajectory = r.trajectory AND s.i >= r.a AND s.i < r.b WHERE r.b - r.a >= least GROUP BY ALL),
+ wide AS MATERIALIZED (SELECT l.trajectory, coalesce(max(s.i) FILTER (s.i < l.a AND NOT coalesce(abs(s.p - mean) < 4, false)) + 1, 0) AS lo, coalesce(min(s.i) FILTER (s.i >= l.b AND NOT coalesce(abs(s.p - mean) < 4, false)), max(s.i) + 1) AS hi FROM level l JOIN s ON s.trajectory = l.trajectory GROUP BY l.trajectory, l.a, l.b, mean),
+ drift AS MATERIALIZED (SELECT DISTINCT s.trajectory, s.i FROM s JOIN wide w ON w.trajectory = s.trajectory AND s.i >= lo AND s.i < hi),
+ x AS MATERIALIZED (SELECT trajectory, i, p AS v, row_number() OVER (PARTITION BY trajectory ORDER BY i) - 1 AS j FROM s ANTI JOIN drift USING (trajectory, i) WHERE p IS NOT NULL),
+ {_peaks_sql('top', '', 'far_p', 'wide_p', 5)}, {_peaks_sql('low', '-', 'far_t', 'wide_t')},
+ ends AS MATERIALIZED (SELECT trajectory, max(j) AS e FROM x GROUP BY trajectory),
+ pair AS MATERIALIZED (SELECT trajectory, j, lag(j) OVER w AS j0, lead(j) OVER w AS j1 FROM top WINDOW w AS (PARTITION BY trajectory ORDER BY j)),
+ between_ AS MATERIALIZED (SELECT q.trajectory, q.j0, q.j, coalesce((SELECT arg_max(l.j, (l.y, -l.j)) FROM low l WHERE l.trajectory = q.trajectory AND l.j >= q.j0 AND l.j < q.j), (SELECT arg_min(x.j, (x.v, x.j)) FROM x WHERE x.trajectory = q.trajectory AND x.j BETWEEN q.j0 AND q.j)) AS m FROM pair q WHERE q.j0 IS NOT NULL),
+ bounds AS MATERIALIZED (SELECT q.trajectory, q.j, coalesce(f.m, (SELECT max(l.j) FROM low l WHERE l.trajectory = q.trajectory AND l.j < q.j AND q.j0 IS NULL), 0) AS lo, coalesce(t.m, (SELECT min(l.j) FROM low l WHERE l.trajectory = q.trajectory AND l.j >= q.j AND q.j1 IS NULL), e) AS hi FROM pair q JOIN ends USING (trajectory) LEFT JOIN between_ f ON f.trajectory = q.trajectory AND f.j = q.j LEFT JOIN between_ t ON t.trajectory = q.trajectory AND t.j0 = q.j),
+ way AS MATERIALIZED (SELECT trajectory, j, coalesce(v1 > v AND v2 > v1, false) AS up, coalesce(v1 < v AND v2 < v1, false) AS down FROM (SELECT trajectory, j, v, lead(v) OVER w AS v1, lead(v, 2) OVER w AS v2 FROM x WINDOW w AS (PARTITION BY trajectory ORDER BY j))),
+ found AS MATERIALIZED (SELECT b.trajectory, b.j, min(y.j) FILTER (up AND y.j >= lo) AS r, max(y.j) FILTER (down AND y.j <= hi - 2) AS f FROM bounds b JOIN way y ON y.trajectory = b.trajectory GROUP BY b.trajectory, b.j, lo, hi),
+ dived AS MATERIALIZED (SELECT k.trajectory, k.j, max(x.i) FILTER (x.j = k.r) AS a, max(x.i) FILTER (x.j = k.j) AS m, max(x.i) FILTER (x.j = k.f + 2) AS z FROM found k JOIN x ON x.trajectory = k.trajectory WHERE k.r + 2 <= k.j AND k.f >= k.j GROUP BY k.trajectory, k.j),
+ prof AS MATERIALIZED (SELECT trajectory, row_number() OVER (PARTITION BY trajectory ORDER BY j) AS k, a, m, z FROM dived),
+ l0 AS MATERIALIZED (SELECT s.trajectory, s.i, s.p, max(k) FILTER (s.i BETWEEN a AND m) AS dive, max(k) FILTER (s.i > m AND s.i <= z) AS climb, any_value(d.i) AS d FROM s LEFT JOIN prof f ON f.trajectory = s.trajectory AND s.i BETWEEN a AND z LEFT JOIN drift d ON d.trajectory = s.trajectory AND d.i = s.i GROUP BY s.trajectory, s.i, s.p),
+ l1 AS MATERIALIZED (SELECT trajectory, i, p, CASE WHEN d IS NOT NULL THEN 3 WHEN dive > coalesce(climb, 0) THEN 1 WHEN climb IS NOT NULL THEN 2 ELSE -1 END AS state, CASE WHEN d IS NULL AND dive > coalesce(climb, 0) THEN dive END AS dive, CASE WHEN d IS NULL AND climb >= coalesce(dive, 0) THEN climb END AS climb FROM l0),
+ {run('dr', 'l1', 'state = 3')},
+ pre AS MATERIALIZED (SELECT r.trajectory, r.a, max(l.i) AS before, arg_max(l.state, l.i) AS st FROM dr r JOIN l1 l ON l.trajectory = r.trajectory AND l.i < r.a AND l.state NOT IN (2, -1) GROUP BY ALL),
+ l2 AS MATERIALIZED (SELECT l.trajectory, l.i, l.p, CASE WHEN q.a IS NOT NULL THEN 3 ELSE state END AS state, CASE WHEN q.a IS NULL THEN dive END AS dive, CASE WHEN q.a IS NULL THEN climb END AS climb FROM l1 l LEFT JOIN (SELECT pre.trajectory, a, before FROM pre JOIN par USING (trajectory) WHERE st = 1 AND before >= a - near) q ON q.trajectory = l.trajectory AND l.i > q.before AND l.i < q.a),
+ post AS MATERIALIZED (SELECT r.trajectory, r.b, min(l.i) AS after, arg_min(l.state, l.i) AS st, arg_min(l.climb, l.i) AS c FROM dr r JOIN l2 l ON l.trajectory = r.trajectory AND l.i >= r.b AND l.state NOT IN (1, -1) GROUP BY ALL),
+ l3 AS MATERIALIZED (SELECT l.trajectory, l.i, l.p, CASE WHEN q.b IS NOT NULL THEN 2 ELSE state END AS state, CASE WHEN q.b IS NULL THEN dive END AS dive, coalesce(q.c, climb) AS climb FROM l2 l LEFT JOIN (SELECT post.trajectory, b, after, c FROM post JOIN par USING (trajectory) WHERE st = 2 AND after > b AND after < least(b + near, n)) q ON q.trajectory = l.trajectory AND l.i >= q.b AND l.i < q.after),
+ {run('un', 'l3', 'state = -1')},
+ turn AS MATERIALIZED (SELECT u.trajectory, u.a, u.b, f.state AS s0, f.dive AS d0, f.climb AS c0, t.state AS s1, t.dive AS d1, t.climb AS c1 FROM un u JOIN par USING (trajectory) JOIN l3 f ON f.trajectory = u.trajectory AND f.i = u.a - 1 JOIN l3 t ON t.trajectory = u.trajectory AND t.i = u.b WHERE u.b - u.a <= near AND (f.state, t.state) IN ((1, 2), (2, 1))),
+ deepest AS MATERIALIZED (SELECT q.*, arg_max(l.i, (CASE WHEN s0 = 1 THEN l.p ELSE -l.p END, -l.i)) FILTER (l.p IS NOT NULL) AS turned FROM turn q JOIN l3 l ON l.trajectory = q.trajectory AND l.i >= q.a AND l.i < q.b GROUP BY ALL HAVING min(l.p) >= 2),
+ lab AS MATERIALIZED (SELECT l.trajectory, l.i, CAST(CASE WHEN q.a IS NULL THEN state WHEN l.i <= turned THEN s0 ELSE s1 END AS TINYINT) AS state, CASE WHEN q.a IS NULL THEN dive WHEN l.i <= turned THEN d0 ELSE d1 END AS dive, CASE WHEN q.a IS NULL THEN climb WHEN l.i <= turned THEN c0 ELSE c1 END AS climb FROM l3 l LEFT JOIN deepest q ON q.trajectory = l.trajectory AND l.i >= q.a AND l.i < q.b)"""
+
+
+@query(f"WITH {DIVES}, {_labels_sql('dives')} SELECT d.*, state, CAST(coalesce(dive, -1) AS INTEGER) AS dive_id, CAST(coalesce(climb, -1) AS INTEGER) AS climb_id, CAST(coalesce(2 * dive - 1, 2 * climb, -1) AS INTEGER) AS profile_id FROM dives d JOIN s ON s.trajectory = d.trajectory AND s.time = d.time JOIN lab ON lab.trajectory = s.trajectory AND lab.i = s.i")
 def profile_label(spark, d):
     return profiles.get_profiles(dives(spark, d), BY, 5.0)
 
