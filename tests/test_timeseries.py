@@ -1,5 +1,6 @@
 """Time-series operators: edges, ties, nulls; and the same rows for any width of blocks."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
