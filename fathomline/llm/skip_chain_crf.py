@@ -1,7 +1,8 @@
 """Personal data by a skip-chain conditional random field.
 
 Four kinds are looked for: email, ip, card, phone. Plain patterns find base spans, which always stay. The field adds
-spans that the patterns miss, as a number written without its prefix beside its full form, or two cards run together.
+spans that the patterns miss, as two cards, or a phone and an address, written side by side. (A phone without its prefix
+far from its full form stays out where documents repeat too little to teach that repeats share a label.)
 
 Nodes are the tokens of a text that hold a digit or an @; other tokens can be of no kind. A node has a label, none or a
 kind, and potentials of its own (lengths, separators, marks, the check digit). Nodes next to each other in the text are
