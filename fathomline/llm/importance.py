@@ -48,10 +48,13 @@ def run_buckets(of: Column, longest: int = LONGEST, buckets: int = BUCKETS) -> C
     def bucket(run: Column) -> Column:
         return (F.crc32(run.cast("binary")) % buckets).cast("int")
 
+    def of_length(n: int) -> Column:
+        starts = F.when(F.size(of) >= n, F.sequence(F.lit(1), F.size(of) - (n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: bucket(F.array_join(F.slice(of, i, n), " ")))
+
     out = F.transform(of, bucket)
     for n in range(2, longest + 1):
-        starts = F.when(F.size(of) >= n, F.sequence(F.lit(1), F.size(of) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        out = F.concat(out, F.transform(starts, lambda i, n=n: bucket(F.array_join(F.slice(of, i, n), " "))))
+        out = F.concat(out, of_length(n))
     return out
 
 

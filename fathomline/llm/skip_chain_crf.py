@@ -405,5 +405,9 @@ def query(spark: SparkSession, docs: DataFrame) -> DataFrame:
     def line(spans: str):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s.kind + 1), s.start, s.end)), ",")
 
-    counts = (F.size(F.filter("base", lambda s, k=k: s.kind == k)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(KINDS))
+    def count(kind: int):
+        # Spark would take a second parameter of the lambda, with a default or without, for the place in the array
+        return F.size(F.filter("base", lambda s: s.kind == kind)).cast("bigint")
+
+    counts = (count(k).alias(f"n_{name}") for k, name in enumerate(KINDS))
     return find(docs).select("doc_id", *counts, F.sha2(line("base"), 256).alias("base_sha256"), line("spans").alias("spans"))

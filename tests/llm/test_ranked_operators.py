@@ -173,6 +173,13 @@ def test_resampling_on_odd_rows(spark, odd_docs, no_docs, items, longest):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for _, _, i in drawn}
 
 
+def test_buckets_of_longer_runs(spark):
+    words = "one two three two".split()
+    runs = [" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)]
+    row = spark.createDataFrame([(words,)], "w array<string>").select(importance.run_buckets(F.col("w"), 3, 1000).alias("b")).first()
+    assert row.b == [zlib.crc32(r.encode()) % 1000 for r in runs]
+
+
 # op13
 
 PLAIN = {
@@ -250,6 +257,15 @@ def test_the_field_adds_what_patterns_miss(spark):
             assert r.spans.split(",") == base
 
 
+def test_counts_are_of_each_kind(spark):
+    number = cards(1)[0]
+    texts = ["a@b.c d@e.f x@y.z", "+49 30 1234567 and 1.2.3.4", "1.2.3.4 a@b.c 5.6.7.8", f"{number}, +49 30 1234567", "nothing"]
+    got = told(spark, list(enumerate(texts)))
+    for i, text in enumerate(texts):
+        kinds = collections.Counter(k for k, _, _ in plain_spans(text))
+        assert [got[i][1][f"n_{name}"] for name in skip_chain_crf.KINDS] == [kinds[k] for k in range(4)]
+
+
 def test_messages_are_exact_on_a_tree():
     """Two nodes in a chain and two of one key: no loop, so the probabilities are those of the whole sum."""
     rng = np.random.default_rng(3)
