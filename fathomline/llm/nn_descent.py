@@ -1,16 +1,18 @@
 """Approximate nearest neighbours: a neighbour graph by NN-descent, searched greedily.
 
-Equal vectors are one node, which holds the smallest ids of its rows. Random hyperplanes, fitted on a bounded sample,
-cut the nodes into leaves of bounded size several times over; the nearest within a leaf give the first graph. Then each
-round joins neighbours of neighbours: every node brings its neighbours, and a bounded sample of the nodes it is a
-neighbour of, together; pairs of them of which one is a new neighbour, and that are nearer than the farthest neighbour so
-far, are proposed, and each node keeps the nearest. Rounds end when few neighbours are new.
-
-A search starts at a node's own neighbours and again and again expands the nearest nodes not expanded yet, until none of
-a query's beam is left. Recall is then measured against brute force on a sample of the queries, and the beam doubled
-until it is reached: so it holds on tables of any size, at a price that grows with them. A beam of all nodes that still
-misses it (a graph in pieces) gives way to brute force in blocks. The distances of what was found are computed in double
-precision on the original vectors.
+Equal vectors are one node, which holds the smallest ids of its rows. Nodes are dealt into shards by a hash, some SHARD
+nodes each, and every shard has a graph of its own, so a task holds a bounded part of the table, whatever its size. Random
+hyperplanes, fitted on a bounded sample, cut the nodes of a shard into leaves of bounded size several times over; the
+nearest within a leaf give the first graph. Then each round joins neighbours of neighbours: every node brings its
+neighbours, and a bounded sample of the nodes it is a neighbour of, together; pairs of them of which one is a new
+neighbour, and that are nearer than the farthest neighbour so far, are proposed, and each node keeps the nearest. Rounds
+end when few neighbours are new.
+
+A query is sent to every shard. Its search starts at its own node and at nodes spread over the shard, and again and again
+expands the nearest nodes not expanded yet, until none of its beam is left; what shards found is ranked together. Recall
+is measured against brute force on a sample of the queries, and the beam doubled until it is reached; then all queries are
+searched with it. So recall holds on tables of any size, at a price that grows with queries times shards, and nothing but
+queries and what they found is dealt out again. A beam of all nodes that still misses it gives way to brute force in blocks.
 
 Null vectors, zero vectors, and vectors with null or non-finite components take no part. Vectors are near only to those
 of their own length: the lengths of at most LEAF nodes are compared whole, each other length has an index of its own.
@@ -25,17 +27,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, first_by_hash
+from .common import cut
 
 #: Neighbours of a node, and nodes that it is a neighbour of, that a round brings together; share of new neighbours
 #: below which rounds end, and rounds at most.
 NEIGHBOURS, REVERSE, DELTA, ROUNDS = 24, 8, 0.05, 6
 #: Trees of hyperplanes; nodes of a leaf at most; sampled vectors that a tree is fitted on.
 TREES, LEAF, SAMPLE = 8, 2048, 16_384
-#: Nodes of a query that a search has to expand at first; parts of a beam that it expands at once.
+#: Nodes of a query that its searches of all shards have to expand at first; parts of a beam that are expanded at once.
 BEAM, STEPS = 256, 2
 #: Share of the nearest that a search has to find for ASKED sampled queries, by brute force.
 RECALL, ASKED = 0.95, 64
+#: Nodes of a shard, on average; nodes that a search starts at in each, beside the query's own; nodes that it hands on more
+#: than are asked for.
+SHARD, STARTS, MORE = 1 << 14, 1 << 10, 5
+#: Queries that are sent to a shard at once; of arrays within a task: distances of queries to nodes, distances that are
+#: measured at once, pairs that are joined at once.
+QUERIES_AT_ONCE, DENSE, MEASURED, JOINED = 1 << 13, 1 << 21, 1 << 17, 1 << 19
 #: Nodes and queries of a block of brute force.
 NODES, QUERIES = 1 << 15, 1 << 11
 #: Parts into which the ids of one vector are split before the smallest are taken.
@@ -121,40 +129,81 @@ def _nearest(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(places), np.concatenate(found)
 
 
-def _edges(a, b, d) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(np.maximum(d, 0), pa.float32())], names=["a", "b", "d"])
+_EDGE = "a long, b long, d float, new boolean"
+_FOUND = "query long, node long, d double"
 
 
-_EDGE = "a long, b long, d float"
+def _edges(a: np.ndarray, b: np.ndarray, d: np.ndarray, new: np.ndarray) -> pa.Table:
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "d": pa.array(d, pa.float32()), "new": pa.array(new, pa.bool_())})
 
 
-def first_graph(vectors: DataFrame, total: int, k: int, trees: int, leaf: int, seed: int = 11) -> DataFrame:
-    """(a, b, d): for each node and tree, the k nearest nodes of its leaf and their squared distances.
+def _shard(node: Column | str, shards: int) -> Column:
+    """The shard of a node, by a hash."""
+    return F.pmod(F.xxhash64(node, F.lit(3)), F.lit(shards)).cast("int")
 
-    Leaves that grow beyond the bound, where the sample was thin, are split by a hash into parts that don't.
-    """
-    sample = first_by_hash(vectors.select("node", "vector"), SAMPLE, total, "node").select("vector").toArrow()
-    planted = plant(_matrix(sample["vector"]), trees, total, leaf, seed)
-    shared = vectors.sparkSession.sparkContext.broadcast(planted)
 
-    def deal(batches):
-        for batch in batches:
-            x = _matrix(batch.column("vector"))
-            for t, tree in enumerate(shared.value):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t), pa.int32()), pa.array(leaf_of(x, tree), pa.int64()), batch.column("node"), batch.column("vector")], names=["tree", "leaf", "node", "vector"])
+def _sorted(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of a shard in order, and their vectors; places are those in this order."""
+    ids = group["node"].to_numpy()
+    order = np.argsort(ids)
+    return ids[order], _matrix(group["vector"])[order]
 
-    dealt = vectors.select("node", "vector").mapInArrow(deal, "tree int, leaf long, node long, vector array<double>")
-    sizes = dealt.groupBy("tree", "leaf").count().select("tree", "leaf", F.ceil(F.col("count") / leaf).alias("parts"))
-    split = dealt.join(sizes, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("node", "tree"), F.col("parts")))
 
-    def within(group: pa.Table) -> pa.Table:
-        ids, x = group["node"].to_numpy(), _matrix(group["vector"])
-        if len(ids) < 2:
-            return pa.Table.from_batches([_edges([], [], np.zeros(0))])
-        places, d = _nearest(x, k)
-        return pa.Table.from_batches([_edges(np.repeat(ids, places.shape[1]), ids[places.ravel()], d.ravel())])
+def _ranks(of: np.ndarray) -> np.ndarray:
+    """Of each of some sorted values how many equal ones are before it."""
+    return np.arange(len(of)) - np.searchsorted(of, of)
+
+
+def _keep(a: np.ndarray, b: np.ndarray, d: np.ndarray, new: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """keep_nearest() within a shard, of places, in the order of a and d."""
+    pair = (a.astype(np.int64) << 32 | b) << 1 | new
+    order = np.argsort(pair)
+    pair = pair[order]
+    first = np.flatnonzero(np.diff(pair >> 1, prepend=-1))
+    if not len(first):
+        return a, b, d, new
+    a, b, new = pair[first] >> 33, pair[first] >> 1 & 0xFFFFFFFF, (pair[first] & 1).astype(bool)
+    d = np.maximum(np.minimum.reduceat(d[order], first), 0).astype(np.float32)
+    order = np.argsort(a << 32 | d.view(np.int32), kind="stable")  # the bits of floats from 0 on are in their order
+    order = order[_ranks(a) < k]
+    return a[order], b[order], d[order], new[order]
+
+
+def _reversed(a: np.ndarray, b: np.ndarray, first: np.ndarray, n: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each place the edges that lead to it, most at most (-1: none): those marked as first, then by chance."""
+    by = np.lexsort((np.random.default_rng(5).random(len(b)), ~first, b))
+    rank = _ranks(b[by])
+    by, rank = by[rank < most], rank[rank < most]
+    back, marks = np.full((n, most), -1, np.int64), np.zeros((n, most), bool)
+    back[b[by], rank], marks[b[by], rank] = a[by], first[by]
+    return back, marks
+
 
-    return split.select("tree", "leaf", "part", "node", "vector").groupBy("tree", "leaf", "part").applyInArrow(within, _EDGE)
+def first_graph(vectors: DataFrame, total: int, k: int, trees: int, leaf: int, seed: int = 11, shards: int = 1) -> DataFrame:
+    """(a, b, d, new): for each node the k nearest nodes of its leaves within its shard, and their squared distances.
+
+    Trees are fitted on a bounded sample of a shard. Leaves that grow beyond the bound, where the sample was thin, are
+    split by chance into parts that don't.
+    """
+
+    def within(group: pa.Table) -> pa.Table:
+        ids, x = _sorted(group)
+        draw, found = np.random.default_rng(seed), [np.zeros((3, 0))]
+        sample = x if len(x) <= SAMPLE else x[draw.choice(len(x), SAMPLE, replace=False)]
+        planted = plant(sample, trees, len(x), leaf, seed)
+        for tree in planted if planted[0] else planted[:1]:  # one leaf of all is the same in each tree
+            at = leaf_of(x, tree) if tree else np.zeros(len(x), np.int64)
+            order = np.lexsort((draw.random(len(x)), at))
+            for group_ in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
+                for g in np.array_split(group_, -(-len(group_) // leaf)):
+                    if len(g) > 1:
+                        places, d = _nearest(x[g], k)
+                        found.append(np.stack([np.repeat(g, places.shape[1]), g[places.ravel()], d.ravel()]))
+        a, b, d = np.concatenate(found, 1)
+        a, b, d, new = _keep(a.astype(np.int64), b.astype(np.int64), d.astype(np.float32), np.ones(len(a), bool), k)
+        return _edges(ids[a], ids[b], d, new)
+
+    return vectors.select(_shard("node", shards).alias("shard"), "node", "vector").repartition(shards, "shard").groupBy("shard").applyInArrow(within, _EDGE)
 
 
 def keep_nearest(edges: DataFrame, k: int) -> DataFrame:
@@ -163,54 +212,93 @@ def keep_nearest(edges: DataFrame, k: int) -> DataFrame:
     return edges.groupBy("a", "b").agg(F.min("d").alias("d"), F.min("new").alias("new")).withColumn("n", F.row_number().over(order)).where(F.col("n") <= k).drop("n")
 
 
-def descend(graph: DataFrame, vectors: DataFrame, k: int, reverse: int) -> DataFrame:
-    """One round: the graph (a, b, d, new) after joining neighbours of neighbours, of which one at least is new."""
-    back = graph.select(F.col("b").alias("pivot"), F.col("a").alias("x"), "new")
-    order = Window.partitionBy("pivot").orderBy(F.desc("new"), F.xxhash64("pivot", "x"), "x")
-    back = back.withColumn("n", F.row_number().over(order)).where(F.col("n") <= reverse).drop("n")
-    around = graph.select(F.col("a").alias("pivot"), F.col("b").alias("x"), "new").unionByName(back).groupBy("pivot", "x").agg(F.max("new").alias("new"))
-    reach = graph.groupBy("a").agg(F.when(F.count("*") >= k, F.max("d")).otherwise(float("inf")).cast("float").alias("far"))
-    brought = vectors.join(reach, F.col("node") == F.col("a"), "left").select("node", F.transform("vector", lambda v: v.cast("float")).alias("vector"), F.coalesce("far", F.lit(float("inf")).cast("float")).alias("far"))
-    # pivots without a new neighbour have nothing to propose; at most k + reverse rows are at one
-    busy = around.withColumn("busy", F.max("new").over(Window.partitionBy("pivot"))).where("busy").drop("busy")
-    met = busy.join(brought, F.col("x") == F.col("node")).groupBy("pivot").agg(F.collect_list(F.struct("node", "far", "new", "vector")).alias("m"))
-
-    def propose(batches):
-        for batch in batches:
-            lists = batch.column("m")
-            size = np.diff(lists.offsets.to_numpy())
-            all_ = lists.flatten()
-            ids, far, new, x = all_.field("node").to_numpy(), all_.field("far").to_numpy(), all_.field("new").to_numpy(zero_copy_only=False), _matrix(all_.field("vector"))
-            first = np.concatenate([[0], np.cumsum(size)])
-            for n in np.unique(size):  # groups of equal size at once
-                if n < 2:
-                    continue
-                groups = np.flatnonzero(size == n)
-                for g in np.array_split(groups, max(1, len(groups) * int(n) * int(n) // 1_000_000)):
-                    at = first[g][:, None] + np.arange(n)
-                    v = x[at]
-                    square = np.einsum("gid,gid->gi", v, v)
-                    d = square[:, :, None] + square[:, None, :] - 2 * v @ v.transpose(0, 2, 1)
-                    d[:, np.arange(n), np.arange(n)] = np.inf
-                    fresh = new[at]
-                    i, a, b = np.nonzero((d < far[at][:, :, None]) & (fresh[:, :, None] | fresh[:, None, :]))
-                    yield _edges(ids[at[i, a]], ids[at[i, b]], d[i, a, b])
-
-    proposed = met.select("m").mapInArrow(propose, _EDGE).withColumn("new", F.lit(True))
-    return keep_nearest(graph.withColumn("new", F.lit(False)).unionByName(proposed), k)
-
-
-def build(vectors: DataFrame, total: int, k: int = NEIGHBOURS, reverse: int = REVERSE, rounds: int = ROUNDS, trees: int = TREES, leaf: int = LEAF, delta: float = DELTA) -> DataFrame:
-    """(a, b, d, new): the neighbour graph over written nodes (node, vector, ...)."""
-    graph = cut(keep_nearest(first_graph(vectors, total, k, trees, leaf).withColumn("new", F.lit(True)), k))
+def _joined(x: np.ndarray, a: np.ndarray, b: np.ndarray, d: np.ndarray, new: np.ndarray, k: int, reverse: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The graph of a shard after one round; edges of places, as _keep() gives them."""
+    n = len(x)
+    rank = _ranks(a)
+    to, fresh = np.full((n, k), -1, np.int64), np.zeros((n, k), bool)
+    to[a, rank], fresh[a, rank] = b, new
+    back, marks = _reversed(a, b, new, n, reverse)
+    twice = back[:, :, None] == to[:, None, :]  # a neighbour of which the pivot is one too comes once
+    fresh |= (twice & marks[:, :, None]).any(1)
+    back[twice.any(2)] = -1
+    around, fresh = np.concatenate([to, back], 1), np.concatenate([fresh, marks], 1) & (np.concatenate([to, back], 1) >= 0)
+    # pivots without a new neighbour have nothing to propose
+    busy, new = np.flatnonzero(fresh.any(1)), np.zeros(len(a), bool)
+    square, width, some = (x * x).sum(1), k + reverse, [(a, b, d, new)]
+    reach = lambda g: np.where(np.bincount(g[0], minlength=n) >= k, np.maximum.reduceat(np.append(g[2], 0), np.searchsorted(g[0], np.arange(n))), np.inf).astype(np.float32)
+    far, waiting = reach(some[0]), 0
+    for rows in np.array_split(busy, max(1, len(busy) * width * width // JOINED)):
+        m = around[rows]
+        v = x[m]
+        dd = square[m][:, :, None] + square[m][:, None, :] - 2 * v @ v.transpose(0, 2, 1)
+        dd[:, np.arange(width), np.arange(width)] = np.inf
+        given = m >= 0
+        i, p, q = np.nonzero((dd < np.where(given, far[m], -np.inf)[:, :, None]) & given[:, None, :] & (fresh[rows][:, :, None] | fresh[rows][:, None, :]))
+        some.append((m[i, p], m[i, q], dd[i, p, q], np.ones(len(i), bool)))
+        waiting += len(i)
+        if waiting > 8 * JOINED:  # bounded, and what comes next has to be nearer
+            some, waiting = [_keep(*map(np.concatenate, zip(*some)), k)], 0
+            far = reach(some[0])
+    return _keep(*map(np.concatenate, zip(*some)), k)
+
+
+def _places(ids: np.ndarray, edges: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The edges of a shard as places of its sorted nodes, in the order of a."""
+    a = np.searchsorted(ids, edges["a"].to_numpy())
+    order = np.argsort(a, kind="stable")
+    return a[order], np.searchsorted(ids, edges["b"].to_numpy())[order], edges["d"].to_numpy()[order], edges["new"].to_numpy()[order]
+
+
+def _by_shard(graph: DataFrame, vectors: DataFrame, shards: int):
+    """The edges and the nodes of each shard, together."""
+    deal = lambda df, node: df.withColumn("shard", _shard(node, shards)).repartition(shards, "shard").groupBy("shard")
+    return deal(graph.select("a", "b", "d", "new"), "a").cogroup(deal(vectors.select("node", "vector"), "node"))
+
+
+def descend(graph: DataFrame, vectors: DataFrame, k: int, reverse: int, shards: int = 1) -> DataFrame:
+    """One round: the graph (a, b, d, new) after joining neighbours of neighbours, of which one at least is new.
+
+    Edges stay within a shard, as those of first_graph() do.
+    """
+
+    def within(edges: pa.Table, group: pa.Table) -> pa.Table:
+        ids, x = _sorted(group)
+        a, b, d, new = _joined(x.astype(np.float32), *_keep(*_places(ids, edges), k), k, reverse) if len(edges) else _places(ids, edges)
+        return _edges(ids[a], ids[b], d, new)
+
+    return _by_shard(graph, vectors, shards).applyInArrow(within, _EDGE)
+
+
+def build(vectors: DataFrame, total: int, k: int = NEIGHBOURS, reverse: int = REVERSE, rounds: int = ROUNDS, trees: int = TREES, leaf: int = LEAF, delta: float = DELTA, shards: int = 1) -> DataFrame:
+    """(a, b, d, new): the neighbour graph of each shard over written nodes (node, vector, ...)."""
+    graph = cut(first_graph(vectors, total, k, trees, leaf, shards=shards))
     for _ in range(rounds):
-        graph = cut(descend(graph, vectors, k, reverse))
+        graph = cut(descend(graph, vectors, k, reverse, shards))
         edges, new = graph.agg(F.count("*"), F.count(F.when(F.col("new"), 1))).first()
         if new <= delta * edges:
             break
     return graph
 
 
+def index_of(graph: DataFrame, vectors: DataFrame, links: int, shards: int) -> DataFrame:
+    """(shard, node, vector, to): each node with the places of its neighbours, and of links nodes that it is one of."""
+
+    def within(edges: pa.Table, group: pa.Table) -> pa.Table:
+        ids, x = _sorted(group)
+        a, b, *_ = _places(ids, edges)
+        back, _ = _reversed(a, b, np.zeros(len(a), bool), len(ids), links)
+        pairs = np.concatenate([a * len(ids) + b, (np.arange(len(ids))[:, None] * len(ids) + back)[back >= 0]])
+        pairs = np.unique(pairs)
+        ends = np.searchsorted(pairs, np.arange(len(ids) + 1) * len(ids))
+        flat = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
+        shard = group["shard"][0].as_py() if len(ids) else 0
+        to = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(pairs % max(len(ids), 1), pa.int32()))
+        return pa.table({"shard": pa.array(np.full(len(ids), shard), pa.int32()), "node": pa.array(ids, pa.int64()), "vector": flat, "to": to})
+
+    return _by_shard(graph, vectors, shards).applyInArrow(within, "shard int, node long, vector array<double>, to array<int>")
+
+
 def exact(vectors: DataFrame, queries: DataFrame, k: int, total: int, asked: int, same: tuple[str, ...] = ()) -> DataFrame:
     """(query, node, d): the k nearest nodes of each query (query, q, ...) by brute force, in blocks of nodes and queries.
 
@@ -238,53 +326,96 @@ def exact(vectors: DataFrame, queries: DataFrame, k: int, total: int, asked: int
     return found.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))).where(F.col("n") <= k).drop("n")
 
 
-def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame, total: int, k: int, beam: int = BEAM, recall: float = RECALL, links: int = NEIGHBOURS) -> DataFrame:
+def _greedy(x: np.ndarray, to: np.ndarray, q: np.ndarray, starts: np.ndarray, origin: np.ndarray, beam: int) -> np.ndarray:
+    """The squared distances of each query to the nodes of a shard that its search meets, infinite for all others.
+
+    to: the neighbours of each node (-1: none). Each step expands the nearest nodes of a query that weren't yet, until
+    all of its beam are.
+    """
+    n, count, square = len(x), len(q), (x * x).sum(1)
+    own = (q * q).sum(1)
+    dist, done = np.full((count, n), np.inf, np.float32), np.zeros((count, n), bool)
+    dist[:, starts] = np.maximum(own[:, None] + square[starts] - 2 * q @ x[starts].T, 0)
+    dist[np.flatnonzero(origin >= 0), origin[origin >= 0]] = 0
+    left, bar = np.arange(count), np.full(count, np.inf, np.float32)
+    while True:
+        if beam < n:
+            bar[left] = np.partition(dist[left], beam - 1, 1)[:, beam - 1]
+        row, node = np.nonzero((dist[left] <= bar[left][:, None]) & (dist[left] < np.inf) & ~done[left])
+        if not len(row):
+            return dist
+        row = left[row]
+        order = np.lexsort((dist[row, node], row))
+        row, node = row[order], node[order]
+        first = _ranks(row) < max(1, beam // STEPS)
+        row, node = row[first], node[first]
+        done[row, node] = True
+        left = np.unique(row)
+        met = (row[:, None] * n + to[node])[to[node] >= 0]
+        met = np.unique(met[dist.ravel()[met] == np.inf])
+        for part in np.array_split(met, len(met) // MEASURED + 1):
+            row, node = np.divmod(part, n)
+            dist[row, node] = np.maximum(own[row] + square[node] - 2 * np.einsum("ij,ij->i", q[row], x[node]), 0)
+
+
+def _search(index: DataFrame, queries: DataFrame, number: int, shards: int, k: int, beam: int) -> DataFrame:
+    """(query, node, d): the nearest nodes that each of number queries (query, origin, q) finds in each shard's graph."""
+    across = -(-max(number, 1) // QUERIES_AT_ONCE)
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = index.withColumn("qb", each(across))
+    right = queries.select("query", "origin", "q", F.pmod(F.xxhash64("query"), F.lit(across)).cast("int").alias("qb")).withColumn("shard", each(shards))
+
+    def find(nodes_: pa.Table, asked: pa.Table) -> pa.Table:
+        none = pa.table({"query": pa.array([], pa.int64()), "node": pa.array([], pa.int64()), "d": pa.array([], pa.float64())})
+        if not len(nodes_) or not len(asked):
+            return none
+        ids, x = _sorted(nodes_)
+        light = x.astype(np.float32)
+        lists = nodes_["to"].combine_chunks().take(pa.array(np.argsort(nodes_["node"].to_numpy())))
+        size = np.diff(lists.offsets.to_numpy())
+        to = np.full((len(ids), max(int(size.max()), 1)), -1, np.int64)
+        to[np.repeat(np.arange(len(ids)), size), np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)] = lists.flatten().to_numpy()
+        starts = np.unique(np.linspace(0, len(ids) - 1, min(STARTS, len(ids))).astype(np.int64))
+        own = asked["origin"].to_numpy()
+        at = np.minimum(np.searchsorted(ids, own), len(ids) - 1)
+        at = np.where(ids[at] == own, at, -1)
+        keep, out = min(max(beam, k + MORE), len(ids)), [none]
+        for i in range(0, len(asked), max(1, DENSE // len(ids))):
+            of = slice(i, i + max(1, DENSE // len(ids)))
+            q = _matrix(asked["q"].slice(i, of.stop - i))
+            dist = _greedy(light, to, q.astype(np.float32), starts, at[of], beam)
+            place = np.argpartition(dist, keep - 1, 1)[:, :keep]
+            # the best again, in double precision and without differences of squares
+            d = np.stack([((x[p] - v) ** 2).sum(1) for p, v in zip(place, q)])
+            d[~np.isfinite(np.take_along_axis(dist, place, 1))] = np.inf
+            best = np.argsort(d, 1)[:, : k + MORE]
+            row, col = np.nonzero(np.isfinite(np.take_along_axis(d, best, 1)))
+            place, d = np.take_along_axis(place, best, 1), np.take_along_axis(d, best, 1)
+            out.append(pa.table({"query": pa.array(asked["query"].slice(i, of.stop - i).to_numpy()[row], pa.int64()), "node": pa.array(ids[place[row, col]], pa.int64()), "d": pa.array(d[row, col], pa.float64())}))
+        return pa.concat_tables(out)
+
+    group = lambda df: df.repartition(shards * across, "shard", "qb").groupBy("shard", "qb")
+    found = group(left).cogroup(group(right)).applyInArrow(find, _FOUND)
+    return found.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))).where(F.col("n") <= k + MORE).drop("n")
+
+
+def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame, total: int, k: int, beam: int = BEAM, recall: float = RECALL, links: int = NEIGHBOURS, shards: int = 1) -> DataFrame:
     """(query, node, d): nodes near each query, at least k if there are; queries: (query, origin, vector), origin a node.
 
-    Each round expands the nearest nodes not expanded yet of each query, along edges of either direction.
+    The sampled queries are searched first, with a beam that is doubled until their recall holds, then all queries.
     """
-    back = graph.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    back = back.withColumn("n", F.row_number().over(Window.partitionBy("a").orderBy(F.xxhash64("a", "b"), "b"))).where(F.col("n") <= links).drop("n")
-    ways = cut(graph.select("a", "b").unionByName(back).distinct().groupBy("a").agg(F.collect_list("b").alias("to")))  # k + links at most
-    light = cut(vectors.select("node", F.transform("vector", lambda v: v.cast("float")).alias("v")))
-    asked = cut(queries.select("query", "origin", F.transform("vector", lambda v: v.cast("float")).alias("q")))
+    index = cut(index_of(graph, vectors, links, shards))
+    asked = cut(queries.select("query", "origin", F.col("vector").alias("q")))
     number = asked.count()
     sample = cut(asked.orderBy(F.xxhash64("query"), "query").limit(ASKED))
-    truth = cut(exact(light.withColumnRenamed("v", "vector"), sample, k, total, min(number, ASKED)).select("query", "node"))
-    wanted = truth.count()
-
-    def measure(batches):
-        for batch in batches:
-            q, v = _matrix(batch.column("q")), _matrix(batch.column("v"))
-            d = ((q - v) ** 2).sum(1) if len(batch) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("node"), pa.array(d, pa.float32())], names=["query", "node", "d"])
-
-    ranks = Window.partitionBy("query").orderBy("d", "node")
-
-    def ranked(state: DataFrame) -> DataFrame:
-        """With the rank of each node of a query, and which of the nodes not expanded yet it is."""
-        open_ = F.sum(F.when(F.col("done"), 0).otherwise(1)).over(ranks.rowsBetween(Window.unboundedPreceding, 0))
-        return cut(state.withColumns({"rank": F.row_number().over(ranks), "open": open_}))
-
-    # the origin itself is a result too, for its other rows; all that was measured stays, so nothing is measured twice
-    state = ranked(asked.select("query", F.col("origin").alias("node"), F.lit(0.0).cast("float").alias("d"), F.lit(False).alias("done")))
+    truth = cut(exact(vectors, sample, k, total, min(number, ASKED)).select("query", "node"))
+    wanted, beam = truth.count(), max(1, beam // shards)
     while True:
-        opened = ~F.col("done") & (F.col("rank") <= beam) & (F.col("open") <= max(1, beam // STEPS))
-        front = state.where(opened)
-        if not front.isEmpty():
-            reached = front.join(ways, F.col("node") == F.col("a")).select("query", F.explode("to").alias("node"), F.lit(None).cast("float").alias("d"), F.lit(False).alias("done"))
-            known = state.select("query", "node", "d", (F.col("done") | opened).alias("done"))
-            both = known.unionByName(reached).groupBy("query", "node").agg(F.max("d").alias("d"), F.max("done").alias("done"))
-            # a new node has no distance yet
-            near = both.where("d IS NULL").select("query", "node").join(light, "node").join(asked.select("query", "q"), "query").select("query", "node", "q", "v")
-            near = near.mapInArrow(measure, "query long, node long, d float").withColumn("done", F.lit(False))
-            state = ranked(both.where("d IS NOT NULL").unionByName(near))
-            continue
-        best = state.join(sample.select("query"), "query", "left_semi").where(F.col("rank") <= k)
+        best = _search(index, sample, ASKED, shards, k, beam).withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))).where(F.col("n") <= k)
         if best.join(truth, ["query", "node"], "left_semi").count() >= recall * wanted:
-            return state.where(F.col("rank") <= max(beam, k)).select("query", "node", "d")
-        if beam >= total:
-            return exact(light.withColumnRenamed("v", "vector"), asked, max(BEAM, k), total, number)
+            return _search(index, asked, number, shards, k, beam)
+        if beam * shards >= total:
+            return exact(vectors, asked, max(BEAM, k), total, number)
         beam *= 2
 
 
@@ -302,7 +433,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_i
     found = None
     for dim, total in large:
         part = vectors.where(F.col("dim") == dim)
-        got = search(build(part, total, **index), part, asked.where(F.col("dim") == dim), total, k + 1, beam, recall)
+        shards = -(-max(total, 1) // SHARD)
+        got = search(build(part, total, shards=shards, **index), part, asked.where(F.col("dim") == dim), total, k + 1, beam, recall, shards=shards)
         found = got if found is None else found.unionByName(got)
     # other lengths have at most `small` nodes each
     rest = ~F.col("dim").isin([d for d, _ in large])

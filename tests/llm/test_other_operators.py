@@ -260,6 +260,36 @@ def test_the_beam_grows_until_recall_holds(spark, tmp_path):
         assert recall_of(got, x, range(0, 3000, 50)) >= 0.9
 
 
+def test_searches_write_nothing_for_each_step(spark, tmp_path, monkeypatch):
+    """Each shard's graph is searched within a task: before, every step of all searches was joined, ranked and written."""
+    x, rows = made(spark, 3000, 24, tmp_path / "v.parquet")
+    cut, written = nn_descent.cut, []
+
+    def counted(df):
+        written.append(cut(df))
+        return written[-1]
+
+    monkeypatch.setattr(nn_descent, "cut", counted)
+    monkeypatch.setattr(nn_descent, "SHARD", 700, raising=False)
+    got = found_by(nn_descent.nearest(rows, F.col("vec_id") % 50 == 0, small=10, leaf=128, rounds=2).select("query_id", "vec_id"))
+    assert recall_of(got, x, range(0, 3000, 50)) >= 0.9
+    assert len(written) <= 9  # nodes, queries, three graphs, index, queries, sample, truth; 17 before
+    edges = next(w for w in written if "a" in w.columns)
+    shards = edges.select(*(nn_descent._shard(c, 5).alias(c) for c in "ab")).distinct().collect()
+    assert len(shards) == 5 and all(a == b for a, b in shards)
+
+
+def test_nearest_of_clusters_across_shards(spark, monkeypatch):
+    """Clusters that no edge joins, some of them near enough for squares to cancel out, dealt over shards."""
+    draw = np.random.default_rng(12)
+    centres = draw.standard_normal((60, 8))
+    x = (centres[np.arange(3000) % 60] + 1e-4 * draw.standard_normal((3000, 8))).astype(np.float32)
+    monkeypatch.setattr(nn_descent, "SHARD", 700, raising=False)
+    rows = vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)])
+    got = found_by(nn_descent.nearest(rows, F.col("vec_id") % 100 == 0, small=10, leaf=128).select("query_id", "vec_id"))
+    assert recall_of(got, x.astype(float), range(0, 3000, 100)) >= 0.9
+
+
 def test_brute_force_in_blocks(spark, monkeypatch):
     draw = np.random.default_rng(5)
     x = draw.standard_normal((90, 4))
